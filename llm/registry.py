@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from llm import packing
+from llm import minhash, packing
 
 QUERIES = {
+    "op7_minhash": minhash.query,
     "op10_pack": packing.query,
 }
 
