@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from llm import minhash, packing
+from llm import ann, langid, licences, minhash, packing, tokencounts
 
 QUERIES = {
+    "op1_licences": licences.query,
+    "op2_ann": ann.query,
+    "op8_langid": langid.query,
     "op7_minhash": minhash.query,
+    "op9_token_counts": tokencounts.query,
     "op10_pack": packing.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_licences": licences.oracle(),
+    "op9_token_counts": tokencounts.ORACLE,
+}
