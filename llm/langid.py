@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from llm.common import crc_of_id, table
 from llm.textcodes import byte_chunks
@@ -33,8 +34,6 @@ CENTROIDS = 4
 #: The most training rows of a language.
 PER_LANGUAGE = 800
 UNKNOWN = "und"
-#: Spark columns of a prediction.
-PREDICTED = "doc_id long, lang_pred string, score double"
 
 _MAP = np.full(256, 32, np.uint8)
 _MAP[97:123] = np.arange(97, 123)
@@ -149,12 +148,14 @@ def fit(training: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     return model
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """(doc_id, lang_pred, score) for every row."""
+def annotate(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs`` with lang_pred and score (which it must not hold yet) for every row, in one pass."""
+    text = docs.columns.index("text")
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, data, offsets in byte_chunks(batch.column(1)):
+            names, scores = [], []
+            for _, data, offsets in byte_chunks(batch.column(text)):
                 for first in range(0, len(offsets) - 1, 256):
                     some = offsets[first : first + 257]
                     part = data[some[0] : some[-1]]
@@ -162,13 +163,21 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                     known = has_letter(part, some)
                     if model:
                         best, score = model.predict(gram_counts(part, some))
-                        names = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
-                        score = np.where(known, score, 0.0).astype(np.float64)
+                        names += [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
+                        scores.append(np.where(known, score, 0.0).astype(np.float64))
                     else:
-                        names, score = [UNKNOWN] * len(known), np.zeros(len(known))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(low + first, len(known)), pa.array(names, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
+                        names += [UNKNOWN] * len(known)
+                        scores.append(np.zeros(len(known)))
+            columns = [*batch.columns, pa.array(names, pa.string()), pa.array(np.concatenate([*scores, np.zeros(0)]))]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lang_pred", "score"])
+
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return docs.mapInArrow(classify, schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(classify, PREDICTED)
+
+def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+    """(doc_id, lang_pred, score) for every row."""
+    return annotate(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), model).drop("text")
 
 
 def reject(predictions: DataFrame, min_score: float) -> DataFrame:

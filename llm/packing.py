@@ -100,6 +100,12 @@ class WordEncoder:
         return [b"".join([words[w] for w in s] if None in ids else ids) for s, ids in zip(split, found)]
 
 
+@lru_cache(1)
+def _encoder(path: str) -> WordEncoder:
+    """One for all tasks of a worker process: what is known stays known."""
+    return WordEncoder(path)
+
+
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """The first pass: ids of each document and where it starts in its partition."""
     end = np.asarray([end_id], "<u4").tobytes()
@@ -108,7 +114,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Dat
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, part, at = WordEncoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, part, at = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 piece = batch.slice(low, 512)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from llm import ann, langid, licences, minhash, packing, tokencounts
+from llm import ann, katz, langid, licences, minhash, packing, suffixes, tiling, tokencounts, wrappers
 
 QUERIES = {
     "op1_licences": licences.query,
     "op2_ann": ann.query,
     "op8_langid": langid.query,
+    "op3_wrappers": wrappers.query,
+    "op4_katz": katz.query,
+    "op5_suffixes": suffixes.query,
+    "op6_tiling": tiling.query,
     "op7_minhash": minhash.query,
     "op9_token_counts": tokencounts.query,
     "op10_pack": packing.query,
