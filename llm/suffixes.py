@@ -334,7 +334,7 @@ def removed(docs: DataFrame, length: int = LENGTH, with_text: bool = False, carr
                 kept.append(data)
             columns = [batch.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest, pa.string())]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(kept, pa.binary())] * with_text, *[batch.column(3)] * bool(carry)], names + ["kept"] * with_text + ["more"] * bool(carry))
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(kept, pa.binary())] * with_text, *batch.columns[3:]], names + ["kept"] * with_text + ["more"] * bool(carry))
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     fields = StructType.fromDDL(schema).fields + [rows.schema["more"]] * bool(carry)
