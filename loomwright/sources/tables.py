@@ -106,7 +106,7 @@ def inner_files(packages: DataFrame) -> DataFrame:
 
     found = packages.select("path", "content").mapInArrow(unpack, MEMBERS)
     named = F.coalesce(F.col("member"), F.concat(F.lit("source"), guess_extension(F.col("content"))))
-    return found.withColumn("member", named).filter(~F.col("readable") | safe_member(F.col("member")))
+    return found.withColumn("single", F.col("member").isNull()).withColumn("member", named).filter(~F.col("readable") | safe_member(F.col("member")))
 
 
 def _member(package: str, member: str | None, content: bytes, readable: bool) -> pa.RecordBatch:
