@@ -459,3 +459,131 @@ def incremental_upsert_stream(spark, d):
 def hourly_events(spark, d):
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.unix_timestamp("w.start").alias("hour_start"), "event_type", "n", "total")
+
+
+# Documents, packages and pictures made from the driver's rows, so that SQL knows what must come out
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    cells = F.concat(F.repeat(F.lit('<mxCell vertex="1" value="x"><mxGeometry x="5" y="7" width="30" height="20"/></mxCell>'), (k % 5).cast("int")), F.repeat(F.lit('<mxCell edge="1"/>'), (k % 3).cast("int")))
+    page = F.concat(F.lit('<diagram name="P"><mxGraphModel pageWidth="850" pageHeight="1100"><root>'), cells, F.lit("</root></mxGraphModel></diagram>"))
+    whole = F.concat(F.lit("<mxfile>"), F.repeat(page, (k % 4).cast("int")), F.lit("</mxfile>"))
+    return table(spark, d, "customer").select("c_custkey", F.when(k % 11 == 0, "<mxfile").otherwise(whole).cast("binary").alias("content"))
+
+
+@query("""SELECT c_custkey, CAST(i AS INT) AS page_number, CASE WHEN bad OR c_custkey % 4 = 0 THEN 'Page-1' ELSE 'P' END AS page_name, CAST(CASE WHEN bad OR c_custkey % 4 = 0 THEN 0 ELSE c_custkey % 5 END AS INT) AS verts,
+CAST(CASE WHEN bad OR c_custkey % 4 = 0 THEN 0 ELSE c_custkey % 3 END AS INT) AS edges, CAST(CASE WHEN bad OR c_custkey % 4 = 0 THEN 0 ELSE c_custkey % 5 END AS INT) AS texts
+FROM (SELECT c_custkey, c_custkey % 11 = 0 AS bad, unnest(range(1, CASE WHEN c_custkey % 11 = 0 THEN 2 ELSE greatest(1, c_custkey % 4) + 1 END)) AS i FROM customer)""")
+def xml_pages_lenient(spark, d):
+    from loomwright.functions.xml_pages import lenient_pages
+
+    pages = _documents(spark, d).select("c_custkey", F.explode(lenient_pages("content")).alias("p")).select("c_custkey", "p.*")
+    m = scalars.page_metrics(F.col("body"))
+    return pages.select("c_custkey", "page_number", "page_name", m["verts"].alias("verts"), m["edges"].alias("edges"), m["texts"].alias("texts"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 OR c_custkey % 5 + c_custkey % 3 = 0 THEN 0 ELSE c_custkey % 4 END AS pages,
+CASE WHEN c_custkey % 11 = 0 THEN 'parse' WHEN c_custkey % 4 = 0 OR c_custkey % 5 + c_custkey % 3 = 0 THEN 'empty' ELSE '' END AS problem FROM customer""")
+def xml_pages_strict(spark, d):
+    from loomwright.functions.xml_pages import strict_pages
+
+    r = _documents(spark, d).select("c_custkey", strict_pages("content").alias("r")).select("c_custkey", F.size("r.pages").cast("long").alias("pages"), "r.error")
+    problem = F.when(F.col("error").startswith("ParseError"), "parse").when(F.col("error").isNotNull(), "empty").otherwise("")
+    return r.select("c_custkey", "pages", problem.alias("problem"))
+
+
+@query("""SELECT s_suppkey, CASE WHEN n > 0 THEN (n - 1) * 10.0 + 50 ELSE 850.0 END::DOUBLE AS width, CASE WHEN n > 0 THEN 40.0 ELSE 1100.0 END::DOUBLE AS height FROM (SELECT s_suppkey, s_suppkey % 6 AS n FROM supplier)""")
+def page_bounding_box(spark, d):
+    from loomwright.functions.xml_pages import page_size
+
+    boxes = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.concat(F.lit('<mxGeometry y="3" x="'), (i * 10).cast("string"), F.lit('" width="30" height="20"/>'))), "")
+    body = F.concat(F.lit('<mxGraphModel pageWidth="850" pageHeight="1100">'), F.when(F.col("n") > 0, boxes).otherwise(""), F.lit("</mxGraphModel>"))
+    rows = table(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") % 6).cast("int").alias("n"))
+    return rows.select("s_suppkey", page_size(body).alias("b")).select("s_suppkey", "b.width", "b.height")
+
+
+def _packages(spark: SparkSession, d: str) -> DataFrame:
+    """Packages of four kinds: archive with a diagram and an image, archive without, one file, broken."""
+
+    def build(batches):
+        import gzip
+        import io
+        import tarfile
+
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for k in batch.column(0).to_pylist():
+                if k % 4 > 1:
+                    out.append(gzip.compress(b"%PDF mxfile" if k % 4 == 2 else b"plain") if k % 8 != 7 else b"broken")
+                    continue
+                data = io.BytesIO()
+                with tarfile.open(fileobj=data, mode="w:gz") as t:
+                    for name, body in ((f"a/{k}.drawio", b"<mxfile>"), ("b.svg", b"see diagrams.net")) if k % 4 == 0 else (("c.tex", b"mxfile"),):
+                        info = tarfile.TarInfo(name)
+                        info.size = len(body)
+                        t.addfile(info, io.BytesIO(body))
+                out.append(data.getvalue())
+            yield pa.RecordBatch.from_arrays([pa.array([f"2401.{k:05d}.gz" for k in batch.column(0).to_pylist()]), pa.array(out, pa.binary())], ["path", "content"])
+
+    return table(spark, d, "supplier").select("s_suppkey").mapInArrow(build, "path string, content binary")
+
+
+@query("""SELECT format('2401.{:05d}', s_suppkey) AS arxiv_id, CASE WHEN s_suppkey % 4 = 0 THEN 'direct_drawio_xml,embedded_marker_svg' WHEN s_suppkey % 4 = 2 THEN 'single_payload_drawio_marker' WHEN s_suppkey % 8 = 7 THEN 'invalid_source_package' ELSE '' END AS reasons, s_suppkey % 2 = 0 AS matched FROM supplier""")
+def package_detection(spark, d):
+    from loomwright.plans.stages import collect
+
+    return collect(_packages(spark, d), "2401").select("arxiv_id", F.array_join("reasons", ",").alias("reasons"), "matched")
+
+
+@query("SELECT '2401' AS month, count(*) AS papers_seen, CAST(count_if(s_suppkey % 8 = 7) AS BIGINT) AS invalid_packages, CAST(count_if(s_suppkey % 2 = 0) AS BIGINT) AS matches FROM supplier")
+def scan_counters(spark, d):
+    from loomwright.plans.stages import collect, scan_counts
+
+    return scan_counts(collect(_packages(spark, d), "2401"))
+
+
+def _pictures(spark: SparkSession, d: str) -> DataFrame:
+    """Pages with one of seven drawings each."""
+
+    def draw(batches):
+        import struct
+        import zlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        def png(seed):
+            rng, out = np.random.default_rng(seed), np.full((100, 100), 255, np.uint8)
+            for x, y, w, h, c in rng.integers([5, 5, 10, 10, 0], [60, 60, 40, 40, 200], (12, 5)).tolist():
+                out[y : y + h, x : x + w] = c
+            chunk = lambda n, b: struct.pack(">I", len(b)) + n + b + struct.pack(">I", zlib.crc32(n + b))
+            raw = b"".join(b"\0" + r.tobytes() for r in out)
+            return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 100, 100, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+
+        made = [png(i) for i in range(7)]
+        for batch in batches:
+            keys = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([f"p{k:06d}" for k in keys]), pa.array([made[k % 7] for k in keys], pa.binary())], ["png", "content"])
+
+    return table(spark, d, "supplier").select("s_suppkey").mapInArrow(draw, "png string, content binary")
+
+
+@query("""SELECT format('p{:06d}', max(s_suppkey)) AS png, format('cluster_{:06d}', row_number() OVER (ORDER BY min(s_suppkey))) AS dedup_cluster, count(*) AS dedup_cluster_size, 1::BIGINT AS dedup_exact_variants FROM supplier GROUP BY s_suppkey % 7""")
+def page_dedup(spark, d):
+    from loomwright.plans.stages import index_pages
+
+    pictures = _pictures(spark, d)
+    figures = pictures.select(F.substring("png", 1, 4).alias("arxiv_id"), F.lit("d").alias("drawio_path"), F.lit(1).alias("page_number"), "png")
+    documents = spark.createDataFrame([("d", b'<mxfile><diagram><mxGraphModel><mxCell vertex="1"/></mxGraphModel></diagram></mxfile>')], "drawio_path string, content binary")
+    papers = figures.select("arxiv_id", F.lit(True).alias("is_cs")).distinct()
+    return dedup.unique_pages(index_pages(figures, documents, pictures, papers))[0].select("png", "dedup_cluster", "dedup_cluster_size", "dedup_exact_variants")
+
+
+@query("""WITH m(name, size) AS (SELECT 'sh-' || (o_orderkey % 9) || '/' || o_orderstatus, count(*) FROM orders GROUP BY 1) SELECT name, size, CAST(sum(size) OVER () AS BIGINT) AS total FROM m""")
+def shard_totals(spark, d):
+    name = F.concat(F.lit("sh-"), (F.col("o_orderkey") % 9).cast("string"), F.lit("/"), F.col("o_orderstatus"))
+    m = table(spark, d, "orders").groupBy(name.alias("name")).agg(F.count("*").alias("size"))
+    return m.crossJoin(F.broadcast(m.agg(F.sum("size").alias("total"))))
