@@ -154,23 +154,42 @@ def _sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     return out
 
 
-def _compare(docs: DataFrame, assigned: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (u, v) inside each (task, part); side 0 documents meet all others, side 1 only those of side 0."""
+def _compare(docs: DataFrame, assigned: DataFrame, k: int, percent: int, links: bool = False) -> DataFrame:
+    """(node, root): the least document that each linked one reaches inside its (task, part).
+
+    With ``links`` the links (node, root) themselves: documents of side 0 meet all of their
+    part, those of side 1 only side 0.
+    """
 
     def link(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         part, side = group["part"].to_numpy(), group["side"].to_numpy()
         ids, sets = group["doc_id"].to_numpy(), _sets(group["text"], k)
         order = np.argsort(part, kind="stable")
-        u, v = [], []
+        u: list[int] = []
+        v: list[int] = []
         for some in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
-            for x, y in _linked(sets, some[side[some] == 0], some, percent):
-                u.append(ids[x])
-                v.append(ids[y])
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+            pairs = [(int(ids[x]), int(ids[y])) for x, y in _linked(sets, some[side[some] == 0], some, percent)]
+            if links:
+                u += [x for x, _ in pairs]
+                v += [y for _, y in pairs]
+                continue
+            up: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while up.setdefault(x, x) != x:  # noqa: B023
+                    up[x] = x = up[up[x]]  # noqa: B023
+                return x
+
+            for x, y in pairs:
+                x, y = sorted((root(x), root(y)))
+                up[y] = x
+            u += up
+            v += [root(x) for x in up]
+        return pa.table({"node": pa.array(u, pa.int64()), "root": pa.array(v, pa.int64())})
 
     rows = docs.join(assigned, "doc_id").select("task", "part", "side", "doc_id", "text")
-    return rows.groupBy("task").applyInArrow(lambda t: link(t), "u long, v long")
+    return rows.groupBy("task").applyInArrow(lambda t: link(t), "node long, root long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, task_shingles: int = TASK_SHINGLES, task_docs: int = TASK_DOCS) -> DataFrame:
@@ -197,33 +216,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, task_shingle
     small_ones = sized.join(totals.filter("chunks = 1").select("component"), "component").select(
         "doc_id", F.pmod(F.xxhash64("component"), F.lit(tasks)).alias("task"), F.col("component").alias("part"), F.lit(0).alias("side")
     )
-    links = scratch.put(_compare(texts, small_ones, k, percent), "links-small")
+    found = scratch.put(_compare(texts, small_ones, k, percent), "roots")
 
     large = sized.join(totals.filter("chunks > 1").select("component", "chunks"), "component")
     if not large.isEmpty():
-        links = links.unionByName(_large(texts, large, k, percent, scratch, task_shingles, task_docs))
-    found = components(links, scratch, "linked")
-    named = classes.select("n_shingles", "d1", "d2", "rep").join(found, F.col("rep") == F.col("node"), "left")
-    named = named.select("n_shingles", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
+        found = found.unionByName(_large(texts, large, k, percent, scratch, task_shingles, task_docs))
+    named = classes.select("n_shingles", "d1", "d2", "rep").join(found.groupBy("node").agg(F.min("root").alias("root")), F.col("rep") == F.col("node"), "left")
+    named = named.select("n_shingles", "d1", "d2", F.coalesce("root", "rep").alias("component_id"))
     out = signs.drop("bands").join(named, ["n_shingles", "d1", "d2"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def _large(texts: DataFrame, large: DataFrame, k: int, percent: int, scratch: Scratch, task_shingles: int, task_docs: int) -> DataFrame:
-    """Links of clusters that are too large for a task."""
+    """(node, root) for clusters that are too large for a task."""
     state = scratch.put(large.select("doc_id", "component", "n_shingles", F.col("doc_id").alias("label")), "large-0")
-    links, step = None, 0
 
-    def relabel(found: DataFrame) -> DataFrame:
-        nonlocal state, links, step
-        links = found if links is None else links.unionByName(found)
-        step += 1
-        label = components(links, scratch, f"large-{step}")
-        state = scratch.put(
-            state.drop("label").join(label.select(F.col("node").alias("doc_id"), F.col("component").alias("label")), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id")),
-            f"large-{step}-state",
-        )
-        return state
+    def relabel(roots: DataFrame, name: str) -> DataFrame:
+        new = state.join(roots.groupBy(F.col("node").alias("label")).agg(F.min("root").alias("root")), "label", "left")
+        return scratch.put(new.select("doc_id", "component", "n_shingles", F.coalesce("root", "label").alias("label")), name)
 
     def chunked(members: DataFrame, salt: int) -> DataFrame:
         sums = members.groupBy("component").agg(F.sum("n_shingles").alias("total"), F.count("*").alias("docs"))
@@ -232,12 +242,13 @@ def _large(texts: DataFrame, large: DataFrame, k: int, percent: int, scratch: Sc
         task = F.xxhash64("component", chunk, F.lit(salt))
         return members.join(sums.select("component", n.alias("n")), "component").select("doc_id", task.alias("task"), task.alias("part"), F.lit(0).alias("side"))
 
-    members, left = state, None
+    members, left, step = state, None, 0
     while True:  # chunks, then one of each linked part, while parts still join
-        relabel(scratch.put(_compare(texts, chunked(members, step), k, percent), f"links-{step}"))
+        step += 1
+        state = relabel(_compare(texts, chunked(members, step), k, percent), f"large-{step}")
         members = state.filter("doc_id = label")
-        now = members.count()
-        if now == left or now <= state.select("component").distinct().count():
+        now, least = members.agg(F.count("*"), F.count_distinct("component")).first()
+        if now in (left, least):
             break
         left = now
 
@@ -245,25 +256,26 @@ def _large(texts: DataFrame, large: DataFrame, k: int, percent: int, scratch: Sc
     rank = F.row_number().over(Window.partitionBy("component").orderBy(F.desc("docs"), "label"))
     parts = scratch.put(parts.withColumn("main", rank == 1), "parts")
     apart = parts.filter("not main").groupBy("component").agg(F.sum("docs").alias("o_docs"), F.sum("total").alias("o_total"))
-    if apart.isEmpty():
-        return links
-    whole = parts.groupBy("component").agg(F.sum("docs").alias("docs"), F.sum("total").alias("total"))
-
-    def blocks(size: str, count: str):
-        return F.ceil(F.greatest(2 * F.col(size) / task_shingles, 2 * F.col(count) / task_docs)).cast("long")
-
-    plan = apart.join(whole, "component").select("component", blocks("o_total", "o_docs").alias("rows"), blocks("total", "docs").alias("columns"))
-    placed = state.join(parts.select("component", "label", "main"), ["component", "label"]).join(plan, "component")
-    some = F.xxhash64("doc_id", F.lit("row"))
-    as_row = placed.filter("not main").select(
-        "doc_id", "component", F.pmod(some, F.col("rows")).alias("r"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("columns") - 1)).alias("c"), F.lit(0).alias("side")
-    )
-    as_column = placed.select(
-        "doc_id", "component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("r"), F.pmod(F.xxhash64("doc_id", F.lit("column")), F.col("columns")).alias("c"), F.lit(1).alias("side")
-    )
-    both = as_row.unionByName(as_column).groupBy("doc_id", "component", "r", "c").agg(F.min("side").alias("side"))
-    task = F.xxhash64("component", "r", "c")
-    return links.unionByName(scratch.put(_compare(texts, both.select("doc_id", task.alias("task"), task.alias("part"), "side"), k, percent), "links-blocks"))
+    if not apart.isEmpty():
+        whole = parts.groupBy("component").agg(F.sum("docs").alias("docs"), F.sum("total").alias("total"))
+
+        def blocks(size: str, count: str):
+            return F.ceil(F.greatest(2 * F.col(size) / task_shingles, 2 * F.col(count) / task_docs)).cast("long")
+
+        plan = apart.join(whole, "component").select("component", blocks("o_total", "o_docs").alias("rows"), blocks("total", "docs").alias("columns"))
+        placed = state.join(parts.select("component", "label", "main"), ["component", "label"]).join(plan, "component")
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        as_row = placed.filter("not main").select("doc_id", "component", F.pmod(F.xxhash64("doc_id", F.lit("row")), F.col("rows")).alias("r"), every("columns").alias("c"), F.lit(0).alias("side"))
+        as_column = placed.select("doc_id", "component", every("rows").alias("r"), F.pmod(F.xxhash64("doc_id", F.lit("column")), F.col("columns")).alias("c"), F.lit(1).alias("side"))
+        both = as_row.unionByName(as_column).groupBy("doc_id", "component", "r", "c").agg(F.min("side").alias("side"))
+        task = F.xxhash64("component", "r", "c")
+        links = _compare(texts, both.select("doc_id", task.alias("task"), task.alias("part"), "side"), k, percent, links=True)
+        labels = state.select(F.col("doc_id").alias("node"), F.col("label").alias("u")).distinct()
+        ends = links.join(labels, "node").select("u", F.col("root").alias("node")).join(labels.withColumnRenamed("u", "v"), "node").select("u", "v").filter("u != v")
+        ends = scratch.put(ends.distinct(), "links-blocks")
+        if not ends.isEmpty():
+            state = relabel(components(ends, scratch, "parts-linked").select("node", F.col("component").alias("root")), "large-linked")
+    return state.select(F.col("doc_id").alias("node"), F.col("label").alias("root"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
