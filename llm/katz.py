@@ -42,7 +42,7 @@ from llm.textcodes import byte_chunks, word_codes
 TOP = 5
 CHUNK_BYTES = 8 << 20
 #: Entries (word or bigram of a chunk) that one task answers, about.
-TASK_ENTRIES = 2_000_000
+TASK_ENTRIES = 1_000_000
 ADD = 0.1
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
@@ -353,8 +353,10 @@ def scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, task_entries: int =
     first = scratch.put(answer_unigrams(ask_unigrams(chunked, buckets1)), "unigrams")
     stats = _stats(first, TOP + 5)
     unigrams = Unigrams(int(stats[0]), int(stats[1]), stats[2:])
+    joined = scratch.put(chunked.join(ordered(first), "chunk"), "known")
+    scratch.drop("chunks")
+    scratch.drop("unigrams")
     scratch.tidy()
-    joined = chunked.join(ordered(first), "chunk")
     second = scratch.put(answer_bigrams(ask_bigrams(joined, buckets1, buckets2), unigrams), "bigrams")
     scratch.tidy()
     d = discounts(_stats(second, TOP + 3))
