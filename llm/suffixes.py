@@ -41,6 +41,8 @@ LENGTH = 400
 GRAM = 64
 #: Bytes of segments that one task sorts, and the most classes of one anchor that it takes.
 TASK_BYTES, MOST = 2_000_000, 512
+#: Neighbouring strings that are counted together at anchors with more classes.
+BLOCK = 12
 
 SEGMENTS = "doc_id long, t long, h long, d1 long, d2 long, s0 int, n int"
 
@@ -81,7 +83,11 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> t
 
 def _rank(x: np.ndarray) -> np.ndarray:
     """Dense ranks from 1; 0 is left for what lies beyond the end."""
-    return np.unique(x, return_inverse=True)[1].astype(np.uint64) + np.uint64(1)
+    order = np.argsort(x)
+    sorted_ = x[order]
+    out = np.empty(len(x), np.uint64)
+    out[order] = np.cumsum(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]), dtype=np.uint64)
+    return out
 
 
 class Ranks:
@@ -89,12 +95,16 @@ class Ranks:
 
     def __init__(self, text: np.ndarray):
         self.n = len(text)
-        self.by = {1: text.astype(np.uint64)}
-        wide = self.by[1]
-        for size in (2, 4):
-            wide = self.by[size] = (wide << np.uint64(9 * size // 2)) | self._shift(wide, size // 2)
-        self.by[4] = wide
-        for size in (8, 16, 32, 64):
+        used = np.zeros(512, bool)
+        used[text] = True
+        if used[1:].sum() < 256:  # one byte for each symbol, so that eight fill a word
+            first, bits = (np.cumsum(used) - used[0]).astype(np.uint64), 8
+        else:
+            first, bits = np.arange(512, dtype=np.uint64), 9
+        self.by = {1: first[text]}
+        for size in (2, 4, 8)[: 2 + (bits == 8)]:
+            self.by[size] = (self.by[size // 2] << np.uint64(bits * size // 2)) | self._shift(self.by[size // 2], size // 2)
+        for size in (8, 16, 32, 64)[bits == 8 :]:
             small = _rank(self.by[size // 2])
             self.by[size // 2] = small
             self.by[size] = (small << np.uint64(32)) | self._shift(small, size // 2)
@@ -249,6 +259,62 @@ def _cut_texts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return rows.select(*[c for c in wanted.columns if c not in ("doc_id", "t", "s0")], F.substring(F.col("text").cast("binary"), F.col("s0") + 1, F.col("n") + length - 1).alias("segment"))
 
 
+def _digest(x: bytes | memoryview) -> bytes:
+    return hashlib.blake2b(x, digest_size=16).digest()
+
+
+def _count_strings(edges: DataFrame, scratch: Scratch, length: int, gram: int) -> DataFrame:
+    """(h, d1, d2, runs) for classes of anchors that have too many to be gathered, by counting digests.
+
+    The strings of a segment are taken in blocks of neighbours, placed by the anchor.  Equal
+    strings lie in blocks whose common bytes are equal; a block that is equal as a whole to
+    another is settled, and only where different blocks have common bytes in common are
+    single strings counted.
+    """
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for h, d1, d2, copies, n, segment in zip(*(batch.column(c).to_pylist() for c in ("h", "d1", "d2", "copies", "n", "segment"))):
+                data = np.frombuffer(segment, np.uint8)
+                at = np.arange(len(data) - gram + 1)
+                code = spans_code(prefix(data), at, at + gram)
+                # the anchor of the first string, as segments() found it
+                anchor = int(np.argmin((code[: length - gram + 1] & ~np.uint64(0xFFFFFFFF)) | at[: length - gram + 1].astype(np.uint64)))
+                i = 0
+                while i < n:
+                    b = (anchor - i) // BLOCK
+                    m = min(n, anchor - b * BLOCK + 1) - i
+                    core = anchor - b * BLOCK
+                    rows.append((h, d1, d2, copies, b, _digest(segment[core : core - BLOCK + 1 + length]), _digest(segment[i : i + m - 1 + length] + bytes([(anchor - i) % BLOCK])), i, m, segment[i : i + m - 1 + length]))
+                    i += m
+            columns = list(zip(*rows)) or [()] * 10
+            kinds = [pa.int64()] * 5 + [pa.binary()] * 2 + [pa.int32()] * 2 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["h", "d1", "d2", "copies", "b", "core", "whole", "i", "m", "bytes"])
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (whole, weight, t, _digest(data[t : t + length]))
+                for whole, weight, m, data in zip(*(batch.column(c).to_pylist() for c in ("whole", "weight", "m", "bytes")))
+                for t in range(m)
+            ]
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.binary(), pa.int64(), pa.int32(), pa.binary()])], ["whole", "weight", "i", "digest"])
+
+    each = scratch.put(edges.mapInArrow(blocks, "h long, d1 long, d2 long, copies long, b long, core binary, whole binary, i int, m int, bytes binary"), "blocks")
+    wholes = each.groupBy("h", "b", "core", "whole").agg(F.sum("copies").alias("weight"), F.first("m").alias("m"), F.first("bytes").alias("bytes"))
+    wholes = scratch.put(wholes, "wholes")
+    cores = wholes.groupBy("h", "b", "core").agg(F.sum("weight").alias("total"), F.count("*").alias("wholes")).filter("total > 1")
+    wholes = wholes.join(cores, ["h", "b", "core"])
+    single = scratch.put(wholes.filter("wholes > 1").select("whole", "weight", "m", "bytes").mapInArrow(strings, "whole binary, weight long, i int, digest binary"), "strings")
+    twice = single.groupBy("digest").agg(F.sum("weight").alias("total")).filter("total > 1").select("digest")
+    some = single.filter("weight = 1").join(twice, "digest").groupBy("whole").agg(F.flatten(F.collect_list(F.array("i", F.col("i") + 1))).alias("runs"))
+    settled = wholes.filter("weight > 1").select("whole", F.array(F.lit(0), F.col("m")).alias("runs"))
+    placed = each.select("h", "d1", "d2", "whole", "i").join(some.unionByName(settled), "whole")
+    return placed.groupBy("h", "d1", "d2").agg(F.flatten(F.collect_list(F.transform("runs", lambda x: x + F.col("i")))).alias("runs"))
+
+
 def repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, task_bytes: int = TASK_BYTES, most: int = MOST) -> DataFrame:
     """(doc_id, t, runs): runs of strings that occur elsewhere, by their first bytes; docs: doc_id, t, text."""
     found = scratch.put(find_segments(docs, length, gram), "segments")
@@ -275,24 +341,8 @@ def repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int =
     sortable = cut.filter(F.col("rivals") <= most).select("h", "d1", "d2", "copies", "n", "segment", F.pmod(F.xxhash64("h"), F.lit(tasks)).alias("task"))
     sorted_ = sortable.groupBy("task").applyInArrow(lambda t: sort(t), marks)
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                text = np.frombuffer(batch.column("segment")[i].as_buffer(), np.uint8)
-                n = batch.column("n")[i].as_py()
-                view = memoryview(text)
-                pair = np.frombuffer(b"".join([hashlib.blake2b(view[a : a + length], digest_size=16).digest() for a in range(n)]), np.int64).reshape(-1, 2)
-                same = lambda c: pa.array(np.full(n, batch.column(c)[i].as_py(), np.int64))  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([*map(same, ("h", "d1", "d2", "copies")), pa.array(np.arange(n, dtype=np.int32)), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], ["h", "d1", "d2", "copies", "i", "k1", "k2"])
-
     edges = cut.filter(F.col("rivals") > most)
-    if edges.isEmpty():
-        counted = None
-    else:
-        each = scratch.put(edges.mapInArrow(strings, "h long, d1 long, d2 long, copies long, i int, k1 long, k2 long"), "strings")
-        twice = each.groupBy("k1", "k2").agg(F.sum("copies").alias("total")).filter("total > 1").select("k1", "k2")
-        places = each.join(twice, ["k1", "k2"]).groupBy("h", "d1", "d2").agg(F.sort_array(F.collect_list("i")).alias("i"))
-        counted = places.select("h", "d1", "d2", F.flatten(F.transform("i", lambda i: F.array(i, i + 1))).alias("runs"))
+    counted = None if edges.isEmpty() else _count_strings(edges, scratch, length, gram)
     marked = alone.unionByName(sorted_)
     marked = scratch.put((marked.unionByName(counted) if counted is not None else marked).filter(F.size("runs") > 0), "marked")
     placed = found.join(marked, ["h", "d1", "d2"])
