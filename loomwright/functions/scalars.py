@@ -68,9 +68,9 @@ def hex_of_bits(bits: Column) -> Column:
 
 def bits_above_median(values: Column) -> Column:
     """One bit for each of 64 values: above the median of all but the first; the first is never set."""
-    rest = F.array_sort(F.slice(values, 2, 63))
-    median = F.element_at(rest, 32)
-    return F.transform(values, lambda v, i: (v > median) & (i > 0))
+    # The outer lambda binds the median, so that it is found once and not for each value.
+    bound = F.array(F.struct(values.alias("v"), F.element_at(F.array_sort(F.slice(values, 2, 63)), 32).alias("m")))
+    return F.element_at(F.transform(bound, lambda s: F.transform(s["v"], lambda v, i: (v > s["m"]) & (i > 0))), 1)
 
 
 def slug(text: Column, most: int = 100, empty: str = "diagram") -> Column:

@@ -38,8 +38,9 @@ def hamming_pairs(df: DataFrame, key: str, code: str, radius: int, carry: Sequen
     Rows meet on shared bands; of several shared bands only the first reports a pair, so no
     distinct is needed.  Rows of one code should be made one row first.
     """
-    pieces = bands_of(F.col(code), radius)
-    spread = df.select(key, code, *carry, F.posexplode(F.array(*pieces)).alias("_band", "_piece")).filter(F.col(code).isNotNull())
+    # Bound by a lambda, so that the code is not worked out again for each band.
+    pieces = F.element_at(F.transform(F.array(F.col(code)), lambda c: F.array(*bands_of(c, radius))), 1)
+    spread = df.filter(F.col(code).isNotNull()).select(key, code, *carry, F.posexplode(pieces).alias("_band", "_piece"))
     left = spread.select("_band", "_piece", *[F.col(c).alias(f"left_{c}") for c in (key, code, *carry)])
     right = spread.select("_band", "_piece", *[F.col(c).alias(f"right_{c}") for c in (key, code, *carry)])
     pairs = left.join(right, ["_band", "_piece"]).filter(F.col(f"left_{key}") < F.col(f"right_{key}"))
