@@ -1,10 +1,10 @@
 """Ordered folds: next-fit packing and fixed chunks.
 
-Next-fit depends on all that came before, so it is a fold over rows in order.  The fold
-is done in three steps that keep it off one task: each block of consecutive rows finds,
-for a fresh start at its first row, where bins begin and what its last bin holds; a small
-pass over one row for each block follows which starts are real; and blocks whose real
-start differs run again from there.  Bins never depend on how rows are spread.
+Next-fit depends on all that came before, so it is a fold over rows in order.  Few rows
+are one group.  More rows are ranged into blocks by their order; the weights of one block
+at a time, and nothing else, are followed through to learn which bin is open where the
+next block begins, and then all blocks number their rows side by side.  Bins never depend
+on how rows are spread.  Blocks are followed one after the other: a fold has no other way.
 """
 
 from __future__ import annotations

@@ -305,9 +305,6 @@ def scale_groups(spark, d):
     return adaptive_scale(spark, d).groupBy("scale").agg(F.count("*").alias("n"), F.min("page_id").alias("first_page")).orderBy(F.desc("scale"))
 
 
-_DOT = "list_sum(list_transform(range(1, 65), lambda i: e.embedding[i]::DOUBLE * c.center[i]))"
-
-
 @query("""WITH l AS (SELECT vec_id, list_transform(embedding[1:8], lambda x: x::DOUBLE * 10) AS p, list_transform(embedding[9:19], lambda x: x::DOUBLE * 10) AS n FROM embeddings),
 m AS (SELECT vec_id, list_max(p) + ln(list_sum(list_transform(p, lambda x: exp(x - list_max(p))))) - ln(8) AS pos, list_max(n) + ln(list_sum(list_transform(n, lambda x: exp(x - list_max(n))))) - ln(11) AS neg FROM l)
 SELECT vec_id, round(pos, 6) AS positive_logit, round(neg, 6) AS negative_logit, round(pos - neg, 6) AS model_margin, pos - neg > -2.3 AS model_keep FROM m""")
