@@ -29,6 +29,9 @@ END_ID = 1
 #: Encodings of so many different words are kept by a worker before it starts anew.
 CACHED_WORDS = 1_000_000
 
+#: ASCII signs, which are neither letters nor digits nor white space.
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
 STORED = "part long, local_start long, doc_id long, n long, ids binary"
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -61,6 +64,15 @@ class WordEncoder:
         self.ends[[i for w, i in t.get_vocab().items() if w.endswith("</w>")]] = True
         self.special = [x.content for x in t.get_added_tokens_decoder().values()]
 
+    def _cut(self, word: str) -> list[str]:
+        """Pieces of a normalised word; letters with signs after them need no pattern."""
+        if word.isalpha():
+            return [word]
+        core = word.rstrip(_SIGNS)
+        if core.isalpha():
+            return [core, word[len(core) :]]
+        return self.find(word)
+
     def _learn(self, new: list[str]) -> None:
         """Encode pieces, many at a time."""
         for low in range(0, len(new), 256):
@@ -93,7 +105,7 @@ class WordEncoder:
             if b"<|" in w and any(x in w.decode("utf-8", "replace") for x in self.special):
                 words[w] = np.asarray(self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
             else:
-                parts[w] = self.find(low)
+                parts[w] = self._cut(low)
         self._learn(list({p for got in parts.values() for p in got if p not in pieces}))
         for w, got in parts.items():
             words[w] = b"".join([pieces[p] for p in got])
