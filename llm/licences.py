@@ -4,7 +4,9 @@ A text is normalised: lower case, copyright and "all rights reserved" lines remo
 equivalent spellings made one, everything but letters and digits a space.  The digest of
 the whole result is looked up among the digests of known licence texts and notices,
 normalised the same way.  Documents are looked up as a whole, by paragraph and by line,
-so that a notice inside a document is found under its own digest.
+so that a notice inside a document is found under its own digest.  Whole licence texts
+are also looked up as passages: from the start of a line, as long as the known text is,
+where that is not the whole document.
 
 Only built-in functions run: one pass over the text, an explode that never shuffles the
 text, and a broadcast join with the table of known digests, whose size is fixed here.
@@ -15,7 +17,9 @@ out.  Rows that repeat an id add up.  Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,10 +95,60 @@ Permission is granted to anyone to use this software for any purpose, including
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
 }
 
+FILES = Path(__file__).with_name("licence_texts")
+#: Whole texts in files, with where their terms begin, and end if something follows them that is often left out.
+TERMS = {
+    "0BSD": ("Permission to use", None),
+    "BSD-2-Clause": ("Redistribution and use", None),
+    "BSD-3-Clause": ("Redistribution and use", None),
+    "Apache-2.0": ("TERMS AND CONDITIONS FOR USE", "END OF TERMS AND CONDITIONS"),
+    "GPL-2.0": ("Preamble", "END OF TERMS AND CONDITIONS"),
+    "GPL-3.0": ("Preamble", "END OF TERMS AND CONDITIONS"),
+    "LGPL-2.1": ("Preamble", "END OF TERMS AND CONDITIONS"),
+    "LGPL-3.0": ("This version of the GNU Lesser", None),
+    "MPL-2.0": ("1. Definitions", None),
+    "EPL-2.0": ("THE ACCOMPANYING PROGRAM", None),
+    "Unlicense": ("This is free and unencumbered", "OTHER DEALINGS IN THE SOFTWARE."),
+    "BSL-1.0": ("Permission is hereby granted", None),
+    "CC0-1.0": ("Statement of Purpose", None),
+    "CC-BY-SA-4.0": ("By exercising the Licensed Rights", "=" * 71),
+}
+#: Characters of a line by which places are chosen where a whole text is compared.
+HEAD = 8
+
+
+def _spelt(text: str) -> set[str]:
+    """A text as it is wrapped and with each paragraph on a line, its items numbered or not, and its usual variants."""
+    out = {text, re.sub(r"(?<=\S)[ \t]*\n[ \t]*(?=\S)", " ", text)}
+    if text.startswith("Redistribution and use"):
+        out |= {re.sub(r"(?m)^(\s*)\d\. ", r"\1", t) for t in out}
+        out |= {re.sub(r"HOLDER(\s+)OR(\s+)CONTRIBUTORS", r"OWNER\1OR\2CONTRIBUTORS", t) for t in out}
+    return out
+
+
+def passages() -> list[tuple[str, str]]:
+    """(licence, text) of the terms of every whole text, without title and appendix."""
+    rows = [(licence, t) for licence, text in TEXTS.items() for t in _spelt(text)]
+    for licence, (begin, end) in TERMS.items():
+        text = (FILES / f"{licence}.txt").read_text()
+        text = text[text.index(begin) :]
+        rows += [(licence, t) for t in _spelt(text[: text.rindex(end) + len(end)] if end else text)]
+    return rows
+
+
+def whole() -> list[tuple[str, str]]:
+    """(licence, text) of every whole text: the terms and all that follows, alone, under its titles and as its file has it."""
+    rows = passages()
+    for licence, (begin, _) in TERMS.items():
+        text = (FILES / f"{licence}.txt").read_text()
+        rows += [(licence, t) for part in (text[text.index(begin) :], text) for t in _spelt(part)]
+    titles = {licence: [f"{the}{n}{short}" for n in NAMES[licence] for the in ("", "The ") for short in ("", f" ({licence})")] for licence in dict(rows)}
+    return rows + [(licence, f"{title}\n\n{text}") for licence, text in rows for title in titles[licence]]
+
 
 def known() -> list[tuple[str, str]]:
     """(licence, text) of every known text and notice; a few thousand, however large the corpus."""
-    rows = list(TEXTS.items())
+    rows = whole()
     for licence, names in NAMES.items():
         rows.append((licence, f"SPDX-License-Identifier: {licence}"))
         rows += [(licence, form.format(subject=s, verb=v if not s else v.lower(), name=n)) for n in names for s in SUBJECTS for v in VERBS for form in FORMS]
@@ -109,8 +163,12 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(x, " ?\n ?", "\n"), r"^[ \n]+|[ \n]+$", "")
 
 
+def flat(unit: Column) -> Column:
+    return F.trim(F.regexp_replace(unit, "[ \n]+", " "))
+
+
 def digest(unit: Column) -> Column:
-    return F.sha2(F.trim(F.regexp_replace(unit, "[ \n]+", " ")), 256)
+    return F.sha2(flat(unit), 256)
 
 
 def digests(spark: SparkSession) -> DataFrame:
@@ -119,6 +177,30 @@ def digests(spark: SparkSession) -> DataFrame:
     return rows.groupBy(digest(normalised(F.col("text"))).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 
+def terms(spark: SparkSession, text: Column) -> Column:
+    """Array of what stands in a normalised text where a whole text can begin, as long as that text is.
+
+    Lines have a character at least, so no more of them than half its length are joined.
+    """
+    found = spark.createDataFrame(passages(), "license_id string, text string").select(flat(normalised(F.col("text"))).alias("text")).distinct().collect()
+    known_sizes = sorted({(r[0][:HEAD].strip(), len(r[0])) for r in found})
+    sizes = F.array(*[F.struct(F.lit(h).alias("head"), F.lit(n).alias("n")) for h, n in known_sizes])
+    heads = sorted({h for h, _ in known_sizes})
+    lines = F.split(text, "\n+")
+    head = lambda line: F.trim(F.substring(line, 1, HEAD))
+
+    def at(i: Column) -> Column:
+        def unit(k: Column) -> Column:
+            rest = F.array_join(F.slice(lines, i + 1, (k["n"] / 2).cast("int") + 2), " ")
+            ends = rest.substr(k["n"] + 1, F.lit(1)).isin("", " ") & ((i > 0) | (F.length(rest) > k["n"]))
+            return F.when(ends & (F.length(rest) >= k["n"]), rest.substr(F.lit(1), k["n"]))
+
+        return F.transform(F.filter(sizes, lambda k: k["head"] == head(F.get(lines, i))), unit)
+
+    starts = F.array_compact(F.transform(lines, lambda line, i: F.when(head(line).isin(heads), i)))
+    return F.array_compact(F.flatten(F.transform(starts, at)))
+
+
 def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
     """(doc_id, license_id, scope, n_units); licences: (license_id, digest), the known ones by default."""
     licences = digests(docs.sparkSession) if licences is None else licences
@@ -128,6 +210,7 @@ def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
         F.array(one("document")(F.col("text"))),
         F.transform(F.split("text", "\n\n+"), one("paragraph")),
         F.transform(F.split("text", "\n+"), one("line")),
+        F.transform(terms(docs.sparkSession, F.col("text")), one("passage")),
     )
     rows = texts.select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.scope", digest(F.col("u.unit")).alias("digest"))
     found = rows.join(F.broadcast(licences), "digest")
