@@ -14,7 +14,8 @@ from llm import langid, minhash, packing, suffixes, tiling
 from llm.common import Scratch, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A text whose vector is farther than this from every centroid is no text of a known language.
+#: A text whose vector is farther than this from every centroid is no text of a known language, nor is one
+#: that is far for its number of distinct n-grams, which the model learns from its training texts.
 MIN_SCORE = 0.05
 #: Bytes of a passage that counts as repeated: no more than fifty words of running text have.
 REPEATED_BYTES = 200
@@ -23,7 +24,7 @@ REPEATED_BYTES = 200
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language is set to the prediction; texts of no known language go."""
     docs = docs.select(*COLUMNS)
-    seen = langid.reject(langid.annotate(docs, langid.fit(docs)), MIN_SCORE)
+    seen = langid.reject(langid.annotate(docs, langid.fit(docs, floors=True)), MIN_SCORE)
     kept = seen.filter(F.col("lang_pred") != langid.UNKNOWN)
     return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 

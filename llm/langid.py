@@ -5,7 +5,9 @@ they are A-Z, everything that cannot be part of a letter a single space), hashed
 fixed number of dimensions, damped, weighted by inverse document frequency and
 normalised.  Each language has several centroids, found by spherical k-means over its
 training vectors.  A text gets the language of the centroid with the largest cosine; a
-text nearer to none than ``min_score`` can be rejected.
+text nearer to none than ``min_score`` can be rejected.  So can a text that is far for
+its number of distinct n-grams: the model then knows how near the texts of a language
+and their beginnings come to centroids that are made without them.
 
 Training takes at most ``per_language`` labelled rows of each language (a documented
 bound for the fit alone; prediction reads whole texts of all rows).  Null text, and
@@ -34,6 +36,11 @@ CENTROIDS = 4
 #: The most training rows of a language.
 PER_LANGUAGE = 800
 UNKNOWN = "und"
+#: A text is far below this share of the cosine that all but ``LOW`` of its language's texts reach.
+NEAR, LOW = 0.7, 0.01
+#: Bytes of the beginnings of training texts, so that every length has examples; the least examples of a number of n-grams.
+BEGINNINGS, EXAMPLES = (24, 48, 96, 192, 384, 768, 1536), 30
+_STEPS = 2 * DIMENSIONS.bit_length()
 
 _MAP = np.full(256, 32, np.uint8)
 _MAP[97:123] = np.arange(97, 123)
@@ -75,11 +82,20 @@ def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return found
 
 
+def step_of(counts: np.ndarray) -> np.ndarray:
+    """The number of distinct n-grams of each row, in half octaves."""
+    return np.floor(2 * np.log2(np.maximum((counts > 0).sum(axis=1), 1))).astype(np.int64)
+
+
 @dataclass
 class Model:
     languages: list[str]
     idf: np.ndarray
     centroids: np.ndarray  # (languages x CENTROIDS) x dims, unit length or zero
+    floors: np.ndarray | None = None  # languages x _STEPS: lower cosines are far
+
+    def far(self, counts: np.ndarray, best: np.ndarray, cosine: np.ndarray) -> np.ndarray:
+        return cosine < self.floors[best, step_of(counts)] if self.floors is not None else np.zeros(len(best), bool)
 
     def weigh(self, counts: np.ndarray) -> np.ndarray:
         x = np.log1p(counts) * self.idf
@@ -110,8 +126,41 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centers
 
 
-def fit(training: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
-    """A model from rows (doc_id, text, lang); rows without text or language take no part.
+def _floors(model: Model, langs: np.ndarray, x: np.ndarray, cut: list[tuple[int, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Least cosines by language and step, from texts and beginnings against centroids of the other half of the texts.
+
+    A step with few examples takes those of smaller steps too, whose cosines are lower; without enough it has no floor.
+    """
+    out = np.zeros((len(model.languages), _STEPS))
+    for k, lang in enumerate(model.languages):
+        own = np.flatnonzero(langs == lang)
+        halves = own[::2], own[1::2]
+        if not len(halves[1]):
+            continue
+        found: list[list[float]] = [[] for _ in range(_STEPS)]
+        for mine, others in (halves, halves[::-1]):
+            centers, ours = _kmeans(x[others], CENTROIDS), set(mine.tolist())
+            rows = [c for c in cut if c[0] in ours]
+            for first in range(0, len(rows), 256):
+                dense = np.zeros((len(rows[first : first + 256]), DIMENSIONS), np.float32)
+                for i, (_, at, n) in enumerate(rows[first : first + 256]):
+                    dense[i, at] = n
+                for s, c in zip(step_of(dense), (model.weigh(dense) @ centers.T).max(axis=1)):
+                    found[s].append(float(c))
+            for s, c in zip(step_of(x[mine]), (x[mine] @ centers.T).max(axis=1)):
+                found[s].append(float(c))
+        for s in range(_STEPS):
+            low, seen = s, found[s]
+            while len(seen) < EXAMPLES and low:
+                low -= 1
+                seen = seen + found[low]
+            if len(seen) >= EXAMPLES:
+                out[k, s] = NEAR * np.quantile(seen, LOW)
+    return out
+
+
+def fit(training: DataFrame, per_language: int = PER_LANGUAGE, floors: bool = False) -> Model | None:
+    """A model from rows (doc_id, text, lang), with floors if wanted; rows without text or language take no part.
 
     Which rows make up the bounded sample depends on a hash of the id alone.
     """
@@ -129,11 +178,15 @@ def fit(training: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
                 got = gram_counts(data, offsets)
                 where = [np.flatnonzero(x).astype("<u2") for x in got]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(1).slice(low, len(got)), pa.array([w.tobytes() for w in where], pa.binary()), pa.array([x[w].astype("<f4").tobytes() for x, w in zip(got, where)], pa.binary())],
-                    ["lang", "at", "n"],
+                    [batch.column(1).slice(low, len(got)), pa.array([w.tobytes() for w in where], pa.binary()), pa.array([x[w].astype("<f4").tobytes() for x, w in zip(got, where)], pa.binary()), pa.array(beginnings(data, offsets), pa.list_(pa.binary()))],
+                    ["lang", "at", "n", "cut"],
                 )
 
-    rows = sample.select("text", "lang").mapInArrow(features, "lang string, at binary, n binary").toArrow()
+    def beginnings(data: np.ndarray, offsets: np.ndarray) -> list[list[bytes]]:
+        texts = [data[a : min(b, a + BEGINNINGS[-1])].tobytes() for a, b in zip(offsets, offsets[1:])] if floors else []
+        return [[t[:n] for n in BEGINNINGS if n < len(t)] for t in texts] or [[] for _ in offsets[1:]]
+
+    rows = sample.select("text", "lang").mapInArrow(features, "lang string, at binary, n binary, cut array<binary>").toArrow()
     langs = np.array(rows["lang"].to_pylist(), object)
     languages = sorted(set(langs))
     if not languages:
@@ -145,6 +198,14 @@ def fit(training: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     model = Model(languages, idf, np.zeros((0, DIMENSIONS), np.float32))
     x = model.weigh(x)
     model.centroids = np.concatenate([_kmeans(x[langs == lang], CENTROIDS) for lang in languages]).astype(np.float32)
+    if floors:
+        cut = []
+        for i, begun in enumerate(rows["cut"].to_pylist()):
+            data = np.frombuffer(b"".join(begun), np.uint8)
+            for row in gram_counts(data, np.concatenate([[0], np.cumsum([len(b) for b in begun], dtype=np.int64)])):
+                at = np.flatnonzero(row)
+                cut.append((i, at.astype(np.uint16), row[at]))
+        model.floors = _floors(model, langs, x, cut)
     return model
 
 
@@ -162,7 +223,9 @@ def annotate(docs: DataFrame, model: Model | None) -> DataFrame:
                     some = some - some[0]
                     known = has_letter(part, some)
                     if model:
-                        best, score = model.predict(gram_counts(part, some))
+                        counts = gram_counts(part, some)
+                        best, score = model.predict(counts)
+                        known &= ~model.far(counts, best, score)
                         names += [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
                         scores.append(np.where(known, score, 0.0).astype(np.float64))
                     else:
