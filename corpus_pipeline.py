@@ -30,9 +30,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the least id."""
+    """One document of each group stays, the one with the least id; of rows that repeat an id the least one."""
     copies = minhash.near_duplicates(docs, k=5, percent=80).filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    kept = docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    # Only rows that repeat an id are aggregated; the least of them combines before its shuffle.
+    least = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r")).select("doc_id", "r.*")
+    return kept.join(again, "doc_id", "left_anti").select(*COLUMNS).unionByName(least)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
