@@ -5,7 +5,9 @@ each tree with the host's template so far: two nodes match if their labels are e
 the matched pairs below them are the most that keep order (dynamic programming).
 Neighbours with one label are one repeating node, so lists of any length align in a few
 steps.  Aligned nodes are merged and counted, others join the template as optional ones.
-For each node the template keeps which texts it carried, the frequent ones with counts:
+For each node the template keeps which texts it carried, the frequent ones with counts
+(lossy at first, with a bound; texts that the bound leaves open are counted exactly in a
+pass over the pages of their hosts):
 texts that stay the same on most pages are constant and belong to the template, nodes
 whose text varies are slots.  The content is the slot region that holds the bulk of the
 varying text off links; a page's text is what its own nodes carry there, without its
@@ -37,8 +39,10 @@ from pyspark.sql import functions as F
 from llm.common import Scratch, table
 
 DEPTH = 60
-#: Texts remembered for a node, and the most nodes of a template.
+#: Texts of a node from which rare ones are let go, and the most nodes of a template.
 TEXTS, NODES = 48, 1500
+#: Counts of a node are too low by no more than this share of its pages; where that can matter they are counted again.
+LOST = 0.25
 #: A text is constant on more than this share of at least so many pages.
 SHARE, PAGES = 0.5, 4
 GROUP, SENT_BYTES = 128, 16 << 20
@@ -189,21 +193,21 @@ def parse(page: str) -> Node:
 class Slot:
     """A node of a template."""
 
-    __slots__ = ("label", "tag", "outside", "pages", "items", "texts", "varied", "linked")
+    __slots__ = ("label", "tag", "outside", "pages", "items", "texts", "varied", "linked", "lost")
 
     def __init__(self, label: str, tag: str, outside: bool):
         self.label, self.tag, self.outside = label, tag, outside
-        self.pages, self.varied, self.linked = 0, 0, 0
+        self.pages, self.varied, self.linked, self.lost = 0, 0, 0, 0
         self.items: list[Slot] = []
         self.texts: dict[str, int] = {}
 
     def __reduce__(self):
-        return _slot, (self.label, self.tag, self.outside, self.pages, self.items, self.texts, self.varied, self.linked)
+        return _slot, (self.label, self.tag, self.outside, self.pages, self.items, self.texts, self.varied, self.linked, self.lost)
 
 
-def _slot(label, tag, outside, pages, items, texts, varied, linked) -> Slot:
+def _slot(label, tag, outside, pages, items, texts, varied, linked, lost) -> Slot:
     s = Slot(label, tag, outside)
-    s.pages, s.items, s.texts, s.varied, s.linked = pages, items, texts, varied, linked
+    s.pages, s.items, s.texts, s.varied, s.linked, s.lost = pages, items, texts, varied, linked, lost
     return s
 
 
@@ -271,9 +275,12 @@ def merge(a: Slot, b: Slot, same_page: bool = False) -> Slot:
     a.linked += b.linked
     for t, n in b.texts.items():
         a.texts[t] = max(a.texts.get(t, 0), n) if same_page else a.texts.get(t, 0) + n
+    a.lost += b.lost
     if len(a.texts) > TEXTS and not same_page:  # frequent texts stay, with counts too low by what was taken off
-        off = sorted(a.texts.values(), reverse=True)[TEXTS]
-        a.texts = {t: n - off for t, n in a.texts.items() if n > off}
+        off = min(sorted(a.texts.values(), reverse=True)[TEXTS], int(LOST * a.pages) - a.lost)
+        if off > 0:
+            a.texts = {t: n - off for t, n in a.texts.items() if n > off}
+            a.lost += off
     a.items = merge_lists(a.items, b.items, same_page)
     return a
 
@@ -324,6 +331,22 @@ class Template:
     def constant(self, slot: Slot | None, text: str) -> bool:
         return slot is not None and self.pages >= PAGES and slot.texts.get(_key(text), 0) > SHARE * self.pages
 
+    def numbered(self) -> list[Slot]:
+        """All slots, in an order that stays."""
+        out, left = [], self.slots[::-1]
+        while left:
+            out.append(left.pop())
+            left += out[-1].items[::-1]
+        return out
+
+    def open_texts(self) -> dict[int, set[str]]:
+        """By slot number, the texts whose counts do not tell whether they are constant."""
+        if self.pages < PAGES:
+            return {}
+        least = SHARE * self.pages
+        found = {k: {t for t, n in s.texts.items() if n <= least < n + s.lost} for k, s in enumerate(self.numbered()) if s.lost}
+        return {k: texts for k, texts in found.items() if texts}
+
     def content(self) -> Slot | None:
         """The deepest slot that holds the bulk of the varying text off links."""
 
@@ -331,7 +354,7 @@ class Template:
             if s.outside:
                 return 0.0
             own = max(s.varied - 2 * s.linked, 0)
-            if s.texts and self.pages >= PAGES and max(s.texts.values()) > SHARE * self.pages and len(s.texts) <= 3:
+            if s.texts and self.pages >= PAGES and max(s.texts.values()) > SHARE * self.pages and len(s.texts) <= 3 and not s.lost:
                 own = 0
             return own + sum(map(mass, s.items))
 
@@ -346,6 +369,38 @@ class Template:
         return found
 
 
+def align(runs: list[tuple[Node, list[Node]]], slots: list[Slot]) -> dict[int, Slot]:
+    """The slots of a page's runs, by their place."""
+    if not slots:
+        return {}
+    shells = []
+    for first, run in runs:
+        s = Slot(first.label, first.tag, first.outside)
+        s.items = [Slot(n.label, n.tag, n.outside) for m in run[:3] for n in m.items]
+        shells.append(s)
+    return {y: slots[x] for x, y in matching(slots, shells)[1]}
+
+
+def carried(page: str, template: Template, wanted: dict[int, set[str]]) -> set[tuple[int, str]]:
+    """Which of the wanted texts (by slot number) the page's nodes carry, aligned as for extraction."""
+    number = {id(s): k for k, s in enumerate(template.numbered())}
+    out: set[tuple[int, str]] = set()
+
+    def walk(nodes: list[Node], slots: list[Slot]) -> None:
+        runs = groups(nodes)
+        for k, slot in align(runs, slots).items():
+            texts = wanted.get(number[id(slot)], ())
+            for n in runs[k][1]:
+                if n.tag == "#":
+                    if _key(n.text) in texts:
+                        out.add((number[id(slot)], _key(n.text)))
+                elif not n.outside:
+                    walk(n.items, slot.items)
+
+    walk(parse(page).items, template.slots)
+    return out
+
+
 def extract(page: str, template: Template | None) -> str:
     """The page's blocks in the template's content region, joined by line ends."""
     root = parse(page)
@@ -354,14 +409,7 @@ def extract(page: str, template: Template | None) -> str:
 
     def walk(nodes: list[Node], slots: list[Slot], inside: bool) -> None:
         runs = groups(nodes)
-        of: dict[int, Slot] = {}
-        if slots:
-            shells = []
-            for first, run in runs:
-                s = Slot(first.label, first.tag, first.outside)
-                s.items = [Slot(n.label, n.tag, n.outside) for m in run[:3] for n in m.items]
-                shells.append(s)
-            of = {y: slots[x] for x, y in matching(slots, shells)[1]}
+        of = align(runs, slots)
         for k, (first, run) in enumerate(runs):
             slot = of.get(k)
             here = inside or (slot is not None and slot is region)
@@ -420,6 +468,50 @@ def templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
             return found.select("host", "template")
 
 
+def recounted(pages: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """(host, template) with exact counts of the texts that the bound leaves open."""
+
+    def unsure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([bool(pickle.loads(t.as_buffer()).open_texts()) for t in batch.column(1)], pa.bool_()))
+
+    left = scratch.put(found.mapInArrow(unsure, "host string, template binary"), "unsure")
+    if left.isEmpty():
+        return found
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[Template, dict[int, set[str]]]] = {}
+        n: dict[tuple[str, int, str], int] = {}
+        for batch in batches:
+            for name, page, blob in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if name not in known:
+                    t = pickle.loads(blob.as_buffer())
+                    known[name] = t, t.open_texts()
+                for k, text in carried(page.as_py() or "", *known[name]):
+                    n[name, k, text] = n.get((name, k, text), 0) + 1
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in n], pa.string()), pa.array([x[1] for x in n], pa.int64()), pa.array([x[2] for x in n], pa.string()), pa.array(list(n.values()), pa.int64())], ["host", "slot", "text", "n"])
+
+    # Templates, not pages, travel where they are few enough.
+    few = (left.agg(F.sum(F.length("template"))).first()[0] or 0) <= SENT_BYTES
+    named = pages.select(F.udf(host, "string")("url").alias("host"), "html").join(F.broadcast(left) if few else left, "host")
+    seen = named.select("host", "html", "template").mapInArrow(count, "host string, slot long, text string, n long").groupBy("host", "slot", "text").agg(F.sum("n").alias("n"))
+    counts = seen.groupBy("host").agg(F.collect_list(F.struct("slot", "text", "n")).alias("counts"))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for blob, counted in zip(batch.column(1), batch.column(2).to_pylist()):
+                t = pickle.loads(blob.as_buffer())
+                exact = {(c["slot"], c["text"]): c["n"] for c in counted or []}
+                wanted, slots = t.open_texts(), t.numbered()
+                for k, texts in wanted.items():
+                    slots[k].texts |= {x: exact.get((k, x), 0) for x in texts}
+                out.append(pickle.dumps(t))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["host", "template"])
+
+    return scratch.put(found.join(counts, "host", "left").select("host", "template", "counts").mapInArrow(put, "host string, template binary"), "recounted")
+
+
 RESULT = "page_id long, url string, text string, n_chars long"
 
 
@@ -427,7 +519,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every row."""
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     scratch = Scratch(pages.sparkSession, "wrappers")
-    found = templates(pages, scratch)
+    found = recounted(pages, templates(pages, scratch), scratch)
 
     def rows(batch: pa.RecordBatch, template_of) -> pa.RecordBatch:
         texts = [extract(p.as_py() or "", template_of(i)) for i, p in enumerate(batch.column(2))]
