@@ -361,7 +361,7 @@ def main_file_choice(spark, d):
 
 @query("SELECT doc_id, substr(CASE WHEN c = '' THEN 'diagram' ELSE c END, 1, 24) AS name FROM (SELECT doc_id, regexp_replace(regexp_replace(substr(text, 1, 60), '[^A-Za-z0-9._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g') AS c FROM documents)")
 def slug_names(spark, d):
-    return table(spark, d, "documents").select("doc_id", scalars.slug(F.substring("text", 1, 60), 24).alias("name"))
+    return table(spark, d, "documents").select("doc_id", scalars.slug(F.col("text"), 24).alias("name"))
 
 
 @query("SELECT page_id, 'page_' || substr(sha1(url || '/page/' || (page_id % 7)), 1, 12) AS key FROM pages")

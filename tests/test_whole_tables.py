@@ -17,3 +17,9 @@ def test_next_fit_batches_takes_all_orders(spark, tmp_path):
         want[k] = (w, batch)
     got = catalogue.next_fit_batches(spark, str(tmp_path)).collect()
     assert len(got) == len(want) and {r.o_orderkey: (r.weight, r.batch) for r in got} == want
+
+
+def test_slug_names_reads_whole_texts(spark, tmp_path):
+    rows = [(1, "?" * 80 + "name after signs"), (2, "a" + " " * 70 + "b"), (3, "." * 60), (4, "plain")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id: r.name for r in catalogue.slug_names(spark, str(tmp_path)).collect()} == {1: "name_after_signs", 2: "a_b", 3: "diagram", 4: "plain"}
