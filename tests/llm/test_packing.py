@@ -31,3 +31,21 @@ def test_pieces_rebuild_the_stream(spark):
     one = packing.with_digests(packing.pack(df, path)).filter("doc_id = 0").first()
     ids = np.asarray(t.encode(docs[0][1], add_special_tokens=False).ids + [1], "<u4")
     assert one.ids_crc32 == zlib.crc32(ids.tobytes())
+
+
+def test_encoder_equals_the_tokenizer():
+    import random
+
+    import pyarrow as pa
+
+    from llm.textcodes import byte_chunks
+
+    rng = random.Random(1)
+    alphabet = [*"abcXYZ019'`-_.,;<>|!? \t\n\x0b\x1c\x1f\x00", "’", "\x85", "\xa0", "é", "É", "ß", "İ", "Σ", "ς", "́", "世", "界", "🙂", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'ll", "''s", "<|", "ﬁ", "Ⅷ", "²", "　", "​"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["", None, "a" * 500, "世" * 300, "x" * 63 + "é", "x" * 64, "x" * 65, "long text " * 20_000]
+    t, encoder, got = packing._tokenizer(packing.default_tokenizer()), packing.WordEncoder(packing.default_tokenizer()), []
+    for _, data, offsets in byte_chunks(pa.array(texts, pa.string()), 5000):
+        ids, at = encoder.encode_texts(data, offsets)
+        got += [ids[at[i] : at[i + 1]].tolist() for i in range(len(at) - 1)]
+    assert got == [t.encode(x or "", add_special_tokens=False).ids + [1] for x in texts]
