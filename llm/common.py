@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Spark's setting by which a finished write removes its shuffle files.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def ship(spark: SparkSession) -> None:
     """Send this subpackage to the executors, which need not have the repository."""
     import os
@@ -48,10 +52,15 @@ class Scratch:
         self.spark, self.root = spark, f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
     def put(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
-        """Write ``df`` and read it back; what it shuffled can be cleaned up afterwards."""
-        path, schema = f"{self.root}/{name}", df.schema
-        writer = df.write.option("compression", "zstd")
-        (writer.partitionBy(by) if by else writer).parquet(path)
+        """Write ``df`` and read it back; what it shuffled is removed once it is written."""
+        path, schema, conf = f"{self.root}/{name}", df.schema, self.spark.conf
+        before = conf.get(CLEANUP, "false")
+        conf.set(CLEANUP, "true")
+        try:
+            writer = df.write.option("compression", "zstd")
+            (writer.partitionBy(by) if by else writer).parquet(path)
+        finally:
+            conf.set(CLEANUP, before)
         return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, name: str) -> None:
@@ -69,7 +78,3 @@ def crc_of_id(column: str = "doc_id"):
     """crc32 of the id as text; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
-
-def small(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most so many rows, without counting further."""
-    return df.limit(rows + 1).count() <= rows
