@@ -13,12 +13,17 @@ from pyspark.sql import functions as F
 #: Spark's setting by which a finished write removes its shuffle files.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Bytes of an Arrow batch where the session does not say: texts may be long, and several tasks share an executor.
+BATCH, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
 
 def ship(spark: SparkSession) -> None:
-    """Send this subpackage to the executors, which need not have the repository."""
+    """Send this subpackage to the executors, which need not have the repository, and bound Arrow batches."""
     import os
     import zipfile
 
+    if spark.conf.get(BATCH, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH, BATCH_BYTES)
     context = spark.sparkContext
     if any(f.rpartition("/")[2] == "llm_operators.zip" for f in context._jsc.sc().listFiles().mkString("\n").splitlines()):
         return

@@ -394,4 +394,6 @@ def removed(docs: DataFrame, length: int = LENGTH, with_text: bool = False, carr
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return removed(table(spark, sf_dir, "documents"))
+    """Digests and what is left of every text (``text``; characters that a cut has broken are replaced)."""
+    cut = removed(table(spark, sf_dir, "documents"), with_text=True)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
