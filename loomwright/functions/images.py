@@ -17,23 +17,28 @@ from loomwright.schemas import IMAGE_FEATURES
 #: Fixed values of the features: grey levels that count as ink, by purpose.
 INK, CROP_INK, THUMBNAIL_INK = 245, 248, 235
 MOST_DIFFERENCE, LEAST_OVERLAP = 18.0, 0.65
+#: Fixed values of views: the longer side of an image, grey levels that count as content, and its margin.
+LONGEST, CONTENT_INK, LEAST_MARGIN, MARGIN_SHARE = 1024, 250, 4, 0.02
+VIEW_MODES = ("processor", "letterbox", "dual")
 _CHANNELS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
 
 
+#: Passes of an interlaced image: first row, first column, steps between rows and columns.
+_PASSES = ((0, 0, 8, 8), (0, 4, 8, 8), (4, 0, 8, 4), (0, 2, 4, 4), (2, 0, 4, 2), (0, 1, 2, 2), (1, 0, 2, 1))
+
+
 def decode_png(data: bytes) -> np.ndarray:
-    """Height x width x 4, 0 to 255.  Interlaced images are refused."""
+    """Height x width x 4, 0 to 255."""
     if data[:8] != b"\x89PNG\r\n\x1a\n":
         raise ValueError("not a PNG")
     at, packed, palette, clear = 8, [], None, None
-    width = height = depth = kind = 0
+    width = height = depth = kind = laced = 0
     while at + 8 <= len(data):
         size, name = struct.unpack(">I4s", data[at : at + 8])
         body = data[at + 8 : at + 8 + size]
         at += 12 + size
         if name == b"IHDR":
             width, height, depth, kind, _, _, laced = struct.unpack(">IIBBBBB", body)
-            if laced:
-                raise ValueError("interlaced PNG")
         elif name == b"PLTE":
             palette = np.frombuffer(body, np.uint8).reshape(-1, 3)
         elif name == b"tRNS":
@@ -44,52 +49,67 @@ def decode_png(data: bytes) -> np.ndarray:
             break
     if not width or not height:
         raise ValueError("empty dimensions")
-    channels = _CHANNELS[kind]
-    stride, step = (width * channels * depth + 7) // 8, max(1, channels * depth // 8)
-    raw = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8)[: height * (stride + 1)].reshape(height, stride + 1)
-    rows = np.zeros((height, stride), np.uint8)
-    above = np.zeros(stride, np.uint8)
-    for y in range(height):
-        above = rows[y] = _unfilter(int(raw[y, 0]), raw[y, 1:], above, step)
-    if depth < 8:
-        bits = np.unpackbits(rows, axis=1)[:, : width * depth].reshape(height, width, depth)
-        value = bits @ (1 << np.arange(depth)[::-1])
-        samples = (value if kind == 3 else value * 255 // (2**depth - 1)).astype(np.uint8)[:, :, None]
-    else:
-        samples = rows.reshape(height, width, channels, depth // 8)[..., 0]
+    raw, channels = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8), _CHANNELS[kind]
+    samples = np.zeros((height, width, channels), np.uint16)
+    at = 0
+    for y0, x0, dy, dx in _PASSES if laced else ((0, 0, 1, 1),):
+        h, w = len(range(y0, height, dy)), len(range(x0, width, dx))
+        if h and w:
+            stride = (w * channels * depth + 7) // 8
+            lines = _unfilter(raw[at : at + h * (stride + 1)].reshape(h, stride + 1), max(1, channels * depth // 8))
+            at += h * (stride + 1)
+            samples[y0::dy, x0::dx] = _samples(lines, w, channels, depth)
     out = np.full((height, width, 4), 255, np.uint8)
     if kind == 3:
         index = samples[..., 0]
         out[..., :3] = palette[index]
         if clear is not None:
             out[..., 3] = np.concatenate([clear, np.full(256 - len(clear), 255, np.uint8)])[index]
-    else:
-        out[..., :3] = samples[..., :1] if channels < 3 else samples[..., :3]
-        if channels in (2, 4):
-            out[..., 3] = samples[..., -1]
+        return out
+    grey = (samples >> 8 if depth == 16 else samples.astype(np.uint32) * 255 // (2**depth - 1)).astype(np.uint8)
+    out[..., :3] = grey[..., :1] if channels < 3 else grey[..., :3]
+    if channels in (2, 4):
+        out[..., 3] = grey[..., -1]
+    elif clear is not None:  # one colour of the image is transparent
+        out[(samples == np.frombuffer(clear.tobytes(), ">u2")[:channels]).all(axis=2), 3] = 0
     return out
 
 
-def _unfilter(kind: int, line: np.ndarray, above: np.ndarray, step: int) -> np.ndarray:
-    if kind == 0:
-        return line
-    if kind == 2:
-        return line + above
-    if kind == 1:
-        out = np.zeros(-(-len(line) // step) * step, np.uint8)
-        out[: len(line)] = line
-        return np.cumsum(out.reshape(-1, step), axis=0, dtype=np.uint8).ravel()[: len(line)]
-    out, up = bytearray(line.tobytes()), above.tolist()
-    for i in range(len(out)):
-        left = out[i - step] if i >= step else 0
-        if kind == 3:
-            guess = (left + up[i]) // 2
-        else:
-            corner = up[i - step] if i >= step else 0
-            p = left + up[i] - corner
-            guess = min((abs(p - left), 0, left), (abs(p - up[i]), 1, up[i]), (abs(p - corner), 2, corner))[2]
-        out[i] = (out[i] + guess) & 255
-    return np.frombuffer(bytes(out), np.uint8)
+def _samples(lines: np.ndarray, width: int, channels: int, depth: int) -> np.ndarray:
+    height = len(lines)
+    if depth == 16:
+        return np.ascontiguousarray(lines).view(">u2").reshape(height, width, channels).astype(np.uint16)
+    if depth == 8:
+        return lines.reshape(height, width, channels).astype(np.uint16)
+    bits = np.unpackbits(lines, axis=1)[:, : width * channels * depth].reshape(height, width, channels, depth)
+    return (bits @ (1 << np.arange(depth)[::-1])).astype(np.uint16)
+
+
+def _unfilter(lines: np.ndarray, step: int) -> np.ndarray:
+    """Undo the filters of an image's lines (filter first, then bytes)."""
+    kinds, height, width = lines[:, 0], len(lines), -(-(lines.shape[1] - 1) // step)
+    out = np.zeros((height + 1, width + 1, step), np.int32)  # a line above and a pixel on the left, of zeros
+    flat = np.zeros((height, width * step), np.uint8)
+    flat[:, : lines.shape[1] - 1] = lines[:, 1:]
+    out[1:, 1:] = flat.reshape(height, width, step)
+    if (kinds > 2).any():
+        # A pixel needs its left, upper and upper left neighbours, so all pixels of one diagonal are undone at once.
+        for t in range(height + width - 1):
+            y = np.arange(max(0, t - width + 1), min(height, t + 1))
+            x, kind = t - y, kinds[y][:, None]
+            left, up, corner = out[y + 1, x], out[y, x + 1], out[y, x]
+            p = left + up - corner
+            a, b, c = np.abs(p - left), np.abs(p - up), np.abs(p - corner)
+            paeth = np.where((a <= b) & (a <= c), left, np.where(b <= c, up, corner))
+            guess = np.select([kind == 1, kind == 2, kind == 3, kind == 4], [left, up, (left + up) // 2, paeth], 0)
+            out[y + 1, x + 1] = (out[y + 1, x + 1] + guess) & 255
+    else:
+        for y in range(height):
+            if kinds[y] == 1:
+                out[y + 1, 1:] = np.cumsum(out[y + 1, 1:], axis=0) & 255
+            elif kinds[y] == 2:
+                out[y + 1] = (out[y + 1] + out[y]) & 255
+    return out[1:, 1:].reshape(height, -1)[:, : lines.shape[1] - 1].astype(np.uint8)
 
 
 @lru_cache(64)
@@ -124,8 +144,20 @@ def grey_on_white(image: np.ndarray) -> np.ndarray:
     return np.floor((flat @ np.array([19595, 38470, 7471]) + 32768) / 65536)
 
 
+def fitted(image: np.ndarray, most: int) -> np.ndarray:
+    """An image (height x width, with or without channels) of at most ``most`` on its longer side, never enlarged."""
+    h, w = image.shape[:2]
+    if max(h, w) <= most:
+        return image
+    h, w = (max(1, round(n * most / max(h, w))) for n in (h, w))
+    if image.ndim == 2:
+        return resize(image, w, h)
+    return np.stack([resize(image[..., c], w, h) for c in range(image.shape[2])], axis=2)
+
+
 def thumbnail(grey: np.ndarray) -> np.ndarray:
-    """The inked part, fitted into 64 x 64 on white."""
+    """The inked part of the image at ``LONGEST`` at most, fitted into 64 x 64 on white."""
+    grey = fitted(grey, LONGEST)
     inked = grey < CROP_INK
     if not inked.any():
         raise ValueError("blank image")
@@ -163,18 +195,60 @@ def _image_features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([features(x) for x in s])
 
 
-def _same_picture(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Whether two thumbnails differ little and their ink overlaps; missing ones never match."""
+def on_white(image: np.ndarray) -> np.ndarray:
+    """Height x width x 3 of an image with transparency."""
+    rgb, alpha = image[..., :3].astype(np.float64), image[..., 3:] / 255.0
+    return np.round(rgb * alpha + 255 * (1 - alpha))
 
-    def same(a: bytes | None, b: bytes | None) -> bool:
-        if a is None or b is None:
-            return False
-        x, y = (np.frombuffer(v, np.uint8).astype(np.float64) for v in (a, b))
-        ink = (x < THUMBNAIL_INK, y < THUMBNAIL_INK)
-        union = max(int((ink[0] | ink[1]).sum()), 1)
-        return float(np.abs(x - y).mean()) <= MOST_DIFFERENCE and int((ink[0] & ink[1]).sum()) / union >= LEAST_OVERLAP
 
-    return pd.Series([same(a, b) for a, b in zip(left, right)])
+def content_of(rgb: np.ndarray) -> np.ndarray:
+    """The part of an image that is not white, with a margin; the whole of a white one."""
+    inked = np.floor((rgb @ np.array([19595, 38470, 7471]) + 32768) / 65536) < CONTENT_INK
+    if not inked.any():
+        return rgb
+    ys, xs = np.flatnonzero(inked.any(axis=1)), np.flatnonzero(inked.any(axis=0))
+    margin = max(LEAST_MARGIN, round(MARGIN_SHARE * max(xs[-1] + 1 - xs[0], ys[-1] + 1 - ys[0])))
+    return rgb[max(0, ys[0] - margin) : ys[-1] + 1 + margin, max(0, xs[0] - margin) : xs[-1] + 1 + margin]
+
+
+def letterboxed(rgb: np.ndarray) -> np.ndarray:
+    """An image in the middle of a white square."""
+    rgb = fitted(rgb, LONGEST)
+    side = max(rgb.shape[:2])
+    out = np.full((side, side, 3), 255.0)
+    top, left = (side - rgb.shape[0]) // 2, (side - rgb.shape[1]) // 2
+    out[top : top + rgb.shape[0], left : left + rgb.shape[1]] = rgb
+    return out
+
+
+def views(data: bytes | None, mode: str = "dual") -> list[np.ndarray]:
+    """What a model sees of an image: as it is, its content in a square, or both the image and its content in squares."""
+    if mode not in VIEW_MODES:
+        raise ValueError(f"not a mode of views: {mode!r}")
+    rgb = on_white(decode_png(data or b""))
+    if mode == "processor":
+        return [fitted(rgb, LONGEST)]
+    return [letterboxed(x) for x in ((content_of(rgb),) if mode == "letterbox" else (rgb, content_of(rgb)))]
+
+
+def view_sizes(data: bytes | None, mode: str = "dual") -> dict:
+    """Widths and heights of the views; an image that cannot be read has none, and says why."""
+    try:
+        return {"sizes": [list(v.shape[1::-1]) for v in views(data, mode)], "error": ""}
+    except Exception as e:  # one bad image must not stop a run
+        return {"sizes": [], "error": f"{type(e).__name__}: {e}"[:300]}
+
+
+def _same_picture(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Whether two thumbnails differ little and their ink overlaps; missing ones never match."""
+    both = (left.notna() & right.notna()).to_numpy()
+    out = np.zeros(len(left), bool)
+    if both.any():
+        x, y = (np.frombuffer(b"".join(s[both]), np.uint8).reshape(int(both.sum()), -1).astype(np.int16) for s in (left, right))
+        ink = x < THUMBNAIL_INK, y < THUMBNAIL_INK
+        overlap = (ink[0] & ink[1]).sum(axis=1) / np.maximum((ink[0] | ink[1]).sum(axis=1), 1)
+        out[both] = (np.abs(x - y).mean(axis=1) <= MOST_DIFFERENCE) & (overlap >= LEAST_OVERLAP)
+    return pd.Series(out)
 
 
 # Made when called: parsing a type needs a session.
@@ -187,3 +261,13 @@ def image_features(content: Column | str) -> Column:
 
 def same_picture(left: Column | str, right: Column | str) -> Column:
     return F.pandas_udf(_same_picture, "boolean")(left, right)
+
+
+def picture_views(content: Column | str, mode: str = "dual") -> Column:
+    """struct<sizes: widths and heights of the views, error>."""
+
+    def sizes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in batches:
+            yield pd.DataFrame([view_sizes(x, mode) for x in s], columns=["sizes", "error"])
+
+    return F.pandas_udf(sizes, "struct<sizes: array<array<int>>, error: string>")(content)

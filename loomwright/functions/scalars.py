@@ -81,7 +81,42 @@ def slug(text: Column, most: int = 100, empty: str = "diagram") -> Column:
 
 def task_key(paper: Column, name: Column, page: Column) -> Column:
     digest = F.substring(F.sha1(F.concat_ws("/", paper, name, page.cast("string"))), 1, 12)
-    return F.concat_ws("_", slug(name, 60), digest)
+    return F.concat_ws("_", slug(paper, 20), digest)
+
+
+def last_part(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def state_keys(month: Column, source_key: Column) -> dict[str, Column]:
+    """Where a source archive's completion, manifest and claim are kept."""
+    at = lambda folder, suffix: F.concat_ws("/", F.lit(folder), month, F.concat(last_part(source_key), F.lit(suffix)))
+    return {"completion": at("state/completed", ".json"), "manifest": at("manifests", ".jsonl"), "claim": at("state/claims", ".json")}
+
+
+def paper_paths(month: Column, paper: Column) -> dict[str, Column]:
+    """Where a paper's state, source package and match are kept."""
+    return {"state": F.concat(month, F.lit("/"), paper, F.lit(".json")), "source": F.concat(month, F.lit("/"), paper, F.lit(".gz")), "match": F.concat(F.lit("matches/"), month, F.lit("/"), paper, F.lit(".gz"))}
+
+
+def ordinal_name(number: Column, name: Column) -> Column:
+    """The name of a paper's n-th diagram."""
+    stem = F.regexp_replace(last_part(name), r"(?<=.)\.[^.]*\z", "")
+    return F.concat(F.format_string("%03d_", number), slug(stem), F.lit(".drawio"))
+
+
+def lost_race(code: Column, status: Column) -> Column:
+    """Whether a refused write means that another was faster."""
+    return F.coalesce(code.isin("409", "412", "ConditionalRequestConflict", "PreconditionFailed"), F.lit(False)) | F.coalesce(status.isin(409, 412), F.lit(False))
+
+
+def utc_now() -> Column:
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def sorted_json(*columns: str) -> Column:
+    """An object with its keys in order; keys without a value are left out."""
+    return F.to_json(F.struct(*sorted(columns)))
 
 
 def title(text: Column) -> Column:

@@ -8,13 +8,13 @@ out pages without elements; pages keep their places in the document either way.
 from __future__ import annotations
 
 import base64
-import math
 import re
 import urllib.parse
 import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 PAGES = "array<struct<page_number: int, page_name: string, body: string>>"
 STRICT = f"struct<pages: {PAGES}, error: string>"
 SIZE = "struct<width: double, height: double>"
+OUTLINE = "struct<root: string, pages: int>"
+#: The size of a page that names none, and what is added around a drawing.
+DEFAULT_SIZE, MARGIN = (1000.0, 800.0), 20.0
 _CELL = re.compile(r'(?:vertex|edge)="1"')
 
 
@@ -84,29 +87,37 @@ def strict(source: str) -> dict:
     return {"pages": pages, "error": None if pages else "no pages"}
 
 
+def _numbers(element: ElementTree.Element, names: tuple[str, ...], defaults: tuple[float, ...]) -> list[float] | None:
+    """Attributes as numbers, null if one is none."""
+    try:
+        return [float(element.get(n) or d) for n, d in zip(names, defaults)]
+    except ValueError:
+        return None
+
+
 def bounding_box(body: str) -> dict:
-    """Size of the drawing with a margin, from its geometry; the page's own size without any."""
+    """Size of the drawing with a margin, from its geometry; without any, the size that the root element names."""
     try:
         root = ElementTree.fromstring(body)
     except ElementTree.ParseError:
-        return {"width": 1000.0, "height": 800.0}
-    boxes = []
-    for g in root.iter():
-        if _local(g.tag) == "mxGeometry":
-            try:
-                x, y, w, h = (float(g.get(k) or 0) for k in ("x", "y", "width", "height"))
-            except ValueError:
-                continue
-            if all(map(math.isfinite, (x, y, w, h))):
-                boxes.append((x, y, x + w, y + h))
-    if not boxes:
-        model = next((e for e in root.iter() if _local(e.tag) == "mxGraphModel"), root)
-        try:
-            return {"width": float(model.get("pageWidth") or 1000), "height": float(model.get("pageHeight") or 800)}
-        except ValueError:
-            return {"width": 1000.0, "height": 800.0}
-    x0, y0, x1, y1 = (f(b[i] for b in boxes) for i, f in enumerate((min, min, max, max)))
-    return {"width": max(x1 - x0 + 20, 1.0), "height": max(y1 - y0 + 20, 1.0)}
+        return dict(zip(("width", "height"), DEFAULT_SIZE))
+    found = [_numbers(g, ("x", "y", "width", "height"), (0.0,) * 4) for g in root.iter() if _local(g.tag) == "mxGeometry"]
+    corners = np.array([x for x in found if x]).reshape(-1, 2, 2)
+    corners = corners[np.isfinite(corners).all(axis=(1, 2))]
+    if not len(corners):
+        return dict(zip(("width", "height"), _numbers(root, ("pageWidth", "pageHeight"), DEFAULT_SIZE) or DEFAULT_SIZE))
+    low, size = corners[:, 0], np.maximum(corners[:, 1], 0.0)
+    span = np.maximum((low + size).max(axis=0) - low.min(axis=0) + MARGIN, 1.0)
+    return dict(zip(("width", "height"), span.tolist()))
+
+
+def outline(content: bytes | None) -> dict:
+    """The root element of a document, null if it is not well-formed, and the number of its pages, empty ones included."""
+    try:
+        root = ElementTree.fromstring((content or b"").decode("utf-8", "replace"))
+    except ElementTree.ParseError:
+        return {"root": None, "pages": 0}
+    return {"root": str(root.tag), "pages": len(root.findall("diagram")) if root.tag == "mxfile" else 1}
 
 
 def _lenient_pages(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -124,6 +135,11 @@ def _page_size(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([bounding_box(x or "") for x in s], columns=["width", "height"])
 
 
+def _outline(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for s in batches:
+        yield pd.DataFrame([outline(x) for x in s], columns=["root", "pages"])
+
+
 def single_page(source: str, number: int) -> str:
     """One page of a document as a document of its own."""
     root = ElementTree.fromstring(source)
@@ -150,3 +166,7 @@ def strict_pages(source: Column | str) -> Column:
 
 def page_size(body: Column | str) -> Column:
     return F.pandas_udf(_page_size, SIZE)(body)
+
+
+def document_outline(content: Column | str) -> Column:
+    return F.pandas_udf(_outline, OUTLINE)(content)

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwright.functions.images import same_picture
 from loomwright.functions.scalars import hamming, hash_of_hex
+from loomwright.operators import ordered
+from loomwright.session import settled
 
 #: What two near-duplicate pages may differ by.
 PHASH_BITS, DHASH_BITS, ASPECT_GAP, INK_GAP, GREY_GAP = 4, 6, 0.025, 0.025, 8.0
@@ -32,22 +36,48 @@ def bands_of(code: Column, radius: int, bits: int = 64) -> list[Column]:
     return out
 
 
-def hamming_pairs(df: DataFrame, key: str, code: str, radius: int, carry: Sequence[str] = ()) -> DataFrame:
+def hamming_pairs(df: DataFrame, key: str, code: str, radius: int, carry: Sequence[str] = (), hot: int = 2_000) -> DataFrame:
     """Pairs (left_*, right_*) of rows with left key < right key and codes within ``radius``.
 
     Rows meet on shared bands; of several shared bands only the first reports a pair, so no
-    distinct is needed.  Rows of one code should be made one row first.
+    distinct is needed.  A band's value with more than ``hot`` rows is split: its pairs agree
+    to within the radius outside of the band too, so they share a second band, and meet on
+    both.  Rows of one code should be made one row first.
     """
+    n = radius + 1
+    rows = df.filter(F.col(code).isNotNull()).select(key, code, *carry)
     # Bound by a lambda, so that the code is not worked out again for each band.
     pieces = F.element_at(F.transform(F.array(F.col(code)), lambda c: F.array(*bands_of(c, radius))), 1)
-    spread = df.filter(F.col(code).isNotNull()).select(key, code, *carry, F.posexplode(pieces).alias("_band", "_piece"))
-    left = spread.select("_band", "_piece", *[F.col(c).alias(f"left_{c}") for c in (key, code, *carry)])
-    right = spread.select("_band", "_piece", *[F.col(c).alias(f"right_{c}") for c in (key, code, *carry)])
-    pairs = left.join(right, ["_band", "_piece"]).filter(F.col(f"left_{key}") < F.col(f"right_{key}"))
+    spread = rows.select("*", F.posexplode(pieces).alias("_band", "_piece"))
+    crowded = spread.groupBy("_band", "_piece").count().filter(F.col("count") > hot).select("_band", "_piece", F.lit(True).alias("_hot"))
+    spread = spread.join(crowded, ["_band", "_piece"], "left")
+    # The other bands, cut into as many pieces: one of them is shared, or the radius is exceeded.
+    seconds = F.when(F.col("_hot"), F.array(*[F.struct(F.lit(i).alias("_second"), _outside(F.col(code), F.col("_band"), radius, i).alias("_other")) for i in range(n)])).otherwise(F.array(F.struct(F.lit(-1).alias("_second"), F.lit(0).cast("long").alias("_other"))))
+    spread = spread.select(key, code, *carry, "_band", "_piece", F.explode(seconds).alias("_s")).select(key, code, *carry, "_band", "_piece", "_s.*")
+    place = ["_band", "_piece", "_second", "_other"]
+    left, right = (spread.select(*place, *[F.col(c).alias(f"{side}_{c}") for c in (key, code, *carry)]) for side in ("left", "right"))
+    pairs = left.join(right, place).filter(F.col(f"left_{key}") < F.col(f"right_{key}"))
     a, b = bands_of(F.col(f"left_{code}"), radius), bands_of(F.col(f"right_{code}"), radius)
     shared = F.coalesce(*[F.when(x == y, F.lit(i)) for i, (x, y) in enumerate(zip(a, b))])
+    again = F.coalesce(*[F.when(_outside(F.col(f"left_{code}"), F.col("_band"), radius, i) == _outside(F.col(f"right_{code}"), F.col("_band"), radius, i), F.lit(i)) for i in range(n)])
     distance = hamming(F.col(f"left_{code}"), F.col(f"right_{code}"))
-    return pairs.filter((F.col("_band") == shared) & (distance <= radius)).withColumn("distance", distance).drop("_band", "_piece")
+    first = (F.col("_band") == shared) & ((F.col("_second") < 0) | (F.col("_second") == again))
+    return pairs.filter(first & (distance <= radius)).withColumn("distance", distance).drop(*place)
+
+
+def _outside(code: Column, band: Column, radius: int, i: int, bits: int = 64) -> Column:
+    """The i-th of radius + 1 pieces of what is outside a band of a code."""
+    n, low = radius + 1, [0]
+    for k in range(n):
+        low.append(low[-1] + bits // n + (k < bits % n))
+
+    def piece(skipped: int) -> Column:
+        rest = [b for b in range(bits) if not low[skipped] <= b < low[skipped + 1]]
+        mine = rest[i * len(rest) // n : (i + 1) * len(rest) // n]
+        mask = sum(1 << b for b in mine)
+        return code.bitwiseAND(F.lit(mask - 2**64 if mask >= 2**63 else mask).cast("long"))
+
+    return F.coalesce(*[F.when(band == k, piece(k)) for k in range(n)])
 
 
 def near_pages(pages: DataFrame) -> DataFrame:
@@ -64,46 +94,55 @@ def near_pages(pages: DataFrame) -> DataFrame:
 def connected(edges: DataFrame, left: str, right: str, rounds: int = 50) -> DataFrame:
     """(node, component): the least node that each node reaches, by least neighbours and shortcuts.
 
-    Each round is checkpointed, so plans stay short and lost executors cost nothing.
+    Each round is written to the shared folder, so plans stay short and lost executors cost nothing.
     """
-    spark = edges.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
     one = edges.select(F.col(left).alias("u"), F.col(right).alias("v"))
-    both = one.unionByName(one.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().checkpoint()
-    label = both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("component")).checkpoint()
+    both = settled(one.unionByName(one.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
+    label = settled(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("component")), "labels")
     for _ in range(rounds):
         around = both.join(label.select(F.col("node").alias("v"), "component"), "v").groupBy(F.col("u").alias("node")).agg(F.min("component").alias("m"))
         nearer = label.join(around, "node").select("node", F.least("component", "m").alias("component"), (F.col("m") < F.col("component")).alias("moved"))
         parent = nearer.select(F.col("node").alias("component"), F.col("component").alias("up"))
-        new = nearer.join(parent, "component", "left").select("node", F.least("component", "up").alias("component"), "moved").checkpoint()
+        new = settled(nearer.join(parent, "component", "left").select("node", F.least("component", "up").alias("component"), "moved"), "labels")
         label = new.drop("moved")
         if new.filter("moved").isEmpty():
             return label
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
+def cover(order: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The clique of each of ``order``'s members, who come one after the other and join the first clique whose members all link to them.
+
+    ``left`` and ``right`` are the ends of the links as places in ``order``.  A clique takes a
+    member in if the member's links into it are as many as it has members, so the work is
+    that of going through all links once.
+    """
+    n = len(order)
+    late, early = np.maximum(left, right), np.minimum(left, right)
+    keep = late != early
+    pair = np.unique(late[keep] * n + early[keep])
+    late, early = pair // max(n, 1), pair % max(n, 1)
+    begin = np.searchsorted(late, np.arange(n + 1))
+    clique, size = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    used = 0
+    for k in range(n):
+        seen, links = np.unique(clique[early[begin[k] : begin[k + 1]]], return_counts=True)
+        whole = seen[links == size[seen]]
+        clique[k] = whole[0] if len(whole) else used
+        used += not len(whole)
+        size[clique[k]] += 1
+    return clique
+
+
 def cliques(rows: DataFrame, edges: DataFrame, component: str, key: str, order: str) -> DataFrame:
-    """rows with ``clique``: within a component, rows by ``order`` (1 first) join the first bucket whose members all link to them."""
+    """rows with ``clique``: within a component, rows by ``order`` (1 first) join the first clique whose members all link to them."""
     links = edges.select("left_" + key, "right_" + key)
 
     def split(members: pa.Table, pairs: pa.Table) -> pa.Table:
         members = members.sort_by(order)
-        linked = set(zip(pairs["left_" + key].to_pylist(), pairs["right_" + key].to_pylist()))
-        buckets: list[list] = []
-        out = []
-        for k in members[key].to_pylist():
-            for i, b in enumerate(buckets):
-                if all((k, x) in linked or (x, k) in linked for x in b):
-                    b.append(k)
-                    out.append(i)
-                    break
-            else:
-                buckets.append([k])
-                out.append(len(buckets) - 1)
-        return members.append_column("clique", pa.array(out, pa.int64()))
+        place = pd.Series(np.arange(len(members)), index=members[key].to_pandas())
+        ends = [place.reindex(pairs[side + key].to_pandas()).to_numpy().astype(np.int64) for side in ("left_", "right_")]
+        return members.append_column("clique", pa.array(cover(np.arange(len(members)), *ends), pa.int64()))
 
     tagged = links.join(rows.select(F.col(key).alias("left_" + key), F.col(component).alias("_part")), "left_" + key)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", clique long"
@@ -112,8 +151,7 @@ def cliques(rows: DataFrame, edges: DataFrame, component: str, key: str, order:
 
 def numbered(groups: DataFrame, least: str, name: str = "cluster_id") -> DataFrame:
     """Groups with names by the order of their least member, single ones included."""
-    number = F.row_number().over(Window.orderBy(least))
-    return groups.withColumn(name, F.format_string("cluster_%06d", number))
+    return ordered.numbered(groups, [least], name).withColumn(name, F.format_string("cluster_%06d", name))
 
 
 def unique_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:

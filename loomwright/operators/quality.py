@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwright.functions.scalars import level, reasons
+from loomwright.operators.ordered import numbered, percentiles
 
-#: Points of the profile, weights and steps of the score, and bounds of the derived limits.
+#: Fixed values, here and in Policy, hard_reasons, structure_score and selection: points of the profile, weights and
+#: steps of the score, names of reasons, and bounds of the derived limits.
 POINTS = (0, 1, 5, 10, 20, 25, 40, 50, 60, 75, 80, 90, 95, 99, 100)
 WEIGHTS = {"elements": 0.52, "texts": 0.23, "edges": 0.17, "pixels": 0.08}
 MARGIN_ABOVE = -2.3
@@ -43,17 +45,18 @@ class Policy:
 
 
 def quantile_profile(df: DataFrame, names: Sequence[str], points: Sequence[int] = POINTS) -> DataFrame:
-    """(field, point, value): exact percentiles, all fields in one pass."""
-    wanted = F.array(*[F.lit(p / 100) for p in points])
-    row = df.agg(*[F.percentile(F.col(n).cast("double"), wanted).alias(n) for n in names])
-    pairs = F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).alias("v")) for n in names])
-    each = row.select(F.explode(pairs).alias("f")).select("f.field", F.posexplode("f.v").alias("i", "value"))
-    return each.select("field", F.element_at(F.array(*[F.lit(p) for p in points]), F.col("i") + 1).alias("point"), F.round("value", 6).alias("value"))
+    """(field, point, value): exact percentiles of all fields."""
+    return percentiles(df, dict.fromkeys(names, points)).select("field", F.col("point").cast("int").alias("point"), F.round("value", 6).alias("value"))
 
 
 def derived_policy(pages: DataFrame) -> DataFrame:
     """One row with the columns of Policy, from the pages themselves."""
-    p = lambda c, q: F.round(F.percentile(F.col(c).cast("double"), F.lit(q / 100)), 6)
+    wanted: dict[str, list[float]] = {}
+
+    def p(field: str, point: float) -> Column:
+        wanted.setdefault(field, []).append(point)
+        return F.round(F.max(F.when((F.col("field") == field) & (F.col("point") == point), F.col("value"))), 6)
+
     whole = lambda x: F.when(x >= 0, F.floor(x)).otherwise(F.ceil(x)).cast("double")
     fixed = {f.name: F.lit(float(f.default)) for f in fields(Policy) if isinstance(f.default, (int, float))}
     found = {
@@ -64,7 +67,7 @@ def derived_policy(pages: DataFrame) -> DataFrame:
         "max_aspect": F.least(F.lit(12.0), F.greatest(F.lit(8.0), p("aspect", 99.5))),
         "extreme_edge_count": F.greatest(F.lit(250.0), whole(p("edges", 99.5))),
     }
-    return pages.agg(*[(fixed | found)[f.name].alias(f.name) for f in fields(Policy)])
+    return percentiles(pages, wanted).agg(*[(fixed | found)[f.name].alias(f.name) for f in fields(Policy)])
 
 
 def recorded_or(policy: Policy | None, pages: DataFrame) -> DataFrame:
@@ -113,9 +116,9 @@ def coarse_selection(scores: DataFrame, fraction: float, key: str = "png") -> tu
     """(candidates, rejects): the best eligible pages, a fraction of all pages; ranks and percentiles are among the eligible."""
     if not 0 < fraction <= 1:
         raise ValueError("the fraction lies in (0, 1]")
-    counts = scores.agg(F.count("*").alias("_all"), F.count_if(F.size("structural_reject_reasons") == 0).alias("_ok"))
-    order = Window.orderBy(F.desc("structure_score"), F.desc("elements"), F.desc(key))
-    ranked = scores.filter(F.size("structural_reject_reasons") == 0).withColumn("coarse_rank", F.row_number().over(order)).crossJoin(F.broadcast(counts))
+    counts = scores.agg(F.count("*").alias("_all"), F.count_if(F.size("structural_reject_reasons") == 0).alias("_ok"))  # one row
+    order = [F.desc("structure_score"), F.desc("elements"), F.desc(key)]
+    ranked = numbered(scores.filter(F.size("structural_reject_reasons") == 0), order, "coarse_rank").crossJoin(F.broadcast(counts))
     target = F.least(F.col("_ok"), F.bround(F.col("_all") * F.lit(fraction), 0))
     share = F.round(1 - (F.col("coarse_rank") - 1) / F.greatest(F.col("_ok") - 1, F.lit(1)), 8)
     ranked = ranked.withColumn("structure_percentile", share).withColumn("_in", F.col("coarse_rank") <= target)
@@ -135,10 +138,25 @@ def selection(threshold: float | None = None) -> tuple[Column, Column]:
     if threshold is None:
         keep, why = F.col("model_keep"), "model_veto"
     else:
-        keep, why = F.coalesce(F.col("model_margin") >= threshold, F.lit(False)), "below_margin_threshold"
+        keep, why = F.coalesce(F.col("model_margin") >= threshold, F.lit(False)), "siglip_margin_below_threshold"
     return keep, F.when(keep, F.lit("")).otherwise(F.lit(why))
 
 
+def mean_views(logits: DataFrame, key: str, prompt: str, value: str) -> DataFrame:
+    """The mean logit of each image and prompt over the image's views."""
+    return logits.groupBy(key, prompt).agg(F.avg(F.col(value).cast("double")).alias(value))
+
+
+def run_stats(pages: DataFrame, unique: DataFrame, zeros: Sequence[str]) -> DataFrame:
+    """One row: pages of each kind, rows that duplicates took away, and pages where a count is zero."""
+    kept = unique.agg(F.count("*").alias("unique_pages"))  # one row
+    usable = F.col("is_cs") & F.col("valid")
+    return pages.agg(
+        F.count("*").alias("all_pages"), F.count_if("valid").alias("valid_pages"), F.count_if("is_cs").alias("cs_pages"), F.count_if(usable).alias("valid_cs_pages"), F.count_if("is_main").alias("main_pages"),
+        *[F.count_if(F.col(z) == 0).alias(f"zero_{z}") for z in zeros],
+    ).crossJoin(F.broadcast(kept)).withColumn("duplicates_removed", F.col("valid_cs_pages") - F.col("unique_pages"))
+
+
 RANKINGS = {"structure": ("structure_score", "elements", "texts"), "model": ("model_margin", "structure_score", "elements")}
 
 
@@ -146,8 +164,8 @@ def final_rank(selected: DataFrame, ranking: str = "structure", top: int = 0, ke
     """Ranks from 1, all orders descending, nulls last; ``top`` of 0 or less keeps all."""
     order = [F.col(c).desc_nulls_last() for c in (*RANKINGS[ranking], key)]
     if top > 0:
-        selected = selected.orderBy(*order).limit(top)
-    return selected.withColumn("final_rank", F.row_number().over(Window.orderBy(*order)))
+        return selected.orderBy(*order).limit(top).withColumn("final_rank", F.row_number().over(Window.orderBy(*order)))
+    return numbered(selected, order, "final_rank")
 
 
 def bundles(selected: DataFrame, threshold: float, expected: int | None = None) -> DataFrame:

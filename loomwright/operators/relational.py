@@ -86,3 +86,8 @@ def reuse(tasks: DataFrame, previous: DataFrame, keys: Sequence[str], order: str
     """Tasks with the last earlier output that is large enough, if any."""
     last = first_wins(previous, list(keys), [F.desc(order)]).select(*keys, F.col("scale").alias("old_scale"))
     return tasks.join(last, list(keys), "left").withColumn("reused", F.coalesce(F.col("old_scale") >= F.col(least), F.lit(False)))
+
+
+def ordered_distinct(df: DataFrame, key: str, position: str) -> DataFrame:
+    """Distinct keys in the order of their first occurrence, with its position."""
+    return df.groupBy(key).agg(F.min(position).alias(position)).orderBy(position)

@@ -2,34 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomwright.functions import latex, markers, scalars
-from loomwright.operators import dedup, folds, quality, relational
-from loomwright.plans import standins
-from loomwright.plans.standins import BITS_SQL, PAGES_SQL, POLICY_SQL, RANKED_SQL, SCORES_SQL
+from loomwright.operators import dedup, folds, quality, relational, states
+from loomwright.plans import stages, standins, texts
+from loomwright.plans.registry import ORACLES, QUERIES, query
+from loomwright.plans.standins import BITS_SQL, CODES_SQL, PAGES_SQL, POLICY_SQL, RANKED_SQL, SCORES_SQL
 from loomwright.session import table
 from loomwright.sources.tables import descending_months
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-RADIUS = 18
+#: How many bits near codes may differ by.
+RADIUS = dedup.PHASH_BITS
 
 
 # Exact and near duplicates
@@ -53,27 +38,32 @@ def hash_bits(spark, d):
     return standins.bits_of_vectors(spark, d).select("vec_id", "phash")
 
 
-@query(f"WITH {BITS_SQL} SELECT a.vec_id AS left_vec_id, b.vec_id AS right_vec_id, CAST(bit_count(xor(a.wide, b.wide)) AS INT) AS distance FROM codes a JOIN codes b ON a.vec_id < b.vec_id AND bit_count(xor(a.wide, b.wide)) <= {RADIUS}")
+@query(f"WITH {CODES_SQL} SELECT a.k AS left_k, b.k AS right_k, CAST(bit_count(xor(a.code, b.code)) AS INT) AS distance FROM codes a JOIN codes b ON a.k < b.k AND bit_count(xor(a.code, b.code)) <= {RADIUS}")
 def hamming_band_join(spark, d):
-    return dedup.hamming_pairs(standins.bits_of_vectors(spark, d), "vec_id", "code", RADIUS).select("left_vec_id", "right_vec_id", "distance")
+    return dedup.hamming_pairs(standins.codes(spark, d), "k", "code", RADIUS).select("left_k", "right_k", "distance")
 
 
-_EDGES_SQL = f"""{BITS_SQL}, e AS (SELECT a.vec_id AS u, b.vec_id AS v FROM codes a JOIN codes b ON a.vec_id <> b.vec_id AND bit_count(xor(a.wide, b.wide)) <= {RADIUS}),
+_REACH_SQL = f"""{CODES_SQL}, e AS (SELECT a.k AS u, b.k AS v FROM codes a JOIN codes b ON a.k <> b.k AND bit_count(xor(a.code, b.code)) <= {RADIUS}),
 reach AS (SELECT u AS node, u AS other FROM e UNION SELECT reach.node, e.v FROM reach JOIN e ON e.u = reach.other)"""
 
 
-@query(f"WITH RECURSIVE {_EDGES_SQL} SELECT node, min(other) AS component FROM reach GROUP BY node")
+@query(f"WITH RECURSIVE {_REACH_SQL} SELECT node, min(other) AS component FROM reach GROUP BY node")
 def near_dup_components(spark, d):
-    return dedup.connected(hamming_band_join(spark, d), "left_vec_id", "right_vec_id")
+    return dedup.connected(hamming_band_join(spark, d), "left_k", "right_k")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_REACH_SQL}, part AS (SELECT k, code, coalesce(m, k) AS component FROM codes LEFT JOIN (SELECT node, min(other) AS m FROM reach GROUP BY 1) ON node = k),
+o AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY k DESC) AS place FROM part),
+f AS (SELECT component, 1::BIGINT AS place, [{{'k': k, 'code': code, 'c': 0::BIGINT}}] AS placed FROM o WHERE place = 1 UNION ALL
+  SELECT f.component, o.place, list_append(placed, {{'k': o.k, 'code': o.code, 'c': coalesce(list_filter(range(0, 1 + list_max(list_transform(placed, lambda p: p.c))),
+    lambda c: len(list_filter(placed, lambda p: p.c = c AND bit_count(xor(p.code, o.code)) > {RADIUS})) = 0)[1], 1 + list_max(list_transform(placed, lambda p: p.c)))}}) FROM f JOIN o ON o.component = f.component AND o.place = f.place + 1)
+SELECT component, p.k AS k, p.c AS clique FROM (SELECT component, unnest(placed) AS p FROM f QUALIFY place = max(place) OVER (PARTITION BY component))""")
 def complete_linkage(spark, d):
-    codes, pairs = standins.bits_of_vectors(spark, d), hamming_band_join(spark, d).select("left_vec_id", "right_vec_id")
-    label = dedup.connected(pairs, "left_vec_id", "right_vec_id")
-    rows = codes.select("vec_id").join(label.withColumnRenamed("node", "vec_id"), "vec_id", "left").select("vec_id", F.coalesce("component", "vec_id").alias("part"))
-    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy(F.desc("vec_id"))))
-    return dedup.cliques(rows, pairs, "part", "vec_id", "place").select("vec_id", F.col("part").alias("component"), "clique")
+    pairs = hamming_band_join(spark, d).select("left_k", "right_k")
+    label = dedup.connected(pairs, "left_k", "right_k")
+    rows = standins.codes(spark, d).select("k").join(label.withColumnRenamed("node", "k"), "k", "left").select("k", F.coalesce("component", "k").alias("part"))
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy(F.desc("k"))))
+    return dedup.cliques(rows, pairs, "part", "k", "place").select("k", F.col("part").alias("component"), "clique")
 
 
 # Keys, states, joins
@@ -122,7 +112,7 @@ def missing_score_anti_join(spark, d):
     return relational.missing(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id")
 
 
-@query("""SELECT doc_id, n_chars, quality, toxic, (quality - toxic) >= 1 AS selection_keep, CASE WHEN (quality - toxic) >= 1 THEN '' ELSE 'below_margin_threshold' END AS selection_reject_reason
+@query("""SELECT doc_id, n_chars, quality, toxic, (quality - toxic) >= 1 AS selection_keep, CASE WHEN (quality - toxic) >= 1 THEN '' ELSE 'siglip_margin_below_threshold' END AS selection_reject_reason
 FROM documents JOIN labels USING (doc_id)""")
 def score_merge_join(spark, d):
     scores = table(spark, d, "labels").withColumn("at", F.col("doc_id"))
@@ -139,14 +129,13 @@ def reuse_join_residual(spark, d):
     return relational.reuse(tasks, old, ["o_orderkey"], "at", "n").select("o_orderkey", "n", "reused")
 
 
-@query("""SELECT doc_id, i AS page_number, CASE WHEN i <= len(parts) THEN parts[i] ELSE '' END AS body, CASE WHEN i <= len(parts) THEN '' ELSE 'page ' || i || ' of ' || len(parts) END AS mapping_error
+@query("""SELECT doc_id, i AS page_number, CASE WHEN i <= len(parts) THEN parts[i] ELSE '' END AS body, CASE WHEN i <= len(parts) THEN '' ELSE 'page index ' || i || ' outside source page count ' || len(parts) END AS mapping_error
 FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents), (SELECT unnest([1, 2, 5]) AS i)""")
 def page_explode_ordinal_join(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.split("text", "\n").alias("parts"))
     pages = docs.select("doc_id", F.posexplode("parts").alias("i", "body")).select("doc_id", (F.col("i") + 1).alias("page_number"), "body")
-    figures = docs.select("doc_id", F.size("parts").alias("n"), F.explode(F.array(*map(F.lit, (1, 2, 5)))).alias("page_number"))
-    error = F.when(F.col("body").isNull(), F.format_string("page %d of %d", "page_number", "n")).otherwise("")
-    return figures.join(pages, ["doc_id", "page_number"], "left").select("doc_id", "page_number", F.coalesce("body", F.lit("")).alias("body"), error.alias("mapping_error"))
+    figures = docs.select("doc_id", F.explode(F.array(*map(F.lit, (1, 2, 5)))).alias("page_number"))
+    return stages.pages_of_figures(figures, pages, ["doc_id"]).select("doc_id", "page_number", F.coalesce("body", F.lit("")).alias("body"), "mapping_error")
 
 
 @query("SELECT user_id, event_type FROM (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 2 = 0 UNION SELECT DISTINCT user_id, event_type FROM events WHERE value > 50)")
@@ -187,35 +176,46 @@ def completeness_bool(spark, d):
     return relational.complete(table(spark, d, "lineitem"), "l_orderkey", F.lit(1), F.col("l_linestatus") == "F", F.col("l_returnflag") == "R")
 
 
-@query("""SELECT user_id, CASE WHEN errors > 0 AND purchases = 0 THEN 'failed' WHEN purchases = 0 THEN 'rejected' ELSE 'accepted' END AS status,
-CASE WHEN errors > 0 AND purchases = 0 THEN 'recovery_failed' WHEN purchases = 0 THEN 'nothing_recovered' ELSE 'recovered' END AS reason, purchases FROM
+@query("""SELECT user_id, CASE WHEN user_id % 7 = 0 THEN 'failed' WHEN user_id % 7 = 1 THEN 'failed' WHEN purchases = 0 AND errors > 0 THEN 'failed' WHEN purchases = 0 THEN 'rejected' WHEN user_id % 7 = 3 THEN 'failed' ELSE 'accepted' END AS status,
+CASE WHEN user_id % 7 = 0 THEN 'missing_source_package' WHEN user_id % 7 = 1 THEN 'unpack_failed' WHEN purchases = 0 AND errors > 0 THEN 'drawio_recovery_failed' WHEN purchases = 0 THEN 'no_valid_drawio_recovered' WHEN user_id % 7 = 2 THEN 'existing_output' WHEN user_id % 7 = 3 THEN 'unexpected_existing_output' ELSE 'valid_drawio_recovered' END AS reason, purchases AS drawio_files FROM
 (SELECT user_id, CAST(count_if(event_type = 'error' AND value > 90) AS BIGINT) AS errors, CAST(count_if(event_type = 'purchase' AND value > 80) AS BIGINT) AS purchases FROM events GROUP BY 1)""")
 def recovery_status_case(spark, d):
-    facts = table(spark, d, "events").groupBy("user_id").agg(F.count_if((F.col("event_type") == "error") & (F.col("value") > 90)).alias("errors"), F.count_if((F.col("event_type") == "purchase") & (F.col("value") > 80)).alias("purchases"))
-    failed, none = (F.col("errors") > 0) & (F.col("purchases") == 0), F.col("purchases") == 0
-    return facts.select("user_id", F.when(failed, "failed").when(none, "rejected").otherwise("accepted").alias("status"), F.when(failed, "recovery_failed").when(none, "nothing_recovered").otherwise("recovered").alias("reason"), "purchases")
+    e, u = table(spark, d, "events"), F.col("package")
+    papers = e.select(F.col("user_id").alias("package")).distinct()
+    failures = e.filter("event_type = 'error' and value > 90").select(F.col("user_id").alias("package"), F.lit("x").alias("name"), F.lit(True).alias("command_failed"))
+    diagrams = e.filter("event_type = 'purchase' and value > 80").select(F.col("user_id").alias("package"))
+    outputs = papers.filter((u % 7).isin(2, 3)).withColumn("has_record", u % 7 == 2)
+    out = stages.recovery_states(papers, diagrams, diagrams, papers.filter(u % 7 == 1), papers.filter(u % 7 == 0), failures, outputs)
+    return out.select(u.alias("user_id"), "status", "reason", "drawio_files")
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'skipped' WHEN n IS NULL THEN 'not_ready' WHEN n > 6 THEN 'collision' ELSE 'imported' END AS status FROM orders
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'skipped' ELSE 'collision' END WHEN n IS NULL OR n > 5 THEN 'not_ready' WHEN o_orderkey % 11 = 1 THEN 'failed' ELSE 'imported' END AS status FROM orders
 LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
 def import_status(spark, d):
-    n = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
-    status = F.when(F.col("o_orderstatus") == "P", "skipped").when(F.col("n").isNull(), "not_ready").when(F.col("n") > 6, "collision").otherwise("imported")
-    return table(spark, d, "orders").select("o_orderkey", "o_orderstatus").join(n, "o_orderkey", "left").select("o_orderkey", status.alias("status"))
+    papers, k = table(spark, d, "orders").select(F.col("o_orderkey").alias("arxiv_id")), F.col("arxiv_id")
+    ready = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("arxiv_id")).agg((F.count("*") <= 5).alias("ready"))
+    there = papers.filter(k % 5 == 0).withColumn("valid", k % 2 == 0)
+    return states.imports(papers, ready, there, papers.filter(k % 11 == 1)).withColumnRenamed("arxiv_id", "o_orderkey")
 
 
-@query("SELECT lang, count(*) AS n, CAST(count_if(n_chars > 2000) AS BIGINT) AS n_long, CAST(count_if(contains(text, chr(10))) AS BIGINT) AS n_lines, count(*) - count(DISTINCT text) AS duplicates_removed FROM documents GROUP BY lang")
+@query("""WITH p AS (SELECT doc_id, text, n_chars, lang = 'en' AS is_cs, contains(text, chr(10)) AS valid, doc_id % 3 = 0 AS is_main, length(text) - length(replace(text, 'e', '')) AS elements FROM documents)
+SELECT count(*) AS all_pages, count_if(valid)::BIGINT AS valid_pages, count_if(is_cs)::BIGINT AS cs_pages, count_if(is_cs AND valid)::BIGINT AS valid_cs_pages, count_if(is_main)::BIGINT AS main_pages, count_if(elements = 0)::BIGINT AS zero_elements,
+count(DISTINCT CASE WHEN is_cs AND valid THEN text END) AS unique_pages, count_if(is_cs AND valid)::BIGINT - count(DISTINCT CASE WHEN is_cs AND valid THEN text END) AS duplicates_removed FROM p""")
 def count_if_stats(spark, d):
-    t = table(spark, d, "documents").withColumn("g", F.xxhash64("text"))
-    return t.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("n_chars") > 2000).alias("n_long"), F.count_if(F.contains("text", F.lit("\n"))).alias("n_lines"), (F.count("*") - F.count_distinct("g")).alias("duplicates_removed"))
+    p = table(spark, d, "documents").select(F.col("doc_id").alias("png"), F.sha2("text", 256).alias("sha256"), (F.col("lang") == "en").alias("is_cs"), F.contains("text", F.lit("\n")).alias("valid"), (F.col("doc_id") % 3 == 0).alias("is_main"), scalars.count_of(F.col("text"), "e").alias("elements"))
+    return quality.run_stats(p, dedup.best_of_group(p.filter("is_cs and valid"), "sha256", ["elements", "png"]), ["elements"])
 
 
-@query("SELECT 1.0::DOUBLE * (greatest(max(x + w) - min(x) + 20, 1.0)) AS width, greatest(max(y + h) - min(y) + 20, 1.0)::DOUBLE AS height, label FROM (SELECT label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, abs(embedding[3]::DOUBLE) AS w, abs(embedding[4]::DOUBLE) AS h FROM embeddings) GROUP BY label")
+@query("""SELECT vec_id, CASE WHEN n = 0 THEN 640.0 ELSE greatest(1.0, list_max(list_transform(range(0, n), lambda i: i * 10 + greatest(w - i, 0))) + 20.0) END::DOUBLE AS width, CASE WHEN n = 0 THEN 800.0 ELSE 20.0 + 5 END::DOUBLE AS height
+FROM (SELECT vec_id, vec_id % 5 AS n, vec_id % 7 - 2 AS w FROM embeddings)""")
 def bbox_agg(spark, d):
-    at = lambda i: F.element_at("embedding", i).cast("double")
-    e = table(spark, d, "embeddings").select("label", at(1).alias("x"), at(2).alias("y"), F.abs(at(3)).alias("w"), F.abs(at(4)).alias("h"))
-    span = lambda a, b: F.greatest(F.max(F.col(a) + F.col(b)) - F.min(a) + 20, F.lit(1.0))
-    return e.groupBy("label").agg(span("x", "w").alias("width"), span("y", "h").alias("height"))
+    from loomwright.functions.xml_pages import page_size
+
+    # widths fall below zero, one geometry is no number, and the size of a nested model does not count
+    shapes = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.concat(F.lit('<mxGeometry y="3" x="'), (i * 10).cast("string"), F.lit('" width="'), (F.col("w") - i).cast("string"), F.lit('" height="5"/>')))
+    body = F.concat(F.lit('<root pageWidth="640"><mxGraphModel pageWidth="1"/><mxGeometry x="a"/>'), F.when(F.col("n") > 0, F.array_join(shapes, "")).otherwise(""), F.lit("</root>"))
+    rows = table(spark, d, "embeddings").select("vec_id", (F.col("vec_id") % 5).cast("int").alias("n"), (F.col("vec_id") % 7 - 2).cast("int").alias("w"))
+    return rows.select("vec_id", page_size(body).alias("b")).select("vec_id", "b.width", "b.height")
 
 
 # Pages, policy, scores, ranks
@@ -302,7 +302,7 @@ def adaptive_scale(spark, d):
 FROM (SELECT *, least(2.0, 4096.0 / greatest(w, h), sqrt(20000000.0 / (w * h))) + 1e-9 AS m FROM (SELECT page_id, strlen(html)::DOUBLE AS w, length(url)::DOUBLE * 60 AS h FROM pages)))
 SELECT scale, count(*) AS n, min(page_id) AS first_page FROM s GROUP BY scale""")
 def scale_groups(spark, d):
-    return adaptive_scale(spark, d).groupBy("scale").agg(F.count("*").alias("n"), F.min("page_id").alias("first_page")).orderBy(F.desc("scale"))
+    return stages.scale_groups(adaptive_scale(spark, d).withColumnRenamed("page_id", "key")).withColumnRenamed("first_key", "first_page")
 
 
 @query("""WITH l AS (SELECT vec_id, list_transform(embedding[1:8], lambda x: x::DOUBLE * 10) AS p, list_transform(embedding[9:19], lambda x: x::DOUBLE * 10) AS n FROM embeddings),
@@ -317,24 +317,29 @@ def log_mean_exp_margin(spark, d):
 @query("""SELECT vec_id % 50 AS image, i AS prompt, round(avg(embedding[i]::DOUBLE), 6) AS logit FROM embeddings, (SELECT unnest(range(1, 20)) AS i) GROUP BY 1, 2""")
 def mean_over_views(spark, d):
     views = table(spark, d, "embeddings").select((F.col("vec_id") % 50).alias("image"), F.posexplode(F.slice("embedding", 1, 19)).alias("i", "x"))
-    return views.groupBy("image", (F.col("i") + 1).cast("long").alias("prompt")).agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("logit"))
+    views = views.select("image", (F.col("i") + 1).cast("long").alias("prompt"), F.col("x").alias("logit"))
+    return quality.mean_views(views, "image", "prompt", "logit").withColumn("logit", F.round("logit", 6))
 
 
 # Folds and slices
 
 
-@query("""WITH RECURSIVE w AS (SELECT o_orderkey AS k, row_number() OVER (ORDER BY o_orderkey) AS i, greatest(1, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey)) AS n FROM orders WHERE o_custkey <= 150),
-f AS (SELECT k, i, n, n AS held, 0::BIGINT AS batch FROM w WHERE i = 1 UNION ALL SELECT w.k, w.i, w.n, CASE WHEN held + w.n > 48 THEN w.n ELSE held + w.n END, batch + CASE WHEN held + w.n > 48 THEN 1 ELSE 0 END FROM f JOIN w ON w.i = f.i + 1)
-SELECT k AS o_orderkey, n::BIGINT AS weight, batch FROM f""")
+#: Next-fit in SQL goes from the first row of a bin to the first row of the next.
+_NEXT_FIT = """WITH RECURSIVE w AS ({rows}), s AS (SELECT *, sum(n) OVER (ORDER BY i) AS upto FROM w),
+nx AS (SELECT a.i, min(b.i) AS nxt FROM (SELECT i, upto - n + {cap} AS most, unnest(range(i + 1, i + {reach})) AS j FROM s) a JOIN s b ON b.i = a.j WHERE b.upto > a.most GROUP BY 1),
+steps AS MATERIALIZED (SELECT list(coalesce(nxt, 0) ORDER BY i) AS step FROM s LEFT JOIN nx USING (i)),
+f AS (SELECT 1::BIGINT AS i, 0::BIGINT AS bin UNION ALL SELECT step[i], bin + 1 FROM f, steps WHERE step[i] > 0),
+packed AS (SELECT w.*, last_value(bin IGNORE NULLS) OVER (ORDER BY i) AS bin FROM w LEFT JOIN f USING (i))"""
+
+
+@query(_NEXT_FIT.format(cap=48, reach=50, rows="SELECT o_orderkey AS k, row_number() OVER (ORDER BY o_orderkey) AS i, greatest(1, coalesce(m, 0)) AS n FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS m FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey") + " SELECT k AS o_orderkey, n::BIGINT AS weight, bin AS batch FROM packed")
 def next_fit_batches(spark, d):
     n = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
     w = table(spark, d, "orders").select("o_orderkey").join(n, "o_orderkey", "left").select("o_orderkey", F.greatest(F.lit(1), F.coalesce("n", F.lit(0))).cast("long").alias("weight"))
     return folds.pack_next_fit(w, ["o_orderkey"], F.col("weight"), 48, "batch")
 
 
-@query("""WITH RECURSIVE w AS (SELECT page_id AS k, row_number() OVER (ORDER BY page_id) AS i, CAST(512 + ceil(strlen(html) / 512) * 512 AS BIGINT) AS n FROM pages),
-f AS (SELECT k, i, n, n AS held, 0::BIGINT AS shard FROM w WHERE i = 1 UNION ALL SELECT w.k, w.i, w.n, CASE WHEN held + w.n > 65536 THEN w.n ELSE held + w.n END, shard + CASE WHEN held + w.n > 65536 THEN 1 ELSE 0 END FROM f JOIN w ON w.i = f.i + 1)
-SELECT k AS page_id, n AS bytes, shard FROM f""")
+@query(_NEXT_FIT.format(cap=65536, reach=66, rows="SELECT page_id AS k, row_number() OVER (ORDER BY page_id) AS i, CAST(512 + ceil(strlen(html) / 512) * 512 AS BIGINT) AS n FROM pages") + " SELECT k AS page_id, n AS bytes, bin AS shard FROM packed")
 def shard_plan(spark, d):
     p = table(spark, d, "pages").select("page_id", folds.tar_size(F.octet_length("html")).cast("long").alias("bytes"))
     return folds.pack_next_fit(p, ["page_id"], F.col("bytes"), 65536, "shard")
@@ -350,23 +355,29 @@ def ordered_slice(spark, d):
     return folds.slice_rows(table(spark, d, "customer").select("c_custkey", "c_name"), [F.desc("c_name"), F.col("c_custkey")], 10, 25)
 
 
-@query("SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY CASE WHEN contains(text, 'http') THEN 1000 ELSE 0 END + least(length(text), 1000000) / 1000000 DESC, doc_id) = 1")
+@query("""WITH f AS (SELECT source AS arxiv_id, 'd' || doc_id || '/' || CASE doc_id % 5 WHEN 0 THEN 'Main.tex' WHEN 1 THEN 'supp.tex' WHEN 2 THEN 'x.sty' ELSE 'part.tex' END AS path, CASE doc_id % 4 WHEN 0 THEN '\\documentclass' WHEN 1 THEN '\\title' ELSE '' END || text AS text FROM documents),
+s AS (SELECT *, CASE WHEN contains(text, '\\documentclass') THEN 1000 ELSE 0 END + CASE WHEN contains(text, '\\begin{document}') THEN 1000 ELSE 0 END + CASE WHEN contains(text, '\\title') THEN 100 ELSE 0 END
+ + CASE WHEN path LIKE '%/Main.tex' THEN 200 ELSE 0 END - CASE WHEN path LIKE '%/supp.tex' THEN 100 ELSE 0 END + least(length(text), 1000000) / 1000000 AS score FROM f WHERE path LIKE '%.tex')
+SELECT arxiv_id, path FROM s QUALIFY row_number() OVER (PARTITION BY arxiv_id ORDER BY score DESC, path) = 1""")
 def main_file_choice(spark, d):
-    score = F.when(F.contains("text", F.lit("http")), 1000).otherwise(0) + F.least(F.length("text"), F.lit(1_000_000)) / 1_000_000
-    return relational.first_wins(table(spark, d, "documents").select("source", "doc_id", score.alias("score")), ["source"], [F.desc("score"), F.col("doc_id")]).select("source", "doc_id")
+    k = F.col("doc_id")
+    name = F.when(k % 5 == 0, "Main.tex").when(k % 5 == 1, "supp.tex").when(k % 5 == 2, "x.sty").otherwise("part.tex")
+    mark = F.when(k % 4 == 0, "\\documentclass").when(k % 4 == 1, "\\title").otherwise("")
+    files = table(spark, d, "documents").select(F.col("source").alias("arxiv_id"), F.concat(F.lit("d"), k.cast("string"), F.lit("/"), name).alias("path"), F.concat(mark, F.col("text")).alias("text"))
+    return texts.main_files(files).select("arxiv_id", "path")
 
 
 # Scalars, text, detection
 
 
-@query("SELECT doc_id, substr(CASE WHEN c = '' THEN 'diagram' ELSE c END, 1, 24) AS name FROM (SELECT doc_id, regexp_replace(regexp_replace(substr(text, 1, 60), '[^A-Za-z0-9._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g') AS c FROM documents)")
+@query("SELECT doc_id, substr(CASE WHEN c = '' THEN 'diagram' ELSE c END, 1, 24) AS name FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '[^A-Za-z0-9._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g') AS c FROM documents)")
 def slug_names(spark, d):
     return table(spark, d, "documents").select("doc_id", scalars.slug(F.col("text"), 24).alias("name"))
 
 
-@query("SELECT page_id, 'page_' || substr(sha1(url || '/page/' || (page_id % 7)), 1, 12) AS key FROM pages")
+@query("SELECT page_id, substr(CASE WHEN c = '' THEN 'diagram' ELSE c END, 1, 20) || '_' || substr(sha1(url || '/page/' || (page_id % 7)), 1, 12) AS key FROM (SELECT *, regexp_replace(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g') AS c FROM pages)")
 def task_key_sha1(spark, d):
-    return table(spark, d, "pages").select("page_id", F.concat(F.lit("page_"), F.substring(F.sha1(F.concat_ws("/", "url", F.lit("page"), (F.col("page_id") % 7).cast("string"))), 1, 12)).alias("key"))
+    return table(spark, d, "pages").select("page_id", scalars.task_key(F.col("url"), F.lit("page"), F.col("page_id") % 7).alias("key"))
 
 
 @query("SELECT strftime(m, '%y%m') AS month FROM (SELECT unnest(generate_series(TIMESTAMP '2021-11-01', TIMESTAMP '2024-10-01', INTERVAL 1 MONTH)) AS m)")
@@ -374,10 +385,10 @@ def months_desc(spark, d):
     return descending_months(spark, "2410", "2111")
 
 
-@query("SELECT doc_id, trim(regexp_replace(substr(text, 1, 300), '\\s+', ' ', 'g')) AS title, regexp_replace('2401.' || doc_id || 'v' || (doc_id % 4), 'v[0-9]+$', '') AS arxiv_id FROM documents")
+@query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS title, regexp_replace('2401.' || doc_id || 'v' || (doc_id % 4), 'v[0-9]+$', '') AS arxiv_id FROM documents")
 def title_normalise(spark, d):
     name = F.concat(F.lit("2401."), F.col("doc_id").cast("string"), F.lit("v"), (F.col("doc_id") % 4).cast("string"))
-    return table(spark, d, "documents").select("doc_id", scalars.title(F.substring("text", 1, 300)).alias("title"), scalars.without_version(name).alias("arxiv_id"))
+    return table(spark, d, "documents").select("doc_id", scalars.title(F.col("text")).alias("title"), scalars.without_version(name).alias("arxiv_id"))
 
 
 @query("SELECT o_orderkey, list_has_any(c, ['cs.AI', 'cs.LG']) AS is_cs FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN ['cs.AI', 'math.CO'] WHEN o_orderkey % 5 = 1 THEN ['math.CO'] WHEN o_orderkey % 5 = 2 THEN ['stat.ML', 'cs.LG'] ELSE [] END AS c FROM orders)")
@@ -411,41 +422,22 @@ def png_header(spark, d):
     return table(spark, d, "pages").select("page_id", content.alias("content")).select("page_id", pw.alias("png_w"), ph.alias("png_h"), ((pw > 0) & (ph > 0) & (F.length("content") > 100)).alias("valid"))
 
 
-def _latex_sql() -> str:
-    text = r"""'\documentclass{a} \begin{document} \section{First ' || doc_id || '} \textbf{' || text || '} 100\% % gone' || chr(10) || '\begin{figure} x \end{figure} \item one \emph{two \textit{three}} a~b \label{x} \end{document}'"""
-    out = r"regexp_extract(s, '(?s)\\begin\{document\}(.*?)\\end\{document\}', 1)"
-    for pattern, replacement in latex.STEPS:
-        quoted = lambda x: "'" + x.replace("'", "''") + "'"
-        out = f"regexp_replace({out}, {quoted(pattern)}, {quoted(replacement.replace(chr(36) + '1', chr(92) + '1'))}, 'g')"
-    return rf"SELECT doc_id, regexp_replace(regexp_replace({out}, '^\s+', ''), '\s+$', '') AS markdown FROM (SELECT doc_id, {text} AS s FROM documents)"
-
-
-@query(_latex_sql())
+@query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(raw, '[ \t]+', ' ', 'g'), '\n[ \t]+', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10)) AS markdown
+FROM (SELECT doc_id, '# First ' || doc_id || chr(10) || chr(10) || ' ' || replace(regexp_replace(text, '[\\{}%~]', ' ', 'g'), chr(13), '') || ' 100% ' || chr(10) || ' ' || chr(10) || '-  one two three a b  {c} d' AS raw FROM documents)""")
 def latex_to_markdown(spark, d):
-    source = F.concat(F.lit(r"\documentclass{a} \begin{document} \section{First "), F.col("doc_id").cast("string"), F.lit(r"} \textbf{"), F.col("text"), F.lit("} 100\\% % gone\n" + r"\begin{figure} x \end{figure} \item one \emph{two \textit{three}} a~b \label{x} \end{document}"))
+    text = F.regexp_replace("text", r"[\\{}%~]", " ")
+    head, tail = r"\documentclass{a} \begin{document} \section{First ", r"\begin{figure} x \end{figure} \item one \emph{two \textit{three}} a~b \label{x} {c} \cite[p. 3]{d} \end{document}"
+    source = F.concat(F.lit(head), F.col("doc_id").cast("string"), F.lit(r"} \textbf{"), text, F.lit("} 100\\% % gone\n" + tail))
     return table(spark, d, "documents").select("doc_id", latex.to_markdown(source).alias("markdown"))
 
 
-@query("SELECT doc_id, strlen(text) >= 1000 AND NOT contains(lower(substr(text, 1, 500)), '<html') AND NOT contains(lower(substr(text, 1, 500)), '<!doctype') AS download_ok, length(text) >= 1000 AS conversion_ok FROM documents")
+@query("SELECT doc_id, strlen(text) >= 1000 AND NOT contains(lower(substr(text, 1, 500)), '<html') AND NOT contains(lower(substr(text, 1, 500)), '<!doctype html') AS download_ok, length(text) >= 1000 AS conversion_ok FROM documents")
 def text_acceptance(spark, d):
     t = F.col("text")
     return table(spark, d, "documents").select("doc_id", latex.acceptable_download(t).alias("download_ok"), latex.acceptable_conversion(t).alias("conversion_ok"))
 
 
-@query("""SELECT page_id, concat_ws(',', CASE WHEN NOT contains(html, '</html>') THEN 'unexpected_layout' END, CASE WHEN NOT contains(html, '<p>') THEN 'empty_text' END, CASE WHEN contains(html, '<b>') AND NOT contains(html, '</b>') THEN 'malformed' END) AS errors,
-CASE WHEN strlen(html) > 6000 THEN 'large' ELSE '' END AS warnings FROM pages""")
-def validate_rules(spark, d):
-    has = lambda x: F.contains("html", F.lit(x))
-    errors = scalars.reasons(("unexpected_layout", ~has("</html>")), ("empty_text", ~has("<p>")), ("malformed", has("<b>") & ~has("</b>")))
-    return table(spark, d, "pages").select("page_id", F.array_join(errors, ",").alias("errors"), F.array_join(scalars.reasons(("large", F.octet_length("html") > 6000)), ",").alias("warnings"))
-
-
-@query("SELECT contains(html, '</html>') AS exported, count(*) AS n, CAST(count_if(url LIKE '%.org%') AS BIGINT) AS n_org FROM pages GROUP BY 1")
-def export_split(spark, d):
-    return table(spark, d, "pages").groupBy(F.contains("html", F.lit("</html>")).alias("exported")).agg(F.count("*").alias("n"), F.count_if(F.col("url").like("%.org%")).alias("n_org"))
-
-
-@query()
+@query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, max((ts, event_id))[2] AS event_id FROM events GROUP BY user_id")
 def incremental_upsert_stream(spark, d):
     from loomwright.streaming.incremental import latest_by_stream
 
@@ -584,3 +576,6 @@ def shard_totals(spark, d):
     name = F.concat(F.lit("sh-"), (F.col("o_orderkey") % 9).cast("string"), F.lit("/"), F.col("o_orderstatus"))
     m = table(spark, d, "orders").groupBy(name.alias("name")).agg(F.count("*").alias("size"))
     return m.crossJoin(F.broadcast(m.agg(F.sum("size").alias("total"))))
+
+
+from loomwright.plans import catalogue_files, catalogue_states  # noqa: E402, F401  they register their queries

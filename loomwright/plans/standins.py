@@ -86,3 +86,23 @@ bits AS (SELECT vec_id, label, list_transform(range(0, 64), lambda i: CASE WHEN
   FROM embeddings WHERE len(embedding) = 64),
 codes AS (SELECT vec_id, label, lower(list_aggregate(list_transform(range(0, 16), lambda j: substr('0123456789abcdef', CAST(b[4*j+1]*8 + b[4*j+2]*4 + b[4*j+3]*2 + b[4*j+4] + 1 AS INT), 1)), 'string_agg', '')) AS phash,
   list_sum(list_transform(range(0, 64), lambda i: b[i + 1]::HUGEINT << (63 - i)::INT)) AS wide FROM bits)"""
+
+
+def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, code): 64-bit codes in families of six, whose members differ from each other in none to six bits."""
+    from loomwright.functions.scalars import hash_of_hex
+
+    k = F.col("c_custkey")
+    bit = lambda factor: F.expr(f"shiftleft(1L, cast(c_custkey * {factor} % 60 as int))")
+    code = hash_of_hex(F.substring(F.sha1(F.floor(k / 6).cast("string")), 1, 16))
+    for factor, least in ((7, 0), (11, 2), (13, 4)):
+        code = F.when(k % 6 > least, code.bitwiseXOR(bit(factor))).otherwise(code)
+    return table(spark, sf_dir, "customer").select(k.alias("k"), code.alias("code"))
+
+
+_BIT = "(repeat('0', CAST(63 - k * {0} % 60 AS INT)) || '1' || repeat('0', CAST(k * {0} % 60 AS INT)))::BIT"
+CODES_SQL = f"""
+c0 AS (SELECT c_custkey AS k, from_hex(substr(sha1(CAST(floor(c_custkey / 6) AS BIGINT)::VARCHAR), 1, 16))::BIT AS code FROM customer),
+c1 AS (SELECT k, CASE WHEN k % 6 > 0 THEN xor(code, {_BIT.format(7)}) ELSE code END AS code FROM c0),
+c2 AS (SELECT k, CASE WHEN k % 6 > 2 THEN xor(code, {_BIT.format(11)}) ELSE code END AS code FROM c1),
+codes AS (SELECT k, CASE WHEN k % 6 > 4 THEN xor(code, {_BIT.format(13)}) ELSE code END AS code FROM c2)"""

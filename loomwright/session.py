@@ -1,7 +1,10 @@
-"""Sessions with the settings that the engine counts on."""
+"""Sessions with the settings that the engine counts on, and the folder that driver and executors share."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -21,3 +24,33 @@ def session(master: str | None = None, **more: str) -> SparkSession:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; one of our own only where all run on this machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='shared-')}"
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def settled(df: DataFrame, name: str = "step") -> DataFrame:
+    """``df`` written to the shared folder and read back: its lineage ends there, and its rows stay as they are."""
+    spark = df.sparkSession
+    path, schema = f"{shared_folder(spark)}/core/{name}-{uuid.uuid4().hex}", df.schema
+    df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def file_at(spark: SparkSession, path: str):
+    """(path, file system) by which Spark reaches it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, files = file_at(spark, path)
+    return files.exists(where)

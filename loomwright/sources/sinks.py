@@ -4,15 +4,22 @@ from __future__ import annotations
 
 import hashlib
 import io
+import json
 import os
+import re
 import tarfile
+import uuid
 from collections.abc import Iterator
+from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.schemas import SHARD_REPORT
+from loomwright.session import exists, file_at, settled
+from loomwright.sources.tables import PAPER_ID
 
 
 def write_table(df: DataFrame, path: str, by: str | None = None) -> None:
@@ -26,36 +33,123 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.select(*sorted(df.columns)).write.mode("overwrite").json(path)
 
 
-def tar_of(files: list[tuple[str, bytes]]) -> bytes:
-    """The same files always give the same archive."""
-    out = io.BytesIO()
-    with tarfile.open(fileobj=out, mode="w", format=tarfile.PAX_FORMAT) as archive:
-        for name, content in sorted(files):
-            info = tarfile.TarInfo(name)
-            info.size, info.mode, info.mtime = len(content), 0o644, 0
-            archive.addfile(info, io.BytesIO(content))
-    return out.getvalue()
+def write_json_document(spark: SparkSession, value: Any, path: str) -> None:
+    """One JSON document, keys in order; it is there whole or not at all."""
+    data = (json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True) + "\n").encode()
+    where, files = file_at(spark, path)
+    part = file_at(spark, f"{path}.{uuid.uuid4().hex}.part")[0]
+    out = files.create(part, True)
+    out.write(bytearray(data))
+    out.close()
+    files.delete(where, False)
+    if not files.rename(part, where):
+        raise OSError(f"cannot write {path}")
 
 
-def write_shards(files: DataFrame, folder: str, prefix: str = "papers") -> DataFrame:
+def read_json_document(spark: SparkSession, path: str) -> Any:
+    """The document at a path, null if there is none."""
+    where, files = file_at(spark, path)
+    if not files.exists(where):
+        return None
+    stream = files.open(where)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+class _Hashed:
+    """A stream that counts and hashes what is written to it."""
+
+    def __init__(self, out):
+        self.out, self.hash, self.size = out, hashlib.sha256(), 0
+
+    def write(self, data: bytes) -> int:
+        self.out.write(data)
+        self.hash.update(data)
+        self.size += len(data)
+        return len(data)
+
+    def tell(self) -> int:
+        return self.size
+
+
+def portable(name: Column) -> Column:
+    """Whether a member of an archive is one that a release may hold."""
+    return F.coalesce(name.rlike(rf"\A{PAPER_ID}/(paper\.md|drawio/[^/]+\.drawio|images/[^/]+\.png)\z"), F.lit(False))
+
+
+def write_shards(files: DataFrame, folder: str, prefix: str = "papers", resume: bool = False) -> DataFrame:
     """Archives of the files (shard, arxiv_id, name, content) in a shared folder; a report of each.
 
-    A shard is written under a name of its attempt and then renamed, so a repeated task leaves one.
+    Files are streamed: a task holds one at a time, however large its archive.  An archive is
+    written under a name of its attempt and then renamed, so a repeated task leaves one.  One
+    that is there already is an error, or with ``resume`` kept if it has just these members.
     """
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", prefix):
+        raise ValueError(f"invalid prefix: {prefix!r}")
+    spark = files.sparkSession
+    target = folder if "://" in folder else f"file://{os.path.abspath(folder)}"
+    if exists(spark, target) and not resume and [s for s in _names(spark, target) if s.endswith(".tar")]:
+        raise FileExistsError(f"archive output must be empty: {folder}")
+    columns = ["filename", "bytes", "sha256", "papers"]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(target)
+        store.create_dir(base)
+        current: dict[str, Any] = {}
+
+        def close() -> pa.RecordBatch:
+            name, part = current["name"], current["part"]
+            if part is None:  # kept
+                with store.open_input_stream(f"{base}/{name}") as old, tarfile.open(fileobj=old, mode="r|") as archive:
+                    there = {m.name: m.size for m in archive if m.isfile()}
+                if there != current["members"]:
+                    raise ValueError(f"existing shard membership differs: {name}")
+                digest, size = hashlib.sha256(), 0
+                with store.open_input_stream(f"{base}/{name}") as old:
+                    while block := old.read(8 << 20):
+                        digest.update(block)
+                        size += len(block)
+                return row(name, size, digest.hexdigest())
+            current["tar"].close()
+            current["raw"].close()
+            store.move(part, f"{base}/{name}")
+            return row(name, current["out"].size, current["out"].hash.hexdigest())
+
+        def row(name: str, size: int, digest: str) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([size], pa.int64()), pa.array([digest]), pa.array([sorted(current["papers"])], pa.list_(pa.string()))], columns)
 
-    def write(group: pa.Table) -> pa.Table:
-        number = group["shard"][0].as_py()
-        data = tar_of(list(zip(group["name"].to_pylist(), group["content"].to_pylist())))
-        name = f"{prefix}-{number:05d}.tar"
-        os.makedirs(folder, exist_ok=True)
-        path = os.path.join(folder, f".{name}.{os.getpid()}")
-        with open(path, "wb") as f:
-            f.write(data)
-        os.replace(path, os.path.join(folder, name))
-        papers = sorted(set(group["arxiv_id"].to_pylist()))
-        return pa.table({"filename": [name], "bytes": pa.array([len(data)], pa.int64()), "sha256": [hashlib.sha256(data).hexdigest()], "papers": pa.array([papers], pa.list_(pa.string()))})
-
-    return files.groupBy("shard").applyInArrow(lambda t: write(t), SHARD_REPORT)
+        for batch in batches:
+            for shard, paper, member, content in zip(*(batch.column(i) for i in range(4))):
+                name = f"{prefix}-{shard.as_py():05d}.tar"
+                if current.get("name") != name:
+                    if current:
+                        yield close()
+                    kept = resume and store.get_file_info(f"{base}/{name}").type != fs.FileType.NotFound
+                    current = {"name": name, "part": None if kept else f"{base}/.{name}.{uuid.uuid4().hex}", "papers": set(), "members": {}}
+                    if not kept:
+                        current["raw"] = store.open_output_stream(current["part"])
+                        current["out"] = _Hashed(current["raw"])
+                        current["tar"] = tarfile.open(fileobj=current["out"], mode="w", format=tarfile.PAX_FORMAT)
+                data = content.as_py() or b""
+                current["papers"].add(paper.as_py())
+                current["members"][member.as_py()] = len(data)
+                if current["part"]:
+                    info = tarfile.TarInfo(member.as_py())
+                    info.size, info.mode, info.mtime = len(data), 0o644, 0
+                    current["tar"].addfile(info, io.BytesIO(data))
+        if current:
+            yield close()
+
+    rows = files.select("shard", "arxiv_id", "name", "content").repartition("shard").sortWithinPartitions("shard", "name")
+    # The report is written, so archives are made once however often it is read.
+    return settled(rows.mapInArrow(write, SHARD_REPORT), "shards")
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    where, files = file_at(spark, folder)
+    return [s.getPath().getName() for s in files.listStatus(where)]
 
 
 def archive_members(spark, folder: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import gzip
 import io
 import tarfile
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +44,13 @@ def read_listing(spark: SparkSession, path: str, pattern: str = "*.tar") -> Data
     return files.withColumn("month", F.regexp_extract("key", r"_([0-9]{4})_[0-9]+\.tar\z", 1)).orderBy(F.desc("key"))
 
 
+def read_archives(spark: SparkSession, path: str, pattern: str = "*.tar") -> DataFrame:
+    """Outer archives (key, size, month, content); contents are read only where a plan wants them."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    rows = reader.load(path).select(F.col("path").alias("key"), F.col("length").alias("size"), "content")
+    return rows.withColumn("month", F.regexp_extract("key", r"_([0-9]{4})_[0-9]+\.tar\z", 1))
+
+
 def paper_id(path: Column) -> Column:
     """The paper that a path belongs to, null outside of papers."""
     found = F.regexp_extract(path, rf"(?:\A|/)({PAPER_ID})(?:/|\z)", 1)
@@ -62,6 +69,24 @@ def safe_member(name: Column) -> Column:
     return (name != "") & ~F.startswith(name, F.lit("/")) & ~F.exists(parts, lambda p: p == "..")
 
 
+def asset_path(path: Column, prefix: str, parts: int | None = 2) -> Column:
+    """Relative, without a way up, below ``prefix``, and as deep as ``parts`` says, if it does."""
+    pieces = F.split(path, "/")
+    inside = safe_member(path) & (F.element_at(pieces, 1) == prefix)
+    return F.coalesce(inside & (F.size(pieces) == parts) if parts else inside, F.lit(False))
+
+
+def paper_folders(paths: DataFrame) -> DataFrame:
+    """(arxiv_id) of the folders of papers among relative paths: below ``papers`` if there is such a folder, else at the top; none is an error."""
+    first, second = F.split_part("path", F.lit("/"), F.lit(1)), F.split_part("path", F.lit("/"), F.lit(2))
+    below = paths.filter(first == "papers")
+    name = first if below.isEmpty() else F.when(first == "papers", second)
+    found = paths.select(name.alias("arxiv_id")).filter(F.col("arxiv_id").rlike(rf"\A{PAPER_ID}\z")).distinct().orderBy("arxiv_id")
+    if found.isEmpty():
+        raise ValueError("no paper folders")
+    return found
+
+
 def outer_members(packages: DataFrame, only_digits: bool = False) -> DataFrame:
     """(package, member, content, readable): one row for each paper's package in outer archives (path, content).
 
@@ -113,34 +138,6 @@ def _member(package: str, member: str | None, content: bytes, readable: bool) ->
     return pa.RecordBatch.from_arrays([pa.array([package], pa.string()), pa.array([member], pa.string()), pa.array([content], pa.binary()), pa.array([readable])], ["package", "member", "content", "readable"])
 
 
-def fetched(pending: DataFrame, fetch: Callable[[str], tuple[int, str]], retries: int = 3, delay: float = 2.0) -> DataFrame:
-    """(arxiv_id, text, attempts, error) for ids; fetch gives a status and a text, and 429 waits and asks again."""
-    import time
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for name in batch.column(0).to_pylist():
-                text, error, k = None, None, 0
-                for k in range(1, retries + 1):
-                    try:
-                        status, text = fetch(name)
-                        if status == 200:
-                            error = None
-                            break
-                        text, error = None, f"status {status}"
-                    except OSError as e:
-                        text, error = None, str(e)[:300]
-                    if k < retries:
-                        time.sleep(min(60.0, delay * 2 ** (k - 1)))
-                rows.append((name, text, k, error))
-            columns = list(zip(*rows)) or [()] * 4
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["arxiv_id", "text", "attempts", "error"])
-
-    return pending.select("arxiv_id").mapInArrow(ask, "arxiv_id string, text string, attempts int, error string")
-
-
 def descending_months(spark: SparkSession, start: str, stop: str, most: int = 1200) -> DataFrame:
     """Months YYMM from start back to stop, both included."""
     for m in (start, stop):

@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loomwright.operators import relational
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is named."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    return found.rstrip("/") if found else f"file://{tempfile.mkdtemp(prefix='incremental-')}"
+from loomwright.session import file_at, shared_folder
 
 
 class KeyedState:
@@ -56,18 +50,13 @@ def latest_by_stream(spark: SparkSession, source: str, key: str, order: Sequence
     return state.version(last[0])
 
 
-def _files(spark: SparkSession, path: str):
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def _is_folder(spark: SparkSession, path: str) -> bool:
-    where, files = _files(spark, path)
+    where, files = file_at(spark, path)
     return files.getFileStatus(where).isDirectory()
 
 
 def _newest(spark: SparkSession, path: str) -> int:
     """The number of the last version that an earlier run left, -1 if none."""
-    where, files = _files(spark, path)
+    where, files = file_at(spark, path)
     names = [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
     return max((int(n.removeprefix("version=")) for n in names if n.startswith("version=")), default=-1)

@@ -137,7 +137,7 @@ def test_curation_from_documents_to_archives(spark, tmp_path):
     known = spark.createDataFrame([(p, True) for p in papers], "arxiv_id string, is_cs boolean")
     index = stages.index_pages(figures, documents, pictures, known).cache()
     rows = {r.png: r for r in index.collect()}
-    assert rows["none.png"].mapping_error == "page 9 of 1" and not rows["none.png"].valid
+    assert rows["none.png"].mapping_error == "page index 9 outside source page count 1" and not rows["none.png"].valid
     first = rows[papers[0] + "/images/d_p001.png"]
     assert (first.verts, first.edges, first.elements, first.texts, first.valid) == (2, 1, 3, 1, True)
 
@@ -146,7 +146,7 @@ def test_curation_from_documents_to_archives(spark, tmp_path):
     policy = quality.Policy(10, 10, 10, 1e6, 20, 4.0, min_elements=1, min_vertices=1, min_pixels=1)
     chosen, rejects = quality.coarse_selection(quality.scored(unique, quality.recorded_or(policy, unique)), 0.6)
     assert chosen.count() == 2 and {tuple(r.structural_reject_reasons) for r in rejects.collect()} == {("below_structure_cutoff",)}
-    scores = stages.model_scores(chosen.join(pictures, "png"), lambda batch: [[[1.0, 2.0, 0.5]] for _ in batch], 2)
+    scores = stages.model_scores(chosen.join(pictures, "png"), lambda views, prompts: [[1.0, 2.0, 0.5] for _ in views], "dual", ("a", "b"), ("c",))
     selected, vetoed = stages.finalized(chosen, scores, threshold=0.5)
     assert selected.count() == 2 and vetoed.count() == 0 and sorted(r.final_rank for r in selected.collect()) == [1, 2]
     assert quality.bundles(selected, 0.0, expected=2).count() == 2
@@ -180,7 +180,7 @@ def test_packages_and_recovery(spark):
         return out.getvalue()
 
     rows = [
-        ("2401.00001.gz", package({"a.drawio": b"<mxfile>", "b.svg": b"x mxgraph y", "../up.svg": b"mxfile", "c.txt": b"mxfile"})),
+        ("2401.00001.gz", package({"a.drawio": b"<mxfile/>", "z.drawio": b"<mxfile>", "b.svg": b"x mxgraph y", "../up.svg": b"mxfile", "c.txt": b"mxfile"})),
         ("2401.00002.gz", package({"a.tex": b"\\documentclass"})),
         ("2401.00003.gz", b"broken"),
         ("2401.00004.gz", gzip.compress(b"%PDF mxfile")),
@@ -194,7 +194,7 @@ def test_packages_and_recovery(spark):
     files = tables.inner_files(df)
     found = stages.candidates(files).cache()
     assert {(r.package, r.name, r.recovery) for r in found.collect()} >= {("2401.00001.gz", "source_0001", "direct"), ("2401.00001.gz", "source_0002", "embedded_drawio_xml")}
-    extracted = spark.createDataFrame([("2401.00001.gz", "source_0002", b"<mxfile>")], "package string, name string, xml binary")
+    extracted = spark.createDataFrame([("2401.00001.gz", "source_0002", b"<mxfile/>")], "package string, name string, xml binary")
     diagrams = stages.recovered(found, extracted)
     states = stages.recovery_states(df.select(F.col("path").alias("package")), found, diagrams, files.filter("not readable"))
     assert {(r.package[:10], r.status, r.drawio_files) for r in states.collect()} == {("2401.00001", "accepted", 1), ("2401.00002", "rejected", 0), ("2401.00003", "failed", 0), ("2401.00004", "rejected", 0)}
@@ -203,9 +203,9 @@ def test_packages_and_recovery(spark):
 def test_render(spark):
     docs = spark.createDataFrame([("p", "d", f"<mxfile><diagram>{CELLS}</diagram></mxfile>".encode()), ("q", "e", b"<a")], "arxiv_id string, drawio_path string, content binary")
     tasks = stages.render_tasks(docs).cache()
-    good = stages.rendered(tasks, lambda body, scale: b"x" * 200)
+    good = stages.rendered(tasks, lambda items, seconds: {k: b"x" * 200 for k, _, _ in items})
     assert {(r.arxiv_id, r.status) for r in stages.render_states(tasks, good).collect()} == {("p", "complete"), ("q", "failed")}
-    bad = stages.rendered(tasks, lambda body, scale: 1 / 0)
+    bad = stages.rendered(tasks, lambda items, seconds: 1 / 0)
     assert {r.status for r in stages.render_states(tasks, bad).collect()} == {"failed"}
 
 
