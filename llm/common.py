@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 #: Spark's setting by which a finished write removes its shuffle files.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -35,15 +37,44 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(path)
 
 
+def release() -> None:
+    """Give memory that is free in this worker back to the machine: workers outlive tasks, and executors count it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over batches, with what it leaves free released at the end of its task."""
+
+    def tidy(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidy
+
+
+def done(result):
+    """``result`` of a group, after a release."""
+    release()
+    return result
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; one of our own only where that is unset."""
+    """The shared folder named by spark.checkpoint.dir; one of our own only where that is unset and all run on this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='scratch-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return f"{found.rstrip('/')}/llm"

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import Scratch, crc_of_id, table
+from llm.common import Scratch, crc_of_id, done, table, tidied
 from llm.textcodes import byte_chunks, mix, word_codes
 
 ORDER = 3
@@ -178,7 +178,7 @@ def chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         if kept:
             yield flush()
 
-    return docs.mapInArrow(read, CHUNKS)
+    return docs.mapInArrow(tidied(read), CHUNKS)
 
 
 class Grams:
@@ -280,7 +280,7 @@ def ask_words(chunked: DataFrame, buckets: int) -> DataFrame:
                 for b, some in _split(bucket(words, buckets), buckets):
                     yield _rows({"bucket": [b], "chunk": [chunk.as_py()], "asked": [np.array([len(some)], "<u8").tobytes() + words[some].tobytes() + packed(counts[some].astype("<u4"))]}, ASKED_WORDS)
 
-    return chunked.select("chunk", "words", "tokens", "rows").mapInArrow(ask, ASKED_WORDS)
+    return chunked.select("chunk", "words", "tokens", "rows").mapInArrow(tidied(ask), ASKED_WORDS)
 
 
 def answer_words(asked: DataFrame, buckets: int) -> DataFrame:
@@ -315,7 +315,7 @@ def answer_words(asked: DataFrame, buckets: int) -> DataFrame:
             ANSWERS,
         )
 
-    return asked.groupBy("bucket").applyInArrow(lambda t: pa.Table.from_batches([answer(t)]), ANSWERS)
+    return asked.groupBy("bucket").applyInArrow(lambda t: done(pa.Table.from_batches([answer(t)])), ANSWERS)
 
 
 def _stats(answers: DataFrame, width: int) -> np.ndarray:
@@ -350,7 +350,7 @@ def numbered(joined: DataFrame, buckets: int, starts: int) -> DataFrame:
                 blob = packed(np.diff(np.concatenate([head, ids[order]]), prepend=head).astype("<u8"), np.concatenate([head + np.uint64(starts), totals[order]]).astype("<u8"))
                 yield _rows({"chunk": [chunk.as_py()], "ids": [blob], "tokens": [packed(local[tokens].astype("<u4"))], "rows": [rows.as_py()], "doc_id": [doc_id.as_py()]}, NUMBERED)
 
-    return joined.select("chunk", "words", "tokens", "rows", "doc_id", "answers").mapInArrow(run, NUMBERED)
+    return joined.select("chunk", "words", "tokens", "rows", "doc_id", "answers").mapInArrow(tidied(run), NUMBERED)
 
 
 def _chunk(ids: pa.Scalar, tokens: pa.Scalar, rows: pa.Scalar) -> Chunk:
@@ -418,7 +418,7 @@ def ask_grams(joined: DataFrame, order: int, limits: list[int], most: int) -> Da
                     names = [np.diff(dealer.names[0][mine].astype(np.int64), prepend=0).astype("<i8"), *(x[mine].astype("<u8") for x in dealer.names[1:])]
                     yield _rows({"bucket": [b], "chunk": [number], "asked": [packed(*names, n.astype("<u4"), dealer.hot[mine].astype("u1"), chunk.ids[g.word[some]].astype("<u8"), g.counts[some].astype("<u4"), shorter[some].astype("<u8"))]}, ASKED_WORDS)
 
-    return joined.mapInArrow(ask, ASKED_WORDS)
+    return joined.mapInArrow(tidied(ask), ASKED_WORDS)
 
 
 def answer_grams(asked: DataFrame, order: int, weight) -> DataFrame:
@@ -473,7 +473,7 @@ def answer_grams(asked: DataFrame, order: int, weight) -> DataFrame:
         put(1, None, None, counts_of_counts(total).tobytes())
         return pa.Table.from_batches([_rows(out, ANSWERS)])
 
-    return asked.groupBy("bucket").applyInArrow(lambda t: answer(t), ANSWERS)
+    return asked.groupBy("bucket").applyInArrow(lambda t: done(answer(t)), ANSWERS)
 
 
 def spread_statistics(answers: DataFrame, name: str) -> DataFrame:
@@ -484,7 +484,7 @@ def spread_statistics(answers: DataFrame, name: str) -> DataFrame:
             values = np.array([np.frombuffer(x.as_buffer(), "<f8") for x in batch.column(1)]).reshape(-1, TOP + 1)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(values[:, i])) for i in range(TOP + 1))], ["key", *(f"s{i}" for i in range(TOP + 1))])
 
-    parts = answers.filter("kind = 2").select("key", "answer").mapInArrow(read, "key binary, " + ", ".join(f"s{i} double" for i in range(TOP + 1)))
+    parts = answers.filter("kind = 2").select("key", "answer").mapInArrow(tidied(read), "key binary, " + ", ".join(f"s{i} double" for i in range(TOP + 1)))
     sums = parts.groupBy("key").agg(F.array(*[F.sum(f"s{i}") for i in range(TOP + 1)]).alias("s"))
     wishes = answers.filter("kind = 3").select("chunk", "key").distinct()
     return wishes.join(sums, "key").groupBy("chunk").agg(F.collect_list(F.struct("key", "s")).alias(name))
@@ -559,7 +559,7 @@ def score_chunks(joined: DataFrame, order: int, limits: list[int], most: int, un
             for i in range(batch.num_rows):
                 yield one([batch.column(c)[i] for c in range(batch.num_columns)])
 
-    return joined.mapInArrow(score, SCORES)
+    return joined.mapInArrow(tidied(score), SCORES)
 
 
 def scores(docs: DataFrame, order: int = ORDER, chunk_bytes: int = CHUNK_BYTES, task_entries: int = TASK_ENTRIES) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from llm.common import crc_of_id, table
+from llm.common import crc_of_id, table, tidied
 from llm.textcodes import byte_chunks
 
 DIMENSIONS = 4096
@@ -186,7 +186,7 @@ def fit(training: DataFrame, per_language: int = PER_LANGUAGE, floors: bool = Fa
         texts = [data[a : min(b, a + BEGINNINGS[-1])].tobytes() for a, b in zip(offsets, offsets[1:])] if floors else []
         return [[t[:n] for n in BEGINNINGS if n < len(t)] for t in texts] or [[] for _ in offsets[1:]]
 
-    rows = sample.select("text", "lang").mapInArrow(features, "lang string, at binary, n binary, cut array<binary>").toArrow()
+    rows = sample.select("text", "lang").mapInArrow(tidied(features), "lang string, at binary, n binary, cut array<binary>").toArrow()
     langs = np.array(rows["lang"].to_pylist(), object)
     languages = sorted(set(langs))
     if not languages:
@@ -235,7 +235,7 @@ def annotate(docs: DataFrame, model: Model | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lang_pred", "score"])
 
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return docs.mapInArrow(classify, schema)
+    return docs.mapInArrow(tidied(classify), schema)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from llm.common import table
 
-#: Lines without meaning for a licence's identity.
-COPYRIGHT = r"(?m)^[ \t#*/;]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: Lines without meaning for a licence's identity: a copyright line has a sign, a year, a placeholder or a "by" next.
+COPYRIGHT = r"(?m)^[ \t#*/;]*(?:(?:portions )?copyright:?[ \t]*(?:\(c\)|©|[0-9]{4}|[<\[{]|by\b)|(?:\(c\)|©)[ \t]*(?:copyright|[0-9]{4}|[<\[{])|all rights reserved)[^\n]*$"
 #: Spellings that count as one, after lower-casing.
 EQUIVALENTS = [
     (r"licen[cs](e|ed|es|ing|ee|or)\b", "licens", True),
@@ -136,12 +136,18 @@ def passages() -> list[tuple[str, str]]:
     return rows
 
 
-def whole() -> list[tuple[str, str]]:
-    """(licence, text) of every whole text: the terms and all that follows, alone, under its titles and as its file has it."""
-    rows = passages()
+def bare() -> list[tuple[str, str]]:
+    """(licence, text) of every whole text with what follows its terms, alone and as its file has it."""
+    rows = []
     for licence, (begin, _) in TERMS.items():
         text = (FILES / f"{licence}.txt").read_text()
         rows += [(licence, t) for part in (text[text.index(begin) :], text) for t in _spelt(part)]
+    return rows
+
+
+def whole() -> list[tuple[str, str]]:
+    """(licence, text) of every whole text: the terms, and all that follows, alone and under its titles."""
+    rows = passages() + bare()
     titles = {licence: [f"{the}{n}{short}" for n in NAMES[licence] for the in ("", "The ") for short in ("", f" ({licence})")] for licence in dict(rows)}
     return rows + [(licence, f"{title}\n\n{text}") for licence, text in rows for title in titles[licence]]
 
@@ -228,22 +234,30 @@ def oracle() -> str:
         norm = f"regexp_replace({norm}, {text(pattern)}, {text(other + (chr(92) + '1' if group else ''))}, 'g')"
     norm = f"regexp_replace({norm}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
     norm = f"regexp_replace(regexp_replace({norm}, ' ?\\n ?', chr(10), 'g'), '^[ \\n]+|[ \\n]+$', '', 'g')"
-    dig = lambda x: f"sha256(trim(regexp_replace({x}, '[ \\n]+', ' ', 'g')))"
+    flat_ = lambda x: f"trim(regexp_replace({x}, '[ \\n]+', ' ', 'g'))"
     values = lambda rows: "VALUES " + ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows)
     forms = [f.replace("{subject}", "' || s || '").replace("{verb}", "' || CASE WHEN s = '' THEN v ELSE lower(v) END || '").replace("{name}", "' || n || '") for f in FORMS]
     made = " UNION ALL ".join(f"SELECT id, '{f}' AS text FROM names, subjects, verbs" for f in forms)
+    # Titles are put before the texts here as whole() does.
     return f"""
 WITH names(id, n) AS ({values([(i, n) for i, ns in NAMES.items() for n in ns])}),
 subjects(s) AS ({values([(s,) for s in SUBJECTS])}),
 verbs(v) AS ({values([(v,) for v in VERBS])}),
-full_texts(id, text) AS ({values(TEXTS.items())}),
-known AS (SELECT id, text FROM full_texts UNION ALL SELECT DISTINCT id, 'SPDX-License-Identifier: ' || id FROM names UNION ALL {made}),
-licences AS (SELECT {dig('text')} AS digest, min(id) AS license_id FROM (SELECT id, {norm} AS text FROM known) GROUP BY 1),
+terms(id, text) AS ({values(dict.fromkeys(passages()))}),
+bare(id, text) AS (SELECT * FROM terms UNION ALL {values(dict.fromkeys(bare()))}),
+titles AS (SELECT id, p || n || q AS title FROM names, (VALUES (''), ('The ')) a(p), (SELECT id AS i, q FROM (SELECT DISTINCT id FROM names), LATERAL (VALUES (''), (' (' || id || ')')) b(q)) WHERE i = id),
+known AS (SELECT id, text FROM bare UNION ALL SELECT id, title || chr(10) || chr(10) || text FROM bare JOIN titles USING (id)
+  UNION ALL SELECT DISTINCT id, 'SPDX-License-Identifier: ' || id FROM names UNION ALL {made}),
+licences AS (SELECT sha256({flat_('text')}) AS digest, min(id) AS license_id FROM (SELECT id, {norm} AS text FROM known) GROUP BY 1),
 texts AS (SELECT doc_id, {norm} AS text FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+passages AS (SELECT DISTINCT {flat_('text')} AS p FROM (SELECT {norm} AS text FROM terms)),
+near AS (SELECT doc_id, regexp_split_to_array(text, '\\n+') AS l, p FROM texts JOIN passages ON contains({flat_('text')}, p)),
+starts AS (SELECT doc_id, p, i, array_to_string(l[i:], ' ') AS rest FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM near)),
 units AS (
-  SELECT doc_id, 'document' AS scope, text AS unit FROM texts
-  UNION ALL SELECT doc_id, 'paragraph', unnest(regexp_split_to_array(text, '\\n\\n+')) FROM texts
-  UNION ALL SELECT doc_id, 'line', unnest(regexp_split_to_array(text, '\\n+')) FROM texts)
+  SELECT doc_id, 'document' AS scope, {flat_('text')} AS unit FROM texts
+  UNION ALL SELECT doc_id, 'paragraph', {flat_('unit')} FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\\n\\n+')) AS unit FROM texts)
+  UNION ALL SELECT doc_id, 'line', {flat_('unit')} FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\\n+')) AS unit FROM texts)
+  UNION ALL SELECT doc_id, 'passage', p FROM starts WHERE starts_with(rest, p) AND substr(rest, length(p) + 1, 1) IN ('', ' ') AND (i > 1 OR length(rest) > length(p)))
 SELECT doc_id, license_id, scope, count(*) AS n_units
-FROM (SELECT doc_id, scope, {dig('unit')} AS digest FROM units) JOIN licences USING (digest)
+FROM (SELECT doc_id, scope, sha256(unit) AS digest FROM units) JOIN licences USING (digest)
 GROUP BY ALL"""

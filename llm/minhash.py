@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from llm.common import Scratch, table
+from llm.common import Scratch, done, table, tidied
 from llm.components import components
 from llm.textcodes import BASE, byte_chunks, mix, shingles, signed, word_codes
 
@@ -100,7 +100,7 @@ def signatures(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
                     ["doc_id", "n_shingles", "d1", "d2", "bands"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id is not null").mapInArrow(sign, SIGNED)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id is not null").mapInArrow(tidied(sign), SIGNED)
 
 
 def _linked(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -189,7 +189,7 @@ def _compare(docs: DataFrame, assigned: DataFrame, k: int, percent: int, links:
         return pa.table({"node": pa.array(u, pa.int64()), "root": pa.array(v, pa.int64())})
 
     rows = docs.join(assigned, "doc_id").select("task", "part", "side", "doc_id", "text")
-    return rows.groupBy("task").applyInArrow(lambda t: link(t), "node long, root long")
+    return rows.groupBy("task").applyInArrow(lambda t: done(link(t)), "node long, root long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, task_shingles: int = TASK_SHINGLES, task_docs: int = TASK_DOCS) -> DataFrame:

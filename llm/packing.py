@@ -22,13 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import Scratch, table
+from llm.common import Scratch, table, tidied
 from llm.textcodes import byte_chunks, lower, prefix, spans_code, words
 
 SEQUENCE_LENGTH = 2048
 END_ID = 1
 #: Encodings of so many different words are kept by a worker before it starts anew.
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 500_000
 #: Bytes of text, or of ids, that are worked on at once; a longer text is worked on alone.
 TEXT_BYTES = 4 << 20
 
@@ -239,7 +239,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Dat
                 )
                 at += len(ids)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(encode, STORED)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidied(encode), STORED)
 
 
 def cut(stored: DataFrame, offsets: np.ndarray, length: int = SEQUENCE_LENGTH) -> DataFrame:
@@ -268,7 +268,7 @@ def cut(stored: DataFrame, offsets: np.ndarray, length: int = SEQUENCE_LENGTH) -
                     ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
                 )
 
-    return stored.mapInArrow(pieces, PIECES)
+    return stored.mapInArrow(tidied(pieces), PIECES)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, length: int = SEQUENCE_LENGTH, end_id: int = END_ID) -> DataFrame:

@@ -34,13 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from llm.common import Scratch, table
+from llm.common import Scratch, done, table, tidied
 from llm.textcodes import byte_chunks, mix, prefix, signed, spans_code
 
 LENGTH = 400
 GRAM = 64
 #: Bytes of segments that one task sorts, and the most classes of one anchor that it takes.
-TASK_BYTES, MOST = 2_000_000, 512
+TASK_BYTES, MOST = 1_000_000, 512
+#: Bytes of texts whose segments are found at once; a longer text is taken alone.
+CHUNK = 1 << 19
 #: Neighbouring strings that are counted together at anchors with more classes.
 BLOCK = 12
 
@@ -146,7 +148,7 @@ def suffix_array(text: np.ndarray, depth: int, ranks: Ranks | None = None) -> np
             break
         places = order[open_]
         key = ranks.at(64, places + step)
-        by = np.lexsort((key, group[open_]))
+        by = np.argsort((group[open_].astype(np.uint64) << np.uint64(32)) | key)
         places, key, mine = places[by], key[by], group[open_][by]
         order[open_] = places
         new = np.ones(len(open_), bool)
@@ -239,7 +241,7 @@ def runs(marked: np.ndarray) -> list[int]:
 def find_segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, data, offsets in byte_chunks(batch.column(2)):
+            for low, data, offsets in byte_chunks(batch.column(2), CHUNK):
                 row, s0, n, code = segments(data, offsets, length, gram)
                 view = memoryview(data)
                 digest = b"".join([hashlib.blake2b(view[a : a + m - 1 + length], digest_size=16).digest() for a, m in zip(s0.tolist(), n.tolist())])
@@ -250,7 +252,7 @@ def find_segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     ["doc_id", "t", "h", "d1", "d2", "s0", "n"],
                 )
 
-    return docs.mapInArrow(find, SEGMENTS)
+    return docs.mapInArrow(tidied(find), SEGMENTS)
 
 
 def _cut_texts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -302,12 +304,12 @@ def _count_strings(edges: DataFrame, scratch: Scratch, length: int, gram: int) -
             columns = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.binary(), pa.int64(), pa.int32(), pa.binary()])], ["whole", "weight", "i", "digest"])
 
-    each = scratch.put(edges.mapInArrow(blocks, "h long, d1 long, d2 long, copies long, b long, core binary, whole binary, i int, m int, bytes binary"), "blocks")
+    each = scratch.put(edges.mapInArrow(tidied(blocks), "h long, d1 long, d2 long, copies long, b long, core binary, whole binary, i int, m int, bytes binary"), "blocks")
     wholes = each.groupBy("h", "b", "core", "whole").agg(F.sum("copies").alias("weight"), F.first("m").alias("m"), F.first("bytes").alias("bytes"))
     wholes = scratch.put(wholes, "wholes")
     cores = wholes.groupBy("h", "b", "core").agg(F.sum("weight").alias("total"), F.count("*").alias("wholes")).filter("total > 1")
     wholes = wholes.join(cores, ["h", "b", "core"])
-    single = scratch.put(wholes.filter("wholes > 1").select("whole", "weight", "m", "bytes").mapInArrow(strings, "whole binary, weight long, i int, digest binary"), "strings")
+    single = scratch.put(wholes.filter("wholes > 1").select("whole", "weight", "m", "bytes").mapInArrow(tidied(strings), "whole binary, weight long, i int, digest binary"), "strings")
     twice = single.groupBy("digest").agg(F.sum("weight").alias("total")).filter("total > 1").select("digest")
     some = single.filter("weight = 1").join(twice, "digest").groupBy("whole").agg(F.flatten(F.collect_list(F.array("i", F.col("i") + 1))).alias("runs"))
     settled = wholes.filter("weight > 1").select("whole", F.array(F.lit(0), F.col("m")).alias("runs"))
@@ -339,7 +341,7 @@ def repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int =
 
     marks = "h long, d1 long, d2 long, runs array<int>"
     sortable = cut.filter(F.col("rivals") <= most).select("h", "d1", "d2", "copies", "n", "segment", F.pmod(F.xxhash64("h"), F.lit(tasks)).alias("task"))
-    sorted_ = sortable.groupBy("task").applyInArrow(lambda t: sort(t), marks)
+    sorted_ = sortable.groupBy("task").applyInArrow(lambda t: done(sort(t)), marks)
 
     edges = cut.filter(F.col("rivals") > most)
     counted = None if edges.isEmpty() else _count_strings(edges, scratch, length, gram)
@@ -389,7 +391,7 @@ def removed(docs: DataFrame, length: int = LENGTH, with_text: bool = False, carr
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     fields = StructType.fromDDL(schema).fields + [rows.schema["more"]] * bool(carry)
     wanted = ["doc_id", "text", "runs"] + ["more"] * bool(carry)
-    out = rows.join(found, ["doc_id", "t"], "left").select(*wanted).mapInArrow(cut, StructType(fields))
+    out = rows.join(found, ["doc_id", "t"], "left").select(*wanted).mapInArrow(tidied(cut), StructType(fields))
     return out.select(*[f.name for f in fields if f.name != "more"], "more.*") if carry else out
 
 

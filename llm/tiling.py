@@ -8,9 +8,11 @@ shorter ones down to ``least`` words.  Tiles need not be in order, so a reordere
 counts in full.  An item whose share of marked words reaches ``coverage`` is contained.
 
 Items are read in blocks of bounded size, each sent whole to all tasks; the documents
-pass once for each block, so the benchmark may be of any size and is never cut.
+pass once for each block, so the benchmark may be of any size and is never cut.  Where
+there is more than one block, each is written before the next one is read.
 
-Items shorter than ``least`` words cannot be found.  Null texts are empty.  Rows with a
+An item of fewer than ``least`` words is found where all of it occurs, word after word;
+one without words never is.  Null texts are empty.  Rows with a
 null id are left out on both sides.  Rows that repeat an id are tested on their own and
 can give a row each.  Empty tables give no rows.  Other columns are ignored.
 """
@@ -26,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import table
+from llm.common import Scratch, table, tidied
 from llm.textcodes import BASE, byte_chunks, lower, mix, prefix, spans_code
 
 LEAST = 5
 COVERAGE = 0.5
 #: Words of items that are sent to the tasks at once.
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 2_000_000
 
 _SOLID = np.zeros(256, bool)
 _SOLID[48:58] = _SOLID[65:91] = _SOLID[97:123] = _SOLID[128:] = True
@@ -129,8 +131,13 @@ def contained(docs: DataFrame, items: DataFrame, least: int = LEAST, coverage: f
     items = items.filter("item_id is not null and text is not null").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     words = items.agg(F.sum(F.size(F.split("text", r"[^\p{L}\p{N}]+")))).first()[0] or 0
     blocks = max(1, math.ceil(words / block_words))
-    parts = [_contained(docs, items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id").toArrow(), least, coverage) for b in range(blocks)] if words else []
-    return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], RESULT)
+    if not words:
+        return spark.createDataFrame([], RESULT)
+    scratch, parts = Scratch(spark, "tiling"), []
+    for b in range(blocks):
+        part = _contained(docs, items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id").toArrow(), least, coverage)
+        parts.append(scratch.put(part, f"block-{b}") if blocks > 1 else part)
+    return reduce(DataFrame.unionAll, parts)
 
 
 def _contained(docs: DataFrame, block: pa.Table, least: int, coverage: float) -> DataFrame:
@@ -138,38 +145,46 @@ def _contained(docs: DataFrame, block: pa.Table, least: int, coverage: float) ->
     for _, data, offsets in byte_chunks(block["text"]):
         codes, _, at = tokens(data, offsets)
         sequences += [codes[at[i] : at[i + 1]] for i in range(len(at) - 1)]
-    seeds = [grams(s, least) for s in sequences]
+    # An item of a few words has one seed, itself; seeds of different lengths never have one code.
+    seeds = [grams(s, min(least, len(s))) if len(s) else np.zeros(0, np.uint64) for s in sequences]
+    lengths = sorted({min(least, len(s)) for s in sequences if len(s)})
     seed = np.concatenate([*seeds, np.zeros(0, np.uint64)])
     owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
     place = np.concatenate([*(np.arange(len(s)) for s in seeds), np.zeros(0, np.int64)]).astype(np.int64)
     order = np.argsort(seed, kind="stable")
-    seed, owner, place = seed[order], owner[order], place[order]
+    # One copy for each executor, of a bounded block.
+    sent = docs.sparkSession.sparkContext.broadcast((seed[order], owner[order], place[order], sequences, ids))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seed, owner, place, sequences, ids = sent.value
         for batch in batches:
             doc_ids = batch.column(0)
             rows: list[tuple] = []
             for low, data, offsets in byte_chunks(batch.column(1)):
                 codes, start, at = tokens(data, offsets)
-                gram = grams(codes, least)
-                where = np.searchsorted(seed, gram)
-                hit = np.flatnonzero((where < len(seed)) & (seed[np.minimum(where, max(len(seed) - 1, 0))] == gram)) if len(seed) else where[:0]
-                row = np.searchsorted(at, hit, "right") - 1
-                whole = hit + least <= at[row + 1] if len(hit) else hit.astype(bool)
-                hit, row = hit[whole], row[whole]
+                hits = []
+                for k in lengths:
+                    gram = grams(codes, k)
+                    where = np.searchsorted(seed, gram)
+                    hit = np.flatnonzero((where < len(seed)) & (seed[np.minimum(where, max(len(seed) - 1, 0))] == gram)) if len(seed) else where[:0]
+                    row = np.searchsorted(at, hit, "right") - 1
+                    whole = hit + k <= at[row + 1] if len(hit) else hit.astype(bool)
+                    hits.append((gram[hit[whole]], row[whole]))
+                found, row = (np.concatenate(x) for x in zip(*hits)) if hits else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
                 for r in np.unique(row):
                     text = codes[at[r] : at[r + 1]]
-                    mine = np.unique(gram[hit[row == r]])
+                    mine = np.unique(found[row == r])
                     a, b = np.searchsorted(seed, mine, "left"), np.searchsorted(seed, mine, "right")
                     at_seed = np.concatenate([np.arange(x, y) for x, y in zip(a, b)])
                     for k in np.unique(owner[at_seed]):
                         item = sequences[k]
+                        shortest = min(least, len(item))
                         reach = np.zeros(len(item), bool)
                         for p in place[at_seed[owner[at_seed] == k]]:
-                            reach[p : p + least] = True
+                            reach[p : p + shortest] = True
                         if reach.sum() < coverage * len(item):
                             continue  # tiles lie within the shared seeds
-                        tiles = sorted(tile(item, text, least), key=lambda x: x[1])
+                        tiles = sorted(tile(item, text, shortest), key=lambda x: x[1])
                         n = sum(x[2] for x in tiles)
                         if n >= coverage * len(item):
                             byte = start[at[r] : at[r + 1]] - offsets[r]
@@ -179,7 +194,7 @@ def _contained(docs: DataFrame, block: pa.Table, least: int, coverage: float) ->
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "item_id", "n_matched", "n_words", "coverage", "n_tiles", "starts", "ends"])
 
-    return docs.mapInArrow(find, RESULT)
+    return docs.mapInArrow(tidied(find), RESULT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,17 +26,19 @@ result.  Other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html as html_module
 import pickle
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import Scratch, table
+from llm.common import Scratch, done, table, tidied
 
 DEPTH = 60
 #: Texts of a node from which rare ones are let go, and the most nodes of a template.
@@ -52,22 +54,36 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that never hold article text.
-NEVER = frozenset("script style noscript template iframe object svg math canvas audio video head title nav footer aside form button select textarea input label datalist dialog menu search map".split())
+NEVER = frozenset("script style noscript template iframe object svg math canvas audio video head title nav footer aside form button select textarea input datalist dialog menu search map".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Words of class, id and role that mark what is not the article.
 OUTSIDE = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup sidebar side rail menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments disqus respond reply replies share sharing social related recommended recommendations widget widgets login search pagination pager skip toolbar contentinfo complementary tags byline".split()
 )
+#: Of these, what is not the article inside an article either.
+INSIDE = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup nav navbar breadcrumb breadcrumbs comment comments disqus respond replies share sharing social pagination pager toolbar".split())
+#: What may stand beside such a word in a compound one without changing what it says.
+BESIDE = frozenset("site page main left right top bottom inner outer box block bar area section wrap wrapper container list item items link links slot unit group panel module content primary secondary global local fixed sticky mobile desktop".split())
 HEADER = frozenset(("header", "topbar", "banner"))
 CLOSES_P = BLOCKS - {"html", "body", "li", "dt", "dd", "tr", "td", "th", "thead", "tbody", "tfoot", "caption", "figcaption", "summary"} | {"li", "dt", "dd"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
 
 
+def says_outside(names: list[str], inside: bool) -> bool:
+    """Whether class, id or role names mark what is not the article: such a word alone, or in a compound with neutral ones."""
+    marks = INSIDE if inside else OUTSIDE
+    for name in names:
+        words = WORD.findall(name)
+        if words and any(w in marks for w in words) and all(w in OUTSIDE or w in BESIDE for w in words):
+            return True
+    return False
+
+
 class Node:
     """An element that makes a block, or (tag ``#``) a run of text inside one."""
 
@@ -84,6 +100,7 @@ def parse(page: str) -> Node:
     root = Node("html", "html")
     stack: list[tuple[str, Node]] = [("html", root)]  # open elements, inline ones too
     text: list[str] = []
+    opened: Counter[str] = Counter()  # how many of each are in the stack
     linked, in_link, hidden, at = 0, 0, 0, 0
 
     def flush() -> None:
@@ -103,12 +120,15 @@ def parse(page: str) -> Node:
         if tag in BLOCKS:
             flush()
         stack.pop()
+        opened[tag.lstrip("!")] -= 1
         if tag == "a":
             in_link -= 1
         if tag.startswith("!"):
             hidden -= 1
 
     def close(tags: set[str] | frozenset[str], stops: set[str]) -> None:
+        if not any(opened[t] for t in tags):
+            return
         for i in range(len(stack) - 1, 0, -1):
             name = stack[i][0].lstrip("!")
             if name in tags:
@@ -118,8 +138,8 @@ def parse(page: str) -> Node:
             if name in stops:
                 return
 
-    skip_to = -1
-    for m in MARKUP.finditer(page):
+    skip_to, last = -1, max(page.rfind(">"), page.rfind("<!--"), page.rfind("<![CDATA["))
+    for m in MARKUP.finditer(page, 0, last + 1 if page.rfind(">") == last else len(page)):  # what follows the last sign is text
         if m.start() < skip_to:
             continue
         if m.start() > at and not hidden:
@@ -135,7 +155,7 @@ def parse(page: str) -> Node:
         if m.group(1) or m.group(4):
             if tag == "br":
                 text.append(" ")
-            elif tag == "p" and not any(t == "p" for t, _ in stack):
+            elif tag == "p" and not opened["p"]:
                 flush()
             elif tag not in ("html", "body"):
                 close({tag}, set())
@@ -161,13 +181,15 @@ def parse(page: str) -> Node:
             close(SIBLINGS[tag], STOPS[tag])
         if attributes.rstrip().endswith("/") and tag in NEVER:
             continue
-        words: list[str] = []
+        names: list[str] = []
         if attributes:
             for a in NAMES.finditer(attributes):
-                words += WORD.findall((a.group(2) or a.group(3) or a.group(4) or "").lower())
-        outside = tag in NEVER or any(w in OUTSIDE for w in words) and not (tag in ("main", "article") and not {"comment", "comments", "ad", "related"} & set(words))
-        if not outside and (tag == "header" or HEADER & set(words)):
-            outside = not any(t in ("article", "main") for t, _ in stack)
+                names += (a.group(2) or a.group(3) or a.group(4) or "").lower().split()
+        words = [w for n in names for w in WORD.findall(n)]
+        inside = bool(opened["article"] or opened["main"])
+        outside = tag in NEVER or says_outside(names, inside or tag in ("main", "article"))
+        if not outside and not inside and (tag == "header" or HEADER & set(words)):
+            outside = True
         if tag in BLOCKS or outside and tag in NEVER:
             flush()
             node = Node(tag + ("." + ".".join(sorted(set(words))) if words else ""), tag, outside)
@@ -182,6 +204,7 @@ def parse(page: str) -> Node:
         if outside:
             hidden += 1
         stack.append(("!" + tag if outside else tag, node))
+        opened[tag] += 1
     if at < len(page) and not hidden:
         text.append(page[at:])
     while len(stack) > 1:
@@ -212,8 +235,8 @@ def _slot(label, tag, outside, pages, items, texts, varied, linked, lost) -> Slo
 
 
 def _key(text: str) -> str:
-    """What is remembered of a text: enough of it to tell texts apart."""
-    return text if len(text) <= 80 else f"{text[:40]}\0{text[-32:]}\0{len(text)}"
+    """What is remembered of a text: itself, or the digest of a long one."""
+    return text if len(text) <= 80 else "\0" + hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
 def groups(nodes: list[Node]) -> list[tuple[Node, list[Node]]]:
@@ -376,7 +399,8 @@ def align(runs: list[tuple[Node, list[Node]]], slots: list[Slot]) -> dict[int, S
     shells = []
     for first, run in runs:
         s = Slot(first.label, first.tag, first.outside)
-        s.items = [Slot(n.label, n.tag, n.outside) for m in run[:3] for n in m.items]
+        for m in run:  # children of all members, as a template of this page has them
+            s.items = merge_lists(s.items, [Slot(n.label, n.tag, n.outside) for n, _ in groups(m.items)], same_page=True)
         shells.append(s)
     return {y: slots[x] for x, y in matching(slots, shells)[1]}
 
@@ -430,11 +454,18 @@ def extract(page: str, template: Template | None) -> str:
     return "\n".join(varying)
 
 
+HOST = r"\A[ \t\r\n\f]*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
+
+
 def host(url: str | None) -> str:
-    m = re.match(r"\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "")
+    m = re.match(HOST, url or "")
     return m.group(1).lower() if m else ""
 
 
+def host_column(url: str) -> Column:
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1))
+
+
 PART = "host string, part long, template binary"
 
 
@@ -458,11 +489,11 @@ def templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
             out = t if out is None else out.add(t)
         return pa.table({"host": group["host"][:1], "part": pa.array([group["part"][0].as_py() // GROUP], pa.int64()), "template": pa.array([pickle.dumps(out)], pa.binary())})
 
-    found = scratch.put(pages.select("url", "html").mapInArrow(learn, PART), "templates-0")
+    found = scratch.put(pages.select("url", "html").mapInArrow(tidied(learn), PART), "templates-0")
     most, level = found.agg(F.max("part")).first()[0] or 0, 0
     while True:
         level += 1
-        merged = found.groupBy("host", F.floor(F.col("part") / GROUP).alias("g")).applyInArrow(lambda t: join(t), PART)
+        merged = found.groupBy("host", F.floor(F.col("part") / GROUP).alias("g")).applyInArrow(lambda t: done(join(t)), PART)
         found, most = scratch.put(merged, f"templates-{level}"), most // GROUP
         if most == 0:
             return found.select("host", "template")
@@ -475,7 +506,7 @@ def recounted(pages: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame
         for batch in batches:
             yield batch.filter(pa.array([bool(pickle.loads(t.as_buffer()).open_texts()) for t in batch.column(1)], pa.bool_()))
 
-    left = scratch.put(found.mapInArrow(unsure, "host string, template binary"), "unsure")
+    left = scratch.put(found.mapInArrow(tidied(unsure), "host string, template binary"), "unsure")
     if left.isEmpty():
         return found
 
@@ -493,8 +524,8 @@ def recounted(pages: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame
 
     # Templates, not pages, travel where they are few enough.
     few = (left.agg(F.sum(F.length("template"))).first()[0] or 0) <= SENT_BYTES
-    named = pages.select(F.udf(host, "string")("url").alias("host"), "html").join(F.broadcast(left) if few else left, "host")
-    seen = named.select("host", "html", "template").mapInArrow(count, "host string, slot long, text string, n long").groupBy("host", "slot", "text").agg(F.sum("n").alias("n"))
+    named = pages.select(host_column("url").alias("host"), "html").join(F.broadcast(left) if few else left, "host")
+    seen = named.select("host", "html", "template").mapInArrow(tidied(count), "host string, slot long, text string, n long").groupBy("host", "slot", "text").agg(F.sum("n").alias("n"))
     counts = seen.groupBy("host").agg(F.collect_list(F.struct("slot", "text", "n")).alias("counts"))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -509,7 +540,7 @@ def recounted(pages: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame
                 out.append(pickle.dumps(t))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["host", "template"])
 
-    return scratch.put(found.join(counts, "host", "left").select("host", "template", "counts").mapInArrow(put, "host string, template binary"), "recounted")
+    return scratch.put(found.join(counts, "host", "left").select("host", "template", "counts").mapInArrow(tidied(put), "host string, template binary"), "recounted")
 
 
 RESULT = "page_id long, url string, text string, n_chars long"
@@ -534,9 +565,9 @@ def extracted(pages: DataFrame) -> DataFrame:
                 hosts = [host(u.as_py()) for u in batch.column(1)]
                 yield rows(batch, lambda i: known.get(hosts[i]))  # noqa: B023
 
-        return pages.mapInArrow(apply, RESULT)
+        return pages.mapInArrow(tidied(apply), RESULT)
 
-    name = F.udf(host, "string")("url")
+    name = host_column("url")
 
     def apply_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, template = None, None
@@ -550,7 +581,7 @@ def extracted(pages: DataFrame) -> DataFrame:
 
             yield rows(batch, of)
 
-    return pages.withColumn("host", name).join(found, "host").select("page_id", "url", "html", "template").mapInArrow(apply_joined, RESULT)
+    return pages.withColumn("host", name).join(found, "host").select("page_id", "url", "html", "template").mapInArrow(tidied(apply_joined), RESULT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
