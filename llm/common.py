@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import gc
 import tempfile
@@ -86,6 +87,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         ship(spark)
         self.spark, self.root = spark, f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        atexit.register(self.remove)
 
     def put(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
         """Write ``df`` and read it back; what it shuffled is removed once it is written."""
@@ -104,6 +106,13 @@ class Scratch:
         path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def remove(self) -> None:
+        """All of it, when the program ends: results may be read until then."""
+        try:
+            self.drop("")
+        except Exception:  # the session's machinery may be gone already
+            pass
+
     def tidy(self) -> None:
         """Let Spark's cleaner remove shuffle files of finished steps."""
         gc.collect()
