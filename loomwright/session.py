@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -42,9 +43,18 @@ def settled(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     path, schema = f"{shared_folder(spark)}/core/{name}-{uuid.uuid4().hex}", df.schema
     df.write.parquet(path)
+    atexit.register(_remove, spark, path)  # results may be read until the program ends
     return spark.read.schema(schema).parquet(path)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        where, files = file_at(spark, path)
+        files.delete(where, True)
+    except Exception:  # the session's machinery may be gone already
+        pass
+
+
 def file_at(spark: SparkSession, path: str):
     """(path, file system) by which Spark reaches it."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
