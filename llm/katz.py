@@ -44,9 +44,9 @@ from llm.textcodes import byte_chunks, mix, word_codes
 ORDER = 3
 #: Discounted counts are 1 to TOP.
 TOP = 5
-CHUNK_BYTES = 5 << 20
+CHUNK_BYTES = 4 << 20
 #: Entries (word or n-gram of a chunk) that one task answers, about.
-TASK_ENTRIES = 700_000
+TASK_ENTRIES = 500_000
 #: A context with so many times fewer tokens than that is not spread.
 SPREAD = 4
 ADD = 0.1
