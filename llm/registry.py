@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from llm import ann, katz, langid, licences, minhash, packing, suffixes, tiling, tokencounts, wrappers
+from llm import ann, automata, collocations, katz, langid, licences, minhash, packing, suffixes, tandem, tiling, tokencounts, wrappers
 
 QUERIES = {
     "op1_licences": licences.query,
@@ -15,9 +15,13 @@ QUERIES = {
     "op7_minhash": minhash.query,
     "op9_token_counts": tokencounts.query,
     "op10_pack": packing.query,
+    "op11_collocations": collocations.query,
+    "op12_bpe": automata.query,
+    "op13_runs": tandem.query,
 }
 
 ORACLES: dict[str, str] = {
     "op1_licences": licences.oracle(),
     "op9_token_counts": tokencounts.ORACLE,
+    "op11_collocations": collocations.oracle(),
 }
