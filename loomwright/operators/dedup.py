@@ -36,7 +36,7 @@ def bands_of(code: Column, radius: int, bits: int = 64) -> list[Column]:
     return out
 
 
-def hamming_pairs(df: DataFrame, key: str, code: str, radius: int, carry: Sequence[str] = (), hot: int = 2_000) -> DataFrame:
+def hamming_pairs(df: DataFrame, key: str, code: str, radius: int, carry: Sequence[str] = (), hot: int = 2_000, new: str | None = None) -> DataFrame:
     """Pairs (left_*, right_*) of rows with left key < right key and codes within ``radius``.
 
     Rows meet on shared bands; of several shared bands only the first reports a pair, so no
@@ -45,39 +45,53 @@ def hamming_pairs(df: DataFrame, key: str, code: str, radius: int, carry: Sequen
     both.  Rows of one code should be made one row first.
     """
     n = radius + 1
-    rows = df.filter(F.col(code).isNotNull()).select(key, code, *carry)
+    kept = list(dict.fromkeys([*carry, *([new] if new else [])]))
+    rows = df.filter(F.col(code).isNotNull()).select(key, code, *kept)
     # Bound by a lambda, so that the code is not worked out again for each band.
     pieces = F.element_at(F.transform(F.array(F.col(code)), lambda c: F.array(*bands_of(c, radius))), 1)
-    spread = rows.select("*", F.posexplode(pieces).alias("_band", "_piece"))
-    crowded = spread.groupBy("_band", "_piece").count().filter(F.col("count") > hot).select("_band", "_piece", F.lit(True).alias("_hot"))
-    spread = spread.join(crowded, ["_band", "_piece"], "left")
-    # The other bands, cut into as many pieces: one of them is shared, or the radius is exceeded.
-    seconds = F.when(F.col("_hot"), F.array(*[F.struct(F.lit(i).alias("_second"), _outside(F.col(code), F.col("_band"), radius, i).alias("_other")) for i in range(n)])).otherwise(F.array(F.struct(F.lit(-1).alias("_second"), F.lit(0).cast("long").alias("_other"))))
-    spread = spread.select(key, code, *carry, "_band", "_piece", F.explode(seconds).alias("_s")).select(key, code, *carry, "_band", "_piece", "_s.*")
-    place = ["_band", "_piece", "_second", "_other"]
-    left, right = (spread.select(*place, *[F.col(c).alias(f"{side}_{c}") for c in (key, code, *carry)]) for side in ("left", "right"))
-    pairs = left.join(right, place).filter(F.col(f"left_{key}") < F.col(f"right_{key}"))
-    a, b = bands_of(F.col(f"left_{code}"), radius), bands_of(F.col(f"right_{code}"), radius)
-    shared = F.coalesce(*[F.when(x == y, F.lit(i)) for i, (x, y) in enumerate(zip(a, b))])
-    again = F.coalesce(*[F.when(_outside(F.col(f"left_{code}"), F.col("_band"), radius, i) == _outside(F.col(f"right_{code}"), F.col("_band"), radius, i), F.lit(i)) for i in range(n)])
-    distance = hamming(F.col(f"left_{code}"), F.col(f"right_{code}"))
-    first = (F.col("_band") == shared) & ((F.col("_second") < 0) | (F.col("_second") == again))
-    return pairs.filter(first & (distance <= radius)).withColumn("distance", distance).drop(*place)
-
-
-def _outside(code: Column, band: Column, radius: int, i: int, bits: int = 64) -> Column:
-    """The i-th of radius + 1 pieces of what is outside a band of a code."""
-    n, low = radius + 1, [0]
+    # Each band once: its rows are counted for the crowded values and read again for both sides.
+    spread = settled(rows.select("*", F.posexplode(pieces).alias("_band", "_piece")), "bands")
+    crowded = spread.groupBy("_band", "_piece").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot).select("_band", "_piece", F.lit(True).alias("_hot"))
+    # A value needs `hot` rows to be crowded, so there are few of them; none is the usual case.
+    if not crowded.isEmpty():
+        spread = spread.join(crowded, ["_band", "_piece"], "left")
+        others = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(i.alias("_second"), code_and(F.col(code), _masks(radius), F.col("_band") * n + i).alias("_other")))
+        seconds = F.when(F.col("_hot"), others).otherwise(F.array(F.struct(F.lit(-1).alias("_second"), F.lit(0).cast("long").alias("_other"))))
+        spread = spread.withColumn("_s", F.explode(seconds)).select(key, code, *kept, "_band", "_piece", "_s._second", "_s._other")
+        place = ["_band", "_piece", "_second", "_other"]
+    else:
+        place = ["_band", "_piece"]
+    left, right = (spread.select(*place, *[F.col(c).alias(f"{side}_{c}") for c in (key, code, *kept)]) for side in ("left", "right"))
+    met = F.col(f"left_{key}") < F.col(f"right_{key}")
+    if new:
+        met &= F.col(f"left_{new}") | F.col(f"right_{new}")
+    differ = F.col(f"left_{code}").bitwiseXOR(F.col(f"right_{code}"))
+    pairs = left.join(right, place).filter(met).withColumn("distance", F.bit_count(differ)).filter(F.col("distance") <= radius)
+    # Few are left: of the bands, or second bands, that such a pair shares only the first reports it.
+    shared = F.array_position(F.transform(F.array(differ), lambda x: F.array(*bands_of(x, radius)))[0], F.lit(0).cast("long")) - 1
+    first = F.col("_band") == shared
+    if "_second" in place:
+        others = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: code_and(differ, _masks(radius), F.col("_band") * n + i))
+        first &= (F.col("_second") < 0) | (F.col("_second") == F.array_position(others, F.lit(0).cast("long")) - 1)
+    return pairs.filter(first).select(*[c for c in pairs.columns if c not in place and c not in (f"left_{new}", f"right_{new}")] if new and new not in carry else [c for c in pairs.columns if c not in place])
+
+
+def code_and(code: Column, masks: list[int], which: Column) -> Column:
+    """The bits of a code that one of some masks lets through."""
+    return code.bitwiseAND(F.get(F.array(*[F.lit(m).cast("long") for m in masks]), which))
+
+
+def _masks(radius: int, bits: int = 64) -> list[int]:
+    """For each band, radius + 1 pieces of what is outside of it; one of them is shared where the band is and the radius is kept."""
+    n, low, out = radius + 1, [0], []
     for k in range(n):
         low.append(low[-1] + bits // n + (k < bits % n))
-
-    def piece(skipped: int) -> Column:
+    for skipped in range(n):
         rest = [b for b in range(bits) if not low[skipped] <= b < low[skipped + 1]]
-        mine = rest[i * len(rest) // n : (i + 1) * len(rest) // n]
-        mask = sum(1 << b for b in mine)
-        return code.bitwiseAND(F.lit(mask - 2**64 if mask >= 2**63 else mask).cast("long"))
-
-    return F.coalesce(*[F.when(band == k, piece(k)) for k in range(n)])
+        for i in range(n):
+            mask = sum(1 << b for b in rest[i * len(rest) // n : (i + 1) * len(rest) // n])
+            out.append(mask - 2**64 if mask >= 2**63 else mask)
+    return out
 
 
 def near_pages(pages: DataFrame) -> DataFrame:

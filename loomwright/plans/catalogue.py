@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomwright.functions import latex, markers, scalars
 from loomwright.operators import dedup, folds, quality, relational, states
+from loomwright.operators.growing import Components, MetricIndex
 from loomwright.plans import stages, standins, texts
 from loomwright.plans.registry import ORACLES, QUERIES, query
 from loomwright.plans.standins import BITS_SQL, CODES_SQL, PAGES_SQL, POLICY_SQL, RANKED_SQL, SCORES_SQL
-from loomwright.session import table
+from loomwright.session import settled, shared_folder, table
 from loomwright.sources.tables import descending_months
 
 #: How many bits near codes may differ by.
@@ -47,6 +51,25 @@ _REACH_SQL = f"""{CODES_SQL}, e AS (SELECT a.k AS u, b.k AS v FROM codes a JOIN
 reach AS (SELECT u AS node, u AS other FROM e UNION SELECT reach.node, e.v FROM reach JOIN e ON e.u = reach.other)"""
 
 
+@query(f"WITH {CODES_SQL} SELECT a.k AS left_k, b.k AS right_k, CAST(bit_count(xor(a.code, b.code)) AS INT) AS distance FROM codes a JOIN codes b ON a.k < b.k AND bit_count(xor(a.code, b.code)) <= {RADIUS}")
+def metric_index_batches(spark, d):
+    """Codes that come in five batches, each of which meets those before it through the index."""
+    codes = settled(standins.codes(spark, d).select(F.col("k").alias("key"), "code"), "codes")
+    index = MetricIndex(spark, f"{shared_folder(spark)}/index-{uuid.uuid4().hex}", RADIUS)
+    found = [index.add(codes.filter(F.col("key") % 5 == i), i) for i in range(5)]
+    return reduce(DataFrame.unionByName, found).select(F.col("left_key").alias("left_k"), F.col("right_key").alias("right_k"), "distance")
+
+
+@query(f"WITH RECURSIVE {_REACH_SQL} SELECT node, min(other) AS component FROM reach GROUP BY node")
+def growing_components(spark, d):
+    """Links that come in five batches, each of which contracts the components so far."""
+    links = settled(hamming_band_join(spark, d), "links")
+    parts = Components(spark, f"{shared_folder(spark)}/components-{uuid.uuid4().hex}")
+    for i in range(5):
+        parts.add(links.filter((F.col("left_k") + F.col("right_k")) % 5 == i), "left_k", "right_k")
+    return parts.labels()
+
+
 @query(f"WITH RECURSIVE {_REACH_SQL} SELECT node, min(other) AS component FROM reach GROUP BY node")
 def near_dup_components(spark, d):
     return dedup.connected(hamming_band_join(spark, d), "left_k", "right_k")

@@ -20,8 +20,8 @@ from loomwright.operators import relational
 from loomwright.plans import jobs, releases, stages
 from loomwright.plans.registry import query
 from loomwright.plans.runner import Pipeline
-from loomwright.session import shared_folder, table
-from loomwright.sources import sinks, tables
+from loomwright.session import settled, shared_folder, table
+from loomwright.sources import archives, sinks, tables
 
 
 def _made(rows: DataFrame, make: Callable[[int], bytes], path: str) -> DataFrame:
@@ -93,23 +93,45 @@ def _outer(k: int) -> bytes:
 
 @query("SELECT s_suppkey, i, i < 2 AS digits FROM supplier, (SELECT unnest(range(4)) AS i)")
 def outer_archives(spark, d):
-    outer = _made(table(spark, d, "supplier").select("s_suppkey"), _outer, "a_{}").cache()
-    found, digits = tables.outer_members(outer), tables.outer_members(outer, only_digits=True).select("package", "member", F.lit(True).alias("digits"))
+    """Packages of paper archives in a folder, read as streams."""
+    folder = _folder(spark)
+    outer = _made(table(spark, d, "supplier").select("s_suppkey"), _outer, "a_{}.tar")
+    sinks.write_files(outer.withColumnRenamed("path", "name"), folder)
+    found, digits = (archives.read_packages(spark, folder, onlyDigits=only).filter("error is null") for only in (False, True))
     k = F.regexp_extract("package", "a_([0-9]+)", 1).cast("long")
     number = F.expr("try_cast(regexp_extract(member, '2401[.]([0-9]+)', 1) as bigint)")
-    rows = found.join(digits, ["package", "member"], "left").select(k.alias("s_suppkey"), F.coalesce(number - 3 * k, F.lit(3)).alias("i"), F.coalesce("digits", F.lit(False)).alias("digits"))
-    return rows
+    rows = found.select("package", "member").join(digits.select("package", "member", F.lit(True).alias("digits")), ["package", "member"], "left")
+    return rows.select(k.alias("s_suppkey"), F.coalesce(number - 3 * k, F.lit(3)).alias("i"), F.coalesce("digits", F.lit(False)).alias("digits"))
+
+
+def _broken_outer(k: int) -> bytes:
+    """Every fifth archive is cut in its middle, every seventh is no archive."""
+    whole = _outer(k)
+    return b"no archive" if k % 7 == 0 else whole[: len(whole) // 2 + 100] if k % 5 == 0 else whole
 
 
 @query("""WITH s AS (SELECT s_suppkey AS k FROM supplier), p AS (SELECT k, 3 * k + i AS n FROM s, (SELECT unnest(range(3)) AS i) UNION ALL SELECT k, 1 FROM s)
-SELECT format('a_{:05d}_2401_{}.tar', k, k) AS source_key, '2401' AS month, count(*) AS papers_seen, count_if(n % 8 = 7)::BIGINT AS invalid_packages, count_if(n % 2 = 0)::BIGINT AS matches FROM p GROUP BY k""")
+SELECT format('a_{:05d}_2401_{}.tar', k, k) AS source_key, '2401' AS month, count(*) AS papers_seen, count_if(n % 8 = 7)::BIGINT AS invalid_packages, count_if(n % 2 = 0)::BIGINT AS matches,
+  CASE WHEN k % 7 = 0 OR k % 5 = 0 THEN 'later' ELSE 'first' END AS completed_by FROM p GROUP BY k""")
 def archive_scan(spark, d):
-    outer = _made(table(spark, d, "supplier").select("s_suppkey"), _outer, "{}")
-    outer = outer.select(F.format_string("a_%05d_2401_%s.tar", F.col("path").cast("long"), F.col("path")).alias("key"), F.lit("2401").alias("month"), F.length("content").cast("long").alias("size"), "content")
-    folder = _folder(spark)
-    jobs.scan(spark, outer, folder, "2401", "2401", cap=10)
-    jobs.scan(spark, outer, folder, "2401", "2401")  # goes on where the capped run ended
-    return spark.read.parquet(f"{folder}/completed")
+    """A capped run, a run that fails for broken archives, and a run that finds them mended: none is lost."""
+    folder, keys = _folder(spark), table(spark, d, "supplier").select("s_suppkey")
+
+    def put(rows, make):
+        made = _made(rows, make, "{}").withColumn("name", F.format_string("a_%05d_2401_%s.tar", F.col("path").cast("long"), F.col("path")))
+        return sinks.write_files(made, f"{folder}/archives").select(F.regexp_extract("path", r"[^/]*\z", 0).alias("key"), F.lit("2401").alias("month"), "size", "path")
+
+    outer, state = put(keys, _broken_outer), f"{folder}/state"
+    for cap in (10, 0):
+        try:
+            jobs.scan(spark, outer, state, "2401", "2401", cap=cap, sleep=lambda s: None)
+        except jobs.ScanFailed:
+            pass  # what was read is completed
+    first = settled(jobs.completions(spark, state).select("source_key"), "first")
+    put(keys.filter("s_suppkey % 7 = 0 or s_suppkey % 5 = 0"), _outer)
+    jobs.scan(spark, outer, state, "2401", "2401")
+    done = jobs.completions(spark, state).drop("run")
+    return done.join(first.withColumn("_f", F.lit(True)), "source_key", "left").withColumn("completed_by", F.when(F.col("_f"), "first").otherwise("later")).drop("_f")
 
 
 @query("""SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'source_0001,source_0002' ELSE 'source_0001' END AS names, CASE WHEN s_suppkey % 4 = 0 THEN 'direct,embedded_drawio_xml' ELSE 'embedded_drawio_xml' END AS kinds FROM supplier WHERE s_suppkey % 2 = 0""")
@@ -323,14 +345,33 @@ def packed_archives(spark, d):
     report = sinks.write_shards(files.join(plan, "arxiv_id"), folder, "set")
     members = sinks.archive_members(spark, folder)
     problems = stages.check_archives(report, members).groupBy("filename").agg(F.array_join(F.sort_array(F.collect_list("problem")), ",").alias("problems"))
-    rows = members.groupBy("filename", F.split_part("name", F.lit("/"), F.lit(1)).alias("paper")).agg(F.count("*").cast("int").alias("members"))
+    rows = members.filter("name is not null").groupBy("filename", F.split_part("name", F.lit("/"), F.lit(1)).alias("paper")).agg(F.count("*").cast("int").alias("members"))
     return rows.join(problems, "filename", "left").withColumn("problems", F.coalesce("problems", F.lit("")))
 
 
-@query("""SELECT 'a' AS filename, p AS problem FROM (SELECT unnest(['checksum', 'in several archives y', 'missing x', 'repeated y/1', 'unexpected w']) AS p)""")
+@query("""WITH p AS (SELECT s_suppkey AS k, (s_suppkey % 8) AS kind, format('set-{:05d}.tar', s_suppkey) AS filename, format('2401.{:05d}', s_suppkey) AS paper FROM supplier)
+SELECT filename, CASE kind WHEN 1 THEN 'checksum' WHEN 2 THEN 'missing 2402.00001' WHEN 3 THEN 'repeated ' || paper || '/paper.md' WHEN 4 THEN 'unexpected ' || paper || 'x' WHEN 5 THEN 'missing ' || paper END AS problem FROM p WHERE kind BETWEEN 1 AND 5
+UNION ALL SELECT filename, unnest(['checksum', 'unreadable ReadError', 'missing ' || paper]) FROM p WHERE kind = 6
+UNION ALL SELECT filename, unnest(['checksum', 'unreadable ReadError']) FROM p WHERE kind = 7""")
 def archive_problems(spark, d):
-    report = spark.createDataFrame([("a", "1", ["x", "y"]), ("b", "2", ["y"])], "filename string, sha256 string, papers array<string>")
-    members = spark.createDataFrame([("a", "y/1", "9"), ("a", "y/1", "9"), ("a", "w/1", "9"), ("b", "y/2", "2")], "filename string, name string, sha256 string")
+    """An archive for each supplier, of eight kinds: right, or wrong in one way or another."""
+    folder, k = _folder(spark), F.col("s_suppkey")
+
+    def make(n: int) -> bytes:
+        paper, kind = f"2401.{n:05d}", n % 8
+        files = [] if kind == 5 else [(f"{paper}/paper.md", b"text" * 300)] * (1 + (kind == 3)) + [(f"{paper}x/paper.md", b"t")] * (kind == 4)
+        whole = _tar(files)
+        # cut inside of the first header, or of the first member
+        return whole[:300] if kind == 6 else whole[:700] if kind == 7 else whole
+
+    made = _made(table(spark, d, "supplier").select("s_suppkey"), make, "{}").withColumn("name", F.format_string("set-%05d.tar", F.col("path").cast("long")))
+    sinks.write_files(made, folder)
+    members = settled(sinks.archive_members(spark, folder), "members")
+    kind = F.regexp_extract("filename", "([0-9]+)", 1).cast("long") % 8
+    paper = F.concat(F.lit("2401."), F.regexp_extract("filename", "([0-9]+)", 1))
+    sums = members.select("filename", "sha256").distinct()
+    told = F.when(kind == 2, F.array(paper, F.lit("2402.00001"))).otherwise(F.array(paper))
+    report = sums.select("filename", F.when(kind.isin(1, 6, 7), "other").otherwise(F.col("sha256")).alias("sha256"), told.alias("papers"))
     return stages.check_archives(report, members)
 
 

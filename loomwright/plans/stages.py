@@ -19,14 +19,23 @@ from loomwright.sources import tables
 
 def collect(packages: DataFrame, month: str) -> DataFrame:
     """Papers whose package holds a diagram (SELECTED_SOURCES) from papers' packages (path, content)."""
-    files = tables.inner_files(packages)
+    return collected(packages).withColumn("month", F.lit(month)).select("arxiv_id", "month", "source_member", "size", "sha256", "reasons", "matched")
+
+
+def collected(packages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """arxiv_id, source_member (the path), size, sha256, reasons and matched of each package (path, content), and other columns of it.
+
+    Packages are opened where they are read: only what their files tell about them is
+    shuffled.  A package without content keeps its row.
+    """
+    of = F.struct(F.length("content").cast("long").alias("size"), F.sha2("content", 256).alias("sha256"), *carry)
+    files = tables.inner_files(packages.withColumn("_of", of), "_of")
     alone = F.when(markers.has_marker(F.col("content")), "single_payload_drawio_marker")
-    files = files.withColumn("reason", F.when(~F.col("readable"), "invalid_source_package").when(F.col("single"), alone).otherwise(markers.reason(F.col("member"), F.col("content"))))
-    hits = files.groupBy("package").agg(F.sort_array(F.collect_set("reason")).alias("reasons"))
-    facts = packages.select(F.col("path").alias("package"), F.length("content").cast("long").alias("size"), F.sha2("content", 256).alias("sha256"))
+    reason = F.when(~F.col("readable"), "invalid_source_package").when(F.col("single"), alone).when(F.col("member") != "", markers.reason(F.col("member"), F.col("content")))
+    hits = files.select("package", "_of", reason.alias("reason")).groupBy("package", "_of").agg(F.sort_array(F.collect_set("reason")).alias("reasons"))
     name = F.regexp_extract("package", r"([^/]*?)(?:\.gz)?\z", 1)
     matched = (F.size("reasons") > 0) & ~F.array_contains("reasons", "invalid_source_package")
-    return facts.join(hits, "package").select(name.alias("arxiv_id"), F.lit(month).alias("month"), F.col("package").alias("source_member"), "size", "sha256", "reasons", matched.alias("matched"))
+    return hits.select(name.alias("arxiv_id"), F.col("package").alias("source_member"), "_of.size", "_of.sha256", "reasons", matched.alias("matched"), *[F.col("_of")[c].alias(c) for c in carry])
 
 
 def scan_counts(found: DataFrame) -> DataFrame:
@@ -345,14 +354,16 @@ def shards(files: DataFrame, shard_bytes: int = 2 << 30) -> DataFrame:
 
 
 def check_archives(report: DataFrame, members: DataFrame) -> DataFrame:
-    """What is wrong with archives: members that are not reported or missing, repeated ones, other checksums."""
+    """What is wrong with archives: ones that cannot be read to their end, members that are not reported or missing, repeated ones, other checksums."""
+    broken = members.filter("name is null and error is not null").select("filename", F.concat_ws(" ", F.lit("unreadable"), F.split_part("error", F.lit(":"), F.lit(1))).alias("problem"))
+    checksums, members = members.select("filename", F.col("sha256").alias("is")).distinct(), members.filter("name is not null")
     expected = report.select("filename", F.explode("papers").alias("paper"))
     actual = members.select("filename", F.split_part("name", F.lit("/"), F.lit(1)).alias("paper")).distinct()
     sets = relational.set_audit(expected, actual, ["filename", "paper"]).select("filename", F.concat_ws(" ", "problem", "paper").alias("problem"))
     spread = actual.groupBy("paper").agg(F.count("*").alias("n"), F.min("filename").alias("filename")).filter("n > 1").select("filename", F.concat_ws(" ", F.lit("in several archives"), "paper").alias("problem"))
     twice = members.groupBy("filename", "name").count().filter("count > 1").select("filename", F.concat_ws(" ", F.lit("repeated"), "name").alias("problem"))
-    other = members.select("filename", F.col("sha256").alias("is")).distinct().join(report.select("filename", "sha256"), "filename").filter("is != sha256").select("filename", F.lit("checksum").alias("problem"))
-    return sets.unionByName(spread).unionByName(twice).unionByName(other)
+    other = checksums.join(report.select("filename", "sha256"), "filename").filter("is != sha256").select("filename", F.lit("checksum").alias("problem"))
+    return sets.unionByName(spread).unionByName(twice).unionByName(other).unionByName(broken)
 
 
 def read_dataset(files: DataFrame, strict: bool = True) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from loomwright.schemas import SHARD_REPORT
 from loomwright.session import exists, file_at, settled
+from loomwright.sources import archives
 from loomwright.sources.tables import PAPER_ID
 
 
@@ -152,17 +153,34 @@ def _names(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(where)]
 
 
-def archive_members(spark, folder: str) -> DataFrame:
-    """(filename, name, size, sha256) of what archives in a folder hold."""
+def archive_members(spark: SparkSession, folder: str) -> DataFrame:
+    """(filename, name, size, sha256, error) of what archives in a folder hold, by their index.
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``sha256`` is the archive's; an archive has a row without a name as well, which says
+    what is wrong with the archive, if anything is.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(folder).select("path")
+    # Each archive is walked and hashed in a task of its own.
+    files = settled(files.repartition(F.col("path")), "archives")
+    rows = archives.index(files).filter("regular or member is null").join(archives.archive_digests(files).drop("bytes"), "archive")
+    return rows.select(F.regexp_extract("archive", r"[^/]*\z", 0).alias("filename"), F.col("member").alias("name"), "size", "sha256", "error")
+
+
+def write_files(files: DataFrame, folder: str) -> DataFrame:
+    """(path, size) of files (name, content), each written below a shared folder under a name of its attempt and then renamed."""
+    target = folder if "://" in folder else f"file://{os.path.abspath(folder)}"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(target)
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = content.as_py()
-                digest = hashlib.sha256(data).hexdigest()
-                with tarfile.open(fileobj=io.BytesIO(data)) as archive:
-                    rows = [(os.path.basename(path), m.name, m.size, digest) for m in archive if m.isfile()]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["filename", "name", "size", "sha256"])
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(folder).select("path", F.col("content"))
-    return files.mapInArrow(members, "filename string, name string, size long, sha256 string")
+            names, sizes = batch.column(0).to_pylist(), []
+            for name, content in zip(names, batch.column(1)):
+                where = f"{base}/{name}"
+                store.create_dir(os.path.dirname(where))
+                part = f"{where}.{uuid.uuid4().hex}.part"
+                with store.open_output_stream(part) as out:
+                    sizes.append(out.write(content.as_py() or b"") or len(content.as_py() or b""))
+                store.move(part, where)
+            yield pa.RecordBatch.from_arrays([pa.array([f"{target}/{n}" for n in names]), pa.array(sizes, pa.int64())], ["path", "size"])
+
+    return settled(files.select("name", "content").mapInArrow(write, "path string, size long"), "files")

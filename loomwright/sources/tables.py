@@ -5,17 +5,18 @@ from __future__ import annotations
 import gzip
 import io
 import tarfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, BooleanType, StringType, StructField, StructType
 
 from loomwright.functions.markers import guess_extension
 from loomwright.schemas import RECOVERY_STATE
 
 PAPER_ID = r"[0-9]{4}\.[0-9]{4,5}(v[0-9]+)?"
-MEMBERS = "package string, member string, content binary, readable boolean"
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -45,10 +46,8 @@ def read_listing(spark: SparkSession, path: str, pattern: str = "*.tar") -> Data
 
 
 def read_archives(spark: SparkSession, path: str, pattern: str = "*.tar") -> DataFrame:
-    """Outer archives (key, size, month, content); contents are read only where a plan wants them."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    rows = reader.load(path).select(F.col("path").alias("key"), F.col("length").alias("size"), "content")
-    return rows.withColumn("month", F.regexp_extract("key", r"_([0-9]{4})_[0-9]+\.tar\z", 1))
+    """Outer archives (key, size, month); their contents are read as streams."""
+    return read_listing(spark, path, pattern).select("key", "size", "month")
 
 
 def paper_id(path: Column) -> Column:
@@ -87,55 +86,44 @@ def paper_folders(paths: DataFrame) -> DataFrame:
     return found
 
 
-def outer_members(packages: DataFrame, only_digits: bool = False) -> DataFrame:
-    """(package, member, content, readable): one row for each paper's package in outer archives (path, content).
-
-    ``only_digits`` keeps lower-case ``.gz`` members whose name is digits and dots.
-    """
-
-    def open_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                try:
-                    archive = tarfile.open(fileobj=pa.BufferReader(content.as_buffer()), mode="r|*")
-                    for m in archive:
-                        if m.isfile() and m.name.lower().endswith(".gz"):
-                            yield _member(path.as_py(), m.name, archive.extractfile(m).read(), True)
-                except (tarfile.TarError, OSError, EOFError):
-                    yield _member(path.as_py(), "", b"", False)
-
-    found = packages.select("path", "content").mapInArrow(open_archives, MEMBERS)
-    return found.filter(F.regexp_like(F.col("member"), F.lit(r"(\A|/)\.*[0-9][0-9.]*\.gz\z"))) if only_digits else found
-
-
-def inner_files(packages: DataFrame) -> DataFrame:
+def inner_files(packages: DataFrame, carry: str | None = None) -> DataFrame:
     """Files inside papers' packages (path, content): a compressed archive, or one compressed file.
 
     Links and paths that lead out are left out; a package that cannot be read is one row that says so.
+    With ``carry``, a column that is kept with each file, every package has a row without a member as well.
     """
+    kept = [] if carry is None else [packages.schema[carry]]
+    schema = StructType([StructField("package", StringType()), StructField("member", StringType()), StructField("content", BinaryType()), StructField("readable", BooleanType()), *kept])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                data, name = content.as_py() or b"", path.as_py()
+            for i, (path, content) in enumerate(zip(batch.column(0), batch.column(1))):
+                name, more = path.as_py(), batch.slice(i, 1).columns[2:]
+                row = lambda *values: _member(name, *values, more, schema.names)  # noqa: B023, E731
+                if carry is not None:
+                    yield row("", b"", True)
+                if carry is not None and not content.is_valid:
+                    continue
+                data = content.as_py() or b""
                 try:
                     with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as archive:
                         for m in archive:
                             if m.isfile():
-                                yield _member(name, m.name, archive.extractfile(m).read(), True)
+                                yield row(m.name, archive.extractfile(m).read(), True)
                 except (tarfile.TarError, OSError, EOFError):
                     try:
-                        yield _member(name, None, gzip.decompress(data), True)
-                    except (OSError, EOFError):
-                        yield _member(name, "", b"", False)
+                        yield row(None, gzip.decompress(data), True)
+                    except (OSError, EOFError, zlib.error):
+                        yield row("", b"", False)
 
-    found = packages.select("path", "content").mapInArrow(unpack, MEMBERS)
+    found = packages.select("path", "content", *([carry] if carry else [])).mapInArrow(unpack, schema)
     named = F.coalesce(F.col("member"), F.concat(F.lit("source"), guess_extension(F.col("content"))))
-    return found.withColumn("single", F.col("member").isNull()).withColumn("member", named).filter(~F.col("readable") | safe_member(F.col("member")))
+    whole = F.lit(carry is not None) & (F.col("member") == "")
+    return found.withColumn("single", F.col("member").isNull()).withColumn("member", named).filter(~F.col("readable") | safe_member(F.col("member")) | whole)
 
 
-def _member(package: str, member: str | None, content: bytes, readable: bool) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([package], pa.string()), pa.array([member], pa.string()), pa.array([content], pa.binary()), pa.array([readable])], ["package", "member", "content", "readable"])
+def _member(package: str, member: str | None, content: bytes, readable: bool, more: list[pa.Array], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([package], pa.string()), pa.array([member], pa.string()), pa.array([content], pa.binary()), pa.array([readable]), *more], names)
 
 
 def descending_months(spark: SparkSession, start: str, stop: str, most: int = 1200) -> DataFrame:

@@ -6,25 +6,40 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from loomwright.operators import relational
 from loomwright.session import file_at, shared_folder
+from loomwright.streaming.runs import Runs, bucket
+
+#: Files of a run that keys are dealt to: a few keys are looked up in a few of them.
+BUCKETS = 16
 
 
 class KeyedState:
-    """The latest row of each key, in versions: a batch writes the next one, and a repeated batch the same one."""
+    """The latest row of each key, in runs: a batch writes its own rows, and a repeated batch nothing."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, key: str, order: Sequence[str]):
+        self.key, self.names = key, schema.fieldNames()
+        whole = StructType([*schema.fields, StructField("_bucket", IntegerType())])
+        self.runs = Runs(spark, path, whole, lambda df: relational.latest(df, key, list(order)), ["_bucket"])
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*self.names, bucket(F.col(self.key), BUCKETS).alias("_bucket"))
 
-    def __init__(self, spark: SparkSession, path: str, schema, key: str, order: Sequence[str]):
-        self.spark, self.path, self.schema, self.key, self.order = spark, path, schema, key, list(order)
+    def version(self, number: int | None = None) -> DataFrame:
+        return self.runs.table(number).select(*self.names)
 
-    def version(self, number: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={number}")
+    def merge(self, batch: DataFrame, number: int | None = None) -> int:
+        return self.runs.add(self._dealt(batch), number)
 
-    def merge(self, batch: DataFrame, number: int) -> None:
-        new = relational.latest(batch, self.key, self.order)
-        if number > 0:
-            new = relational.latest(self.version(number - 1).unionByName(new), self.key, self.order)
-        new.write.mode("overwrite").parquet(f"{self.path}/version={number}")
+    def of(self, keys: DataFrame) -> DataFrame:
+        """Rows of the keys in a table of them; only their files are read."""
+        wanted = keys.select(self.key).distinct()
+        files = [r[0] for r in wanted.select(bucket(F.col(self.key), BUCKETS)).distinct().collect()]  # BUCKETS at most
+        rows = self.runs.rows().filter(F.col("_bucket").isin(files)).join(wanted, self.key, "left_semi")
+        return self.runs.merge(rows).select(*self.names)
 
 
 def latest_by_stream(spark: SparkSession, source: str, key: str, order: Sequence[str], folder: str | None = None, files_per_batch: int = 4) -> DataFrame:
@@ -35,28 +50,17 @@ def latest_by_stream(spark: SparkSession, source: str, key: str, order: Sequence
     folder = folder or f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     schema = spark.read.parquet(source).schema
     state = KeyedState(spark, f"{folder}/state", schema, key, order)
-    last = [_newest(spark, f"{folder}/state")]
 
     def merge(batch: DataFrame, number: int) -> None:
-        state.merge(batch.select(*[f.name for f in schema.fields]), number)
-        last[0] = number
+        state.merge(batch, number)
 
     place, _, name = source.rstrip("/").rpartition("/")
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format("parquet")
     stream = reader.load(source) if _is_folder(spark, source) else reader.option("pathGlobFilter", name).load(place)
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start().awaitTermination()
-    if last[0] < 0:
-        return spark.createDataFrame([], schema)
-    return state.version(last[0])
+    return state.version()
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:
     where, files = file_at(spark, path)
     return files.getFileStatus(where).isDirectory()
-
-
-def _newest(spark: SparkSession, path: str) -> int:
-    """The number of the last version that an earlier run left, -1 if none."""
-    where, files = file_at(spark, path)
-    names = [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
-    return max((int(n.removeprefix("version=")) for n in names if n.startswith("version=")), default=-1)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loomwright import cli
 from loomwright.functions import latex, xml_pages
 from loomwright.operators import dedup, folds, ordered, states
+from loomwright.plans.leases import CLAIM_SECONDS, Fenced, Leases, create_once
 from loomwright.plans import jobs, releases, stages
 from loomwright.sources import services, sinks, tables
 
@@ -83,18 +84,39 @@ def test_hot_bands_lose_no_pair(spark):
         assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_claims_and_budget(spark, tmp_path):
+def test_leases_and_budget(spark, tmp_path):
     now = [1000.0]
-    a, b = (jobs.Claims(spark, f"file://{tmp_path}/claims", n, now=lambda: now[0]) for n in "ab")
-    assert a.acquire("x/k.tar") and not b.acquire("y/k.tar") and b.acquire("other")
-    now[0] += jobs.CLAIM_SECONDS + 1
-    assert b.acquire("k.tar") and not a.acquire("k.tar")
-    b.release("k.tar")
-    assert a.acquire("k.tar")
+    a, b = (Leases(spark, f"file://{tmp_path}/leases", n, now=lambda: now[0]) for n in "ab")
+    held = a.acquire("x/k.tar")
+    assert held and not b.acquire("x/k.tar") and b.acquire("y/k.tar") and b.acquire("other")
+    held = a.renew("x/k.tar", held)
+    now[0] += CLAIM_SECONDS + 1
+    taken = b.acquire("x/k.tar")
+    assert taken == held + 1 and not a.acquire("x/k.tar")
+    for late in (lambda: a.renew("x/k.tar", held), lambda: a.complete("x/k.tar", held, {"n": 1})):
+        with pytest.raises(Fenced):  # a paused owner neither goes on nor completes
+            late()
+    a.release("x/k.tar", held)
+    assert not a.acquire("x/k.tar")
+    b.release("x/k.tar", taken)
+    again = a.acquire("x/k.tar")
+    a.complete("x/k.tar", again, {"n": 2})
+    now[0] += CLAIM_SECONDS + 1
+    assert not b.acquire("x/k.tar")
+    assert [tuple(r) for r in b.completed("n long").collect()] == [("x/k.tar", 2)]
     path = f"file://{tmp_path}/state"
     assert jobs.within_budget(spark, path, 1, lambda: 0.0) and jobs.within_budget(spark, path, 1, lambda: 3599.0) and not jobs.within_budget(spark, path, 1, lambda: 3600.0)
 
 
+def test_many_make_one_file(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(16) as pool:
+        made = list(pool.map(lambda i: create_once(spark, f"file://{tmp_path}/f/one.json", str(i)), range(64)))
+    assert sum(made) == 1 and (tmp_path / "f" / "one.json").read_text() == str(made.index(True))
+    assert len(list((tmp_path / "f").glob("*"))) <= 2  # the file, and Spark's checksum of it if any
+
+
 def test_waits_and_refusals():
     assert services.wait_before(1, 429, {"retry-after": "12"}, 2) == 12 and services.wait_before(1, 429, {"Retry-After": "soon"}, 2) == services.BUSY_WAIT
     assert [services.wait_before(k, 500, {}, 2.0) for k in (1, 2, 3, 9)] == [2, 4, 8, 60]
