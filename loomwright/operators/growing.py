@@ -12,7 +12,7 @@ from loomwright.session import settled
 from loomwright.streaming.runs import Runs
 
 #: Files that the values of one band are dealt to.
-SLOTS = 32
+SLOTS = 16
 
 
 class MetricIndex:

@@ -6,10 +6,12 @@ number of each partition gives all of them their offsets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,24 +56,82 @@ def running_sum(df: DataFrame, order: Sequence[Column | str], weight: Column, na
     return _with_offsets(placed, F.sum("_w"), df.columns, F.col("_s"), name)
 
 
-def percentiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> DataFrame:
+#: Distinct values that the driver takes at once, buckets of a bracket, and distinct values of a bracket that is not narrowed further.
+AT_ONCE, BUCKETS, NARROW = 50_000, 4096, 1_000
+
+
+def percentiles(df: DataFrame, wanted: dict[str, Sequence[float]], at_once: int = AT_ONCE, narrow: int = NARROW) -> DataFrame:
     """(field, point, value): exact percentiles, interpolated, of each field at its points (0 to 100).
 
-    Equal values are counted before they are shuffled; a null value does not count, and a
+    Nothing is sorted.  Equal values are counted first.  If these are many, each wanted place
+    is bracketed: a bracket is cut into buckets between its least and greatest value, and the
+    bucket that holds the place is the next bracket, until few values are left, among which
+    the place is looked up.  A null value does not count, NaN counts as infinite, and a
     field without values has no rows.
     """
+    spark = df.sparkSession
+    number = F.col("f.value")
     fields = F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).cast("double").alias("value")) for n in wanted])
-    counts = df.select(F.explode(fields).alias("f")).select("f.*").filter("value is not null").groupBy("field", "value").agg(F.count("*").alias("n"))
-    placed = running_sum(counts, ["field", "value"], F.col("n"), "before")
-    totals = placed.groupBy("field").agg(F.sum("n").alias("total"), F.min("before").alias("base"))  # a row for each field
-    points = F.create_map(*[x for n, p in wanted.items() for x in (F.lit(n), F.array(*[F.lit(float(v)) for v in p]))])
-    rows = placed.join(F.broadcast(totals), "field").withColumn("low", F.col("before") - F.col("base"))
-
-    def hit(p: Column) -> Column:
-        at = p / 100 * (F.col("total") - 1)
-        inside = lambda x: (x >= F.col("low")) & (x < F.col("low") + F.col("n"))
-        return F.struct(p.alias("point"), (at - F.floor(at)).alias("share"), F.when(inside(F.floor(at)), F.col("value")).alias("a"), F.when(inside(F.ceil(at)), F.col("value")).alias("b"))
-
-    hits = F.filter(F.transform(points[F.col("field")], hit), lambda h: h["a"].isNotNull() | h["b"].isNotNull())
-    found = rows.select("field", F.explode(hits).alias("h")).groupBy("field", "h.point").agg(F.max("h.share").alias("share"), F.max("h.a").alias("a"), F.max("h.b").alias("b"))
-    return found.select("field", "point", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((1 - F.col("share")) * F.col("a") + F.col("share") * F.col("b")).alias("value"))
+    counts = df.select(F.explode(fields).alias("f")).filter(number.isNotNull()).select("f.field", F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number).alias("value"))
+    counts = counts.groupBy("field", "value").agg(F.count("*").alias("n"))
+    some = counts.limit(at_once + 1).toArrow()
+    if some.num_rows <= at_once:
+        total = {r["field"]: r["n_sum"] for r in some.group_by("field").aggregate([("n", "sum")]).to_pylist()}
+        inside = {(f, None): (0, some.filter(pc.equal(some["field"], f))) for f in total}
+        place = {(f, k): (f, None) for f in total for k in _places(wanted[f], total[f])}
+    else:
+        total, inside, place = _bracketed(settled(counts, "counts"), wanted, narrow)
+    value = {(f, k): _at(k, *inside[b]) for (f, k), b in place.items()}
+    rows = []
+    for f in total:
+        for p in wanted[f]:
+            at = p / 100 * (total[f] - 1)
+            low, high, share = value[f, math.floor(at)], value[f, math.ceil(at)], at - math.floor(at)
+            rows.append((f, float(p), low if low == high else (1 - share) * low + share * high))
+    return spark.createDataFrame(rows, "field string, point double, value double")
+
+
+def _places(points: Sequence[float], n: int) -> set[int]:
+    return {k for p in points for k in (math.floor(p / 100 * (n - 1)), math.ceil(p / 100 * (n - 1)))}
+
+
+def _at(k: int, before: int, values: pa.Table) -> float:
+    """The value at a place, counted from the first value of all; ``before`` of them are less than these."""
+    order = np.argsort(values["value"].to_numpy())
+    ends = before + np.cumsum(values["n"].to_numpy()[order])
+    return float(values["value"].to_numpy()[order[np.searchsorted(ends, k, "right")]])
+
+
+def _bracketed(counts: DataFrame, wanted: dict[str, Sequence[float]], narrow: int) -> tuple[dict, dict, dict]:
+    """(values of each field, {bracket: (values before it, its values)}, {(field, place): bracket})."""
+    spark, v = counts.sparkSession, F.col("value")
+    stats = counts.groupBy("field").agg(F.sum("n").alias("total"), F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("rows")).collect()  # a row for each field
+    total = {r.field: r.total for r in stats}
+    bracket = {(r.field, k): (r.low, r.high, 0, r.rows) for r in stats for k in _places(wanted[r.field], r.total)}
+
+    def sent(wide: list[tuple]) -> DataFrame:
+        # A few for each wanted place.
+        return F.broadcast(spark.createDataFrame([(f, float(a), float(b)) for f, a, b in wide], "field string, low double, high double"))
+
+    while wide := sorted({(f, a, b) for (f, _), (a, b, _, n) in bracket.items() if n > narrow and a < b}):
+        part = (v / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+        which = F.when(v == F.col("low"), 0).when(v == F.col("high"), BUCKETS - 1).otherwise(F.floor(F.nanvl(part, F.lit(0.5)) * (BUCKETS - 1)))
+        joined = counts.join(sent(wide), "field").filter((v >= F.col("low")) & (v <= F.col("high")))
+        found = joined.groupBy("field", "low", "high", which.alias("bucket")).agg(F.sum("n").alias("n"), F.min("value").alias("a"), F.max("value").alias("b"), F.count("*").alias("rows"))
+        cells: dict[tuple, list] = {}
+        for r in found.collect():  # BUCKETS for each bracket at most
+            cells.setdefault((r.field, r.low, r.high), []).append((r.a, r.b, r.n, r.rows))
+        for (f, k), (a, b, before, n) in list(bracket.items()):
+            for low, high, many, rows in sorted(cells.get((f, a, b), [])) if n > narrow else []:
+                if k < before + many:
+                    bracket[f, k] = (low, high, before, rows)
+                    break
+                before += many
+    last = sorted({(f, a, b) for (f, _), (a, b, _, _) in bracket.items()})
+    values = counts.join(sent(last), "field").filter((v >= F.col("low")) & (v <= F.col("high"))).select("field", "low", "high", "value", "n").toArrow()
+    inside = {}
+    for (f, _), (a, b, before, _) in bracket.items():
+        if (f, a, b) not in inside:
+            mine = pc.and_(pc.equal(values["field"], f), pc.and_(pc.equal(values["low"], float(a)), pc.equal(values["high"], float(b))))
+            inside[f, a, b] = (before, values.filter(mine))
+    return total, inside, {(f, k): (f, a, b) for (f, k), (a, b, _, _) in bracket.items()}

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, fields
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.functions.scalars import level, reasons
 from loomwright.operators.ordered import numbered, percentiles
+from loomwright.session import settled
 
 #: Fixed values, here and in Policy, hard_reasons, structure_score and selection: points of the profile, weights and
 #: steps of the score, names of reasons, and bounds of the derived limits.
@@ -116,6 +117,7 @@ def coarse_selection(scores: DataFrame, fraction: float, key: str = "png") -> tu
     """(candidates, rejects): the best eligible pages, a fraction of all pages; ranks and percentiles are among the eligible."""
     if not 0 < fraction <= 1:
         raise ValueError("the fraction lies in (0, 1]")
+    scores = settled(scores, "scores")  # counted, ranked and rejected from
     counts = scores.agg(F.count("*").alias("_all"), F.count_if(F.size("structural_reject_reasons") == 0).alias("_ok"))  # one row
     order = [F.desc("structure_score"), F.desc("elements"), F.desc(key)]
     ranked = numbered(scores.filter(F.size("structural_reject_reasons") == 0), order, "coarse_rank").crossJoin(F.broadcast(counts))
@@ -164,7 +166,7 @@ def final_rank(selected: DataFrame, ranking: str = "structure", top: int = 0, ke
     """Ranks from 1, all orders descending, nulls last; ``top`` of 0 or less keeps all."""
     order = [F.col(c).desc_nulls_last() for c in (*RANKINGS[ranking], key)]
     if top > 0:
-        return selected.orderBy(*order).limit(top).withColumn("final_rank", F.row_number().over(Window.orderBy(*order)))
+        selected = selected.orderBy(*order).limit(top)
     return numbered(selected, order, "final_rank")
 
 

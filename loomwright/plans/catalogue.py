@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import asdict
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -199,8 +200,8 @@ def completeness_bool(spark, d):
     return relational.complete(table(spark, d, "lineitem"), "l_orderkey", F.lit(1), F.col("l_linestatus") == "F", F.col("l_returnflag") == "R")
 
 
-@query("""SELECT user_id, CASE WHEN user_id % 7 = 0 THEN 'failed' WHEN user_id % 7 = 1 THEN 'failed' WHEN purchases = 0 AND errors > 0 THEN 'failed' WHEN purchases = 0 THEN 'rejected' WHEN user_id % 7 = 3 THEN 'failed' ELSE 'accepted' END AS status,
-CASE WHEN user_id % 7 = 0 THEN 'missing_source_package' WHEN user_id % 7 = 1 THEN 'unpack_failed' WHEN purchases = 0 AND errors > 0 THEN 'drawio_recovery_failed' WHEN purchases = 0 THEN 'no_valid_drawio_recovered' WHEN user_id % 7 = 2 THEN 'existing_output' WHEN user_id % 7 = 3 THEN 'unexpected_existing_output' ELSE 'valid_drawio_recovered' END AS reason, purchases AS drawio_files FROM
+@query("""SELECT user_id, CASE WHEN user_id % 7 = 0 THEN 'failed' WHEN user_id % 7 = 1 OR user_id % 7 = 4 THEN 'failed' WHEN purchases = 0 AND errors > 0 THEN 'failed' WHEN purchases = 0 THEN 'rejected' WHEN user_id % 7 = 3 THEN 'failed' ELSE 'accepted' END AS status,
+CASE WHEN user_id % 7 = 0 THEN 'missing_source_package' WHEN user_id % 7 = 1 THEN 'unpack_failed' WHEN user_id % 7 = 4 THEN 'batch_exception' WHEN purchases = 0 AND errors > 0 THEN 'drawio_recovery_failed' WHEN purchases = 0 THEN 'no_valid_drawio_recovered' WHEN user_id % 7 = 2 THEN 'existing_output' WHEN user_id % 7 = 3 THEN 'unexpected_existing_output' ELSE 'valid_drawio_recovered' END AS reason, purchases AS drawio_files FROM
 (SELECT user_id, CAST(count_if(event_type = 'error' AND value > 90) AS BIGINT) AS errors, CAST(count_if(event_type = 'purchase' AND value > 80) AS BIGINT) AS purchases FROM events GROUP BY 1)""")
 def recovery_status_case(spark, d):
     e, u = table(spark, d, "events"), F.col("package")
@@ -208,7 +209,7 @@ def recovery_status_case(spark, d):
     failures = e.filter("event_type = 'error' and value > 90").select(F.col("user_id").alias("package"), F.lit("x").alias("name"), F.lit(True).alias("command_failed"))
     diagrams = e.filter("event_type = 'purchase' and value > 80").select(F.col("user_id").alias("package"))
     outputs = papers.filter((u % 7).isin(2, 3)).withColumn("has_record", u % 7 == 2)
-    out = stages.recovery_states(papers, diagrams, diagrams, papers.filter(u % 7 == 1), papers.filter(u % 7 == 0), failures, outputs)
+    out = stages.recovery_states(papers, diagrams, diagrams, papers.filter(u % 7 == 1), papers.filter(u % 7 == 0), failures, outputs, papers.filter(u % 7 == 4))
     return out.select(u.alias("user_id"), "status", "reason", "drawio_files")
 
 
@@ -265,9 +266,15 @@ def policy_derive(spark, d):
 FROZEN = quality.Policy(20, 12, 9, 400_000, 40, 3.5, min_elements=8)
 
 
-@query("SELECT 20.0::DOUBLE AS cap_elements, 40.0::DOUBLE AS elements_p99, 8.0::DOUBLE AS min_elements, 100000000.0::DOUBLE AS max_pixels")
+_FROZEN_SQL = "policy AS (SELECT " + ", ".join(f"{v}::DOUBLE AS {k}" for k, v in asdict(FROZEN).items()) + ")"
+
+
+@query(f"WITH {PAGES_SQL}, {_FROZEN_SQL}, {SCORES_SQL} SELECT png, reasons, round(structure_score, 6) AS structure_score FROM scores")
 def policy_override(spark, d):
-    return quality.recorded_or(FROZEN, standins.pages(spark, d)).select("cap_elements", "elements_p99", "min_elements", "max_pixels")
+    """Pages by a recorded policy in place of the derived one."""
+    pages = standins.pages(spark, d)
+    scores = quality.scored(pages, quality.recorded_or(FROZEN, pages))
+    return scores.select("png", F.array_join("structural_reject_reasons", ",").alias("reasons"), F.round("structure_score", 6).alias("structure_score"))
 
 
 def _scores(spark, d):
@@ -403,9 +410,13 @@ def task_key_sha1(spark, d):
     return table(spark, d, "pages").select("page_id", scalars.task_key(F.col("url"), F.lit("page"), F.col("page_id") % 7).alias("key"))
 
 
-@query("SELECT strftime(m, '%y%m') AS month FROM (SELECT unnest(generate_series(TIMESTAMP '2021-11-01', TIMESTAMP '2024-10-01', INTERVAL 1 MONTH)) AS m)")
+@query("""WITH o AS (SELECT o_orderkey, date_trunc('month', o_orderdate + INTERVAL 10 YEAR)::TIMESTAMP AS m FROM orders)
+SELECT strftime(s.m, '%y%m') AS month, count(o_orderkey) AS orders FROM (SELECT unnest(generate_series((SELECT min(m) FROM o), (SELECT max(m) FROM o), INTERVAL 1 MONTH)) AS m) s LEFT JOIN o ON o.m = s.m GROUP BY 1""")
 def months_desc(spark, d):
-    return descending_months(spark, "2410", "2111")
+    """Orders by the month ten years after them, from the newest back to the oldest, months without any included."""
+    orders = table(spark, d, "orders").select(F.date_format(F.add_months("o_orderdate", 120), "yyMM").alias("month"), "o_orderkey")
+    ends = orders.agg(F.max("month").alias("start"), F.min("month").alias("stop")).first()
+    return descending_months(spark, ends.start, ends.stop).join(orders, "month", "left").groupBy("month").agg(F.count("o_orderkey").alias("orders"))
 
 
 @query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS title, regexp_replace('2401.' || doc_id || 'v' || (doc_id % 4), 'v[0-9]+$', '') AS arxiv_id FROM documents")

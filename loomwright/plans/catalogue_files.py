@@ -352,7 +352,7 @@ def packed_archives(spark, d):
 @query("""WITH p AS (SELECT s_suppkey AS k, (s_suppkey % 8) AS kind, format('set-{:05d}.tar', s_suppkey) AS filename, format('2401.{:05d}', s_suppkey) AS paper FROM supplier)
 SELECT filename, CASE kind WHEN 1 THEN 'checksum' WHEN 2 THEN 'missing 2402.00001' WHEN 3 THEN 'repeated ' || paper || '/paper.md' WHEN 4 THEN 'unexpected ' || paper || 'x' WHEN 5 THEN 'missing ' || paper END AS problem FROM p WHERE kind BETWEEN 1 AND 5
 UNION ALL SELECT filename, unnest(['checksum', 'unreadable ReadError', 'missing ' || paper]) FROM p WHERE kind = 6
-UNION ALL SELECT filename, unnest(['checksum', 'unreadable ReadError']) FROM p WHERE kind = 7""")
+UNION ALL SELECT filename, unnest(['checksum', 'unreadable EOFError']) FROM p WHERE kind = 7""")
 def archive_problems(spark, d):
     """An archive for each supplier, of eight kinds: right, or wrong in one way or another."""
     folder, k = _folder(spark), F.col("s_suppkey")
@@ -386,8 +386,11 @@ def stage_runner(spark, d):
     return p.run(spark, {"orders": spark.range(0)})["counts"]
 
 
-@query("SELECT k::VARCHAR AS key, k % 2 = 0 AS reused FROM (SELECT unnest(range(8)) AS k)")
+@query("SELECT c_custkey::VARCHAR AS key, c_custkey % 3 <> 0 AND CASE WHEN c_custkey % 4 = 0 THEN 1.5 WHEN c_custkey % 2 = 0 THEN 2.0 ELSE 1.25 END >= (CASE WHEN c_acctbal > 0 THEN 2.0 ELSE 1.5 END) AS reused FROM customer")
 def previous_figures(spark, d):
-    tasks = spark.range(8).select(F.col("id").cast("string").alias("key"), F.lit(2.0).alias("min_scale"))
-    old = spark.range(8).select(F.col("id").cast("string").alias("key"), F.when(F.col("id") % 2 == 0, 2.0).otherwise(1.5).alias("scale"), F.lit(1).alias("at"))
+    """A figure for each customer; two thirds have two earlier ones, of which the later counts."""
+    c, k = table(spark, d, "customer"), F.col("c_custkey")
+    tasks = c.select(k.cast("string").alias("key"), F.when(F.col("c_acctbal") > 0, 2.0).otherwise(1.5).alias("min_scale"))
+    later = F.when(k % 4 == 0, 1.5).when(k % 2 == 0, 2.0).otherwise(1.25)
+    old = c.filter(k % 3 != 0).select(k.cast("string").alias("key"), F.explode(F.array(F.struct(F.lit(2.0).alias("scale"), F.lit(0).alias("at")), F.struct(later.alias("scale"), F.lit(1).alias("at")))).alias("o")).select("key", "o.*")
     return relational.reuse(tasks, old, ["key"], "at").select("key", "reused")

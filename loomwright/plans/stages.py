@@ -72,11 +72,12 @@ def diagram_files(diagrams: DataFrame) -> DataFrame:
     return out.select("package", F.format_string("d%03d", "_n").alias("drawio_id"), F.concat(F.lit(states.RAW + "/"), scalars.ordinal_name(F.col("_n"), F.col("member"))).alias("path"), "member", "sha256", "recovery")
 
 
-def recovery_states(selection: DataFrame, found: DataFrame, diagrams: DataFrame, unreadable: DataFrame, missing: DataFrame | None = None, failures: DataFrame | None = None, outputs: DataFrame | None = None) -> DataFrame:
+def recovery_states(selection: DataFrame, found: DataFrame, diagrams: DataFrame, unreadable: DataFrame, missing: DataFrame | None = None, failures: DataFrame | None = None, outputs: DataFrame | None = None, crashed: DataFrame | None = None) -> DataFrame:
     """status, reason and counts of every selected paper; all inputs are keyed by package.
 
     missing: packages that are not there; failures: candidates that an extractor broke off on
-    (package, name, command_failed); outputs: papers that were there before (package, has_record).
+    (package, name, command_failed); outputs: papers that were there before (package, has_record);
+    crashed: packages on which the work itself broke off.
     """
     flag = lambda df, name: df.select("package").distinct().withColumn(name, F.lit(True))
     none = selection.select("package").limit(0)
@@ -86,9 +87,10 @@ def recovery_states(selection: DataFrame, found: DataFrame, diagrams: DataFrame,
     before = (outputs if outputs is not None else none.withColumn("has_record", F.lit(True))).select("package", "has_record")
     rows = selection.join(n, "package", "left").join(kept, "package", "left").join(broken, "package", "left").join(before, "package", "left")
     rows = rows.join(flag(unreadable, "_bad"), "package", "left").join(flag(missing if missing is not None else none, "_none"), "package", "left")
+    rows = rows.join(flag(crashed if crashed is not None else none, "_crashed"), "package", "left")
     rows = rows.fillna(0, ["candidate_count", "drawio_files", "failed_candidates"])
     facts = rows.withColumns({
-        "has_package": F.col("_none").isNull(), "unpacked": F.col("_bad").isNull(), "crashed": F.lit(False), "diagrams": F.col("drawio_files"),
+        "has_package": F.col("_none").isNull(), "unpacked": F.col("_bad").isNull(), "crashed": F.col("_crashed").isNotNull(), "diagrams": F.col("drawio_files"),
         "command_failed": F.coalesce("command_failed", F.lit(False)), "output_exists": F.col("has_record").isNotNull(), "output_record": F.coalesce("has_record", F.lit(False)),
     })
     return states.recovery_outcome(facts).select(*selection.columns, "candidate_count", "drawio_files", "failed_candidates", "status", "reason")

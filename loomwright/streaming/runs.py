@@ -61,7 +61,8 @@ class Runs:
 
     def _write(self, rows: DataFrame) -> dict[str, Any]:
         name = f"run-{uuid.uuid4().hex}"
-        (rows.write.partitionBy(*self.by) if self.by else rows.write).parquet(f"{self.path}/data/{name}")
+        # Each file of a run is written by one task.
+        (rows.repartition(*self.by).write.partitionBy(*self.by) if self.by else rows.write).parquet(f"{self.path}/data/{name}")
         n = self.rows(runs=[{"run": name}]).count()
         return {"run": name, "rows": n, "level": int(math.log(max(n, 1), self.fan))}
 

@@ -74,6 +74,22 @@ def test_numbers_sums_and_percentiles(spark):
     assert ordered.percentiles(df.limit(0), {"v": [50]}).count() == 0 and ordered.numbered(df.limit(0), ["k"], "at").count() == 0
 
 
+def test_brackets_give_exact_percentiles(spark):
+    rng = np.random.default_rng(9)
+    rows = [(float(a), float(b), float(c)) for a, b, c in zip(rng.lognormal(0, 8, 6000), rng.integers(0, 40, 6000), np.where(rng.random(6000) < 0.01, 1e300, rng.normal(size=6000)))]
+    rows += [(float("inf"), 1.0, -1e308), (0.0, -5.0, 1e308), (-0.0, 7.0, 5e-324)]
+    df, points = spark.createDataFrame(rows, "a double, b double, c double"), [0, 1, 5, 33.3, 50, 90, 99.9, 100]
+    few = {(r.field, r.point): r.value for r in ordered.percentiles(df, dict.fromkeys("abc", points)).collect()}
+    many = {(r.field, r.point): r.value for r in ordered.percentiles(df, dict.fromkeys("abc", points), at_once=100, narrow=20).collect()}
+    assert many == few
+    for i, name in enumerate("abc"):
+        ranked = sorted(r[i] for r in rows)
+        for p in points:
+            at = p / 100 * (len(ranked) - 1)
+            low, high, share = ranked[int(at)], ranked[min(int(at) + 1, len(ranked) - 1)], at - int(at)
+            assert few[name, p] == (low if share == 0 or low == high else (1 - share) * low + share * high)
+
+
 def test_hot_bands_lose_no_pair(spark):
     rng = np.random.default_rng(1)
     codes = [int(sum(1 << int(b) for b in rng.choice(62, 3, replace=False))) for _ in range(120)]  # all share most bands

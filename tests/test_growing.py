@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from loomwright.operators import dedup
-from loomwright.operators.growing import Components, MetricIndex
+from loomwright.operators.growing import SLOTS, Components, MetricIndex
 from loomwright.streaming.incremental import KeyedState
 from loomwright.streaming.runs import Runs
 
@@ -94,9 +94,9 @@ def test_a_small_batch_reads_few_files(spark, tmp_path, codes):
     files = index.near(one)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in files
     whole = index.runs.rows().select(F.input_file_name()).distinct().count()
-    asked = [r[0] for r in index._banded(one).select(F.col("_band") * 32 + F.col("_slot")).collect()]
-    read = index.runs.rows().filter((F.col("_band") * 32 + F.col("_slot")).isin(asked)).select(F.input_file_name()).distinct().count()
-    assert read * 20 < whole and index.near(one).count() < 300
+    asked = [r[0] for r in index._banded(one).select(F.col("_band") * SLOTS + F.col("_slot")).collect()]
+    read = index.runs.rows().filter((F.col("_band") * SLOTS + F.col("_slot")).isin(asked)).select(F.input_file_name()).distinct().count()
+    assert read * 8 < whole and index.near(one).count() < 300
 
 
 def test_batches_of_links_give_the_labels_of_one_run(spark, tmp_path):
