@@ -113,8 +113,8 @@ TERMS = {
     "CC0-1.0": ("Statement of Purpose", None),
     "CC-BY-SA-4.0": ("By exercising the Licensed Rights", "=" * 71),
 }
-#: Characters of a line by which places are chosen where a whole text is compared.
-HEAD = 8
+#: Words at the start of a line by which places are chosen where a whole text is compared.
+HEAD = 4
 
 
 def _spelt(text: str) -> set[str]:
@@ -184,32 +184,43 @@ def digests(spark: SparkSession) -> DataFrame:
 
 
 def terms(spark: SparkSession, text: Column) -> Column:
-    """Array of what stands in a normalised text where a whole text can begin, as long as that text is.
+    """Array of the known whole texts that stand in a normalised text from the start of a line, each as often as it does.
 
-    Lines have a character at least, so no more of them than half its length are joined.
+    The text is cut before lines that begin like a known text, so a known text begins where
+    a piece does.  Most end in it; one that does not goes on in the next pieces only as long
+    as these agree with it, so the work grows with the text, however often it begins anew.
     """
     found = spark.createDataFrame(passages(), "license_id string, text string").select(flat(normalised(F.col("text"))).alias("text")).distinct().collect()
-    known_sizes = sorted({(r[0][:HEAD].strip(), len(r[0])) for r in found})
-    sizes = F.array(*[F.struct(F.lit(h).alias("head"), F.lit(n).alias("n")) for h, n in known_sizes])
-    heads = sorted({h for h, _ in known_sizes})
-    lines = F.split(text, "\n+")
-    head = lambda line: F.trim(F.substring(line, 1, HEAD))
+    texts = sorted(r.text for r in found)
+    heads = sorted({"[ \n]".join(t.split(" ")[:HEAD]) for t in texts})
+    known_texts = F.array(*[F.lit(t + " ") for t in texts])
+    lines = F.concat(F.regexp_replace(text, "\n+", "\n"), F.lit("\n"))
+    cut = F.transform(F.split(lines, rf"(?<![^\n])(?=(?:{'|'.join(heads)})[ \n])"), lambda c: F.translate(c, "\n", " "))
 
-    def at(i: Column) -> Column:
-        def unit(k: Column) -> Column:
-            rest = F.array_join(F.slice(lines, i + 1, (k["n"] / 2).cast("int") + 2), " ")
-            ends = rest.substr(k["n"] + 1, F.lit(1)).isin("", " ") & ((i > 0) | (F.length(rest) > k["n"]))
-            return F.when(ends & (F.length(rest) >= k["n"]), rest.substr(F.lit(1), k["n"]))
+    def inside(bound: Column) -> Column:
+        pieces, total = bound["pieces"], bound["total"]
 
-        return F.transform(F.filter(sizes, lambda k: k["head"] == head(F.get(lines, i))), unit)
+        def held(piece: Column, i: Column) -> Column:
+            def holds(t: Column) -> Column:
+                two = F.concat(piece, F.coalesce(F.get(pieces, i + 1), F.lit("")))
+                more = F.reduce(F.slice(pieces, i + 3, F.length(t)), two, lambda so_far, p: F.when(F.startswith(t, so_far), F.concat(so_far, p)).otherwise(so_far))
+                begins = F.startswith(piece, t) | F.when(F.startswith(t, piece), F.startswith(two, t) | F.when(F.startswith(t, two), F.startswith(more, t)).otherwise(False)).otherwise(False)
+                # A text that is all of the document is no passage of it.
+                return begins & ((i > 0) | (total > F.length(t)))
 
-    starts = F.array_compact(F.transform(lines, lambda line, i: F.when(head(line).isin(heads), i)))
-    return F.array_compact(F.flatten(F.transform(starts, at)))
+            return F.filter(known_texts, holds)
+
+        return F.transform(F.flatten(F.transform(pieces, held)), F.rtrim)
+
+    # Bound by lambdas, so that the text is cut and measured once.
+    measured = F.transform(F.array(cut), lambda p: F.struct(p.alias("pieces"), F.length(F.array_join(p, "")).alias("total")))
+    return F.transform(measured, inside)[0]
 
 
 def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
     """(doc_id, license_id, scope, n_units); licences: (license_id, digest), the known ones by default."""
-    licences = digests(docs.sparkSession) if licences is None else licences
+    # The known ones are a few thousand; a table of someone else's may be large.
+    licences = F.broadcast(digests(docs.sparkSession)) if licences is None else licences
     texts = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), normalised(F.col("text").cast("string")).alias("text"))
     one = lambda scope: lambda u: F.struct(F.lit(scope).alias("scope"), u.alias("unit"))
     units = F.concat(
@@ -219,7 +230,7 @@ def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
         F.transform(terms(docs.sparkSession, F.col("text")), one("passage")),
     )
     rows = texts.select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.scope", digest(F.col("u.unit")).alias("digest"))
-    found = rows.join(F.broadcast(licences), "digest")
+    found = rows.join(licences, "digest")
     return found.groupBy("doc_id", "license_id", "scope").agg(F.count("*").alias("n_units"))
 
 
