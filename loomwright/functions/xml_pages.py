@@ -114,8 +114,8 @@ def bounding_box(body: str) -> dict:
 def outline(content: bytes | None) -> dict:
     """The root element of a document, null if it is not well-formed, and the number of its pages, empty ones included."""
     try:
-        root = ElementTree.fromstring((content or b"").decode("utf-8", "replace"))
-    except ElementTree.ParseError:
+        root = ElementTree.fromstring(bytes(content or b""))  # in whatever encoding it says
+    except (ElementTree.ParseError, LookupError, ValueError):
         return {"root": None, "pages": 0}
     return {"root": str(root.tag), "pages": len(root.findall("diagram")) if root.tag == "mxfile" else 1}
 

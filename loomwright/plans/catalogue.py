@@ -484,6 +484,19 @@ def hourly_events(spark, d):
     return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.unix_timestamp("w.start").alias("hour_start"), "event_type", "n", "total")
 
 
+@query("SELECT CAST(epoch(time_bucket(INTERVAL 1 HOUR, ts)) AS BIGINT) AS hour_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def hourly_events_stream(spark, d):
+    """The same from a stream of files, which come one after the other without regard to time."""
+    from loomwright.streaming.incremental import hourly_by_stream
+
+    folder = f"{shared_folder(spark)}/events-{uuid.uuid4().hex}"
+    table(spark, d, "events").repartition(6, "event_id").write.parquet(folder)
+    hours, late = hourly_by_stream(spark, folder, late="100 years", files_per_batch=2)
+    if late:
+        raise RuntimeError(f"{late} events are late")
+    return hours.select("hour_start", "event_type", "n", F.round("total", 4).alias("total"))
+
+
 # Documents, packages and pictures made from the driver's rows, so that SQL knows what must come out
 
 

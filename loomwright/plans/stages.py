@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomwright.functions import images, markers, scalars, xml_pages
+from loomwright.functions import images, markers, png_stream, scalars, xml_pages
 from loomwright.operators import folds, quality, relational, states
 from loomwright.session import exists
 from loomwright.sources import tables
@@ -312,24 +312,29 @@ ROOTS = ("mxfile", "mxGraphModel", "diagram")
 
 
 def validated(files: DataFrame) -> DataFrame:
-    """errors and warnings of each paper from its files (arxiv_id, path, content); path is relative to the paper."""
+    """errors and warnings of each paper from its files (arxiv_id, path, content, and link, if links can be told); path is relative to the paper.
+
+    Checksums of pictures are tested, and their lines up to a number of pixels.
+    """
     top = F.split_part("path", F.lit("/"), F.lit(1))
     stem, number = F.regexp_extract("path", r"\Aimages/(.+)_p([0-9]{3,})\.png\z", 1), F.regexp_extract("path", r"\Aimages/(.+)_p([0-9]{3,})\.png\z", 2)
     files = files.withColumn("kind", top)
-    w, h = scalars.png_size(F.col("content"))
+    files = files if "link" in files.columns else files.withColumn("link", F.lit(False))
     drawn = files.filter("kind = 'drawio'").select("arxiv_id", F.regexp_extract("path", r"\Adrawio/(.+)\.drawio\z", 1).alias("stem"), xml_pages.document_outline(F.col("content")).alias("o")).select("arxiv_id", "stem", "o.pages", F.coalesce(F.col("o.root").isin(*ROOTS), F.lit(False)).alias("is_xml"))
-    shown = files.filter("kind = 'images'").select("arxiv_id", "path", stem.alias("stem"), F.expr("try_cast(regexp_extract(path, '_p([0-9]{3,})[.]png', 1) as int)").alias("page"), ((w > 0) & (h > 0)).alias("is_png"))
+    shown = files.filter("kind = 'images'").select("arxiv_id", "path", stem.alias("stem"), F.expr("try_cast(regexp_extract(path, '_p([0-9]{3,})[.]png', 1) as int)").alias("page"), png_stream.png_problem("content").alias("png"))
     pairs = shown.join(drawn, ["arxiv_id", "stem"], "left")
-    problem = F.when(~F.col("is_png"), F.concat(F.lit("not a PNG: "), "path")).when(F.col("pages").isNull() | F.coalesce(F.col("page") < 1, F.lit(True)), F.concat(F.lit("unmatched image: "), "path"))
+    broken = F.when(F.col("png.error") == "not a PNG", F.concat(F.lit("not a PNG: "), "path")).otherwise(F.concat(F.lit("broken PNG: "), "path", F.lit(": "), "png.error"))
+    problem = F.when(F.col("png.error").isNotNull(), broken).when(F.col("pages").isNull() | F.coalesce(F.col("page") < 1, F.lit(True)), F.concat(F.lit("unmatched image: "), "path"))
     late = F.when(F.col("page") > F.col("pages"), F.concat(F.lit("page beyond document: "), "path"))
-    of_images = pairs.select("arxiv_id", problem.alias("error"), late.alias("warning"))
+    large = F.when(F.col("png.warning").isNotNull(), F.concat("path", F.lit(": "), "png.warning"))
+    of_images = pairs.select("arxiv_id", problem.alias("error"), F.explode(F.array(late, large)).alias("warning"))
     of_drawn = drawn.select("arxiv_id", F.when((F.col("stem") == "") | ~F.col("is_xml"), F.concat(F.lit("not a diagram: "), "stem")).alias("error"), F.lit(None).cast("string").alias("warning"))
     have = files.groupBy("arxiv_id").agg(
-        F.collect_set("kind").alias("kinds"), F.max(F.when(F.col("path") == "paper.md", F.length(scalars.strip_space(F.decode("content", "ISO-8859-1"))))).alias("text"), F.count_if(F.col("kind") == "drawio").alias("drawio_files"), F.count_if(F.col("kind") == "images").alias("png_images")
+        F.collect_set("kind").alias("kinds"), F.bool_or("link").alias("links"), F.max(F.when(F.col("path") == "paper.md", F.length(scalars.strip_space(F.decode("content", "ISO-8859-1"))))).alias("text"), F.count_if(F.col("kind") == "drawio").alias("drawio_files"), F.count_if(F.col("kind") == "images").alias("png_images")
     )
     layout = have.select(
         "*",
-        scalars.reasons(("unexpected layout", F.size(F.array_except("kinds", F.array(*map(F.lit, LAYOUT)))) > 0), ("missing or empty text", F.coalesce("text", F.lit(0)) == 0), ("missing drawio", F.col("drawio_files") == 0), ("missing images", F.col("png_images") == 0)).alias("layout"),
+        scalars.reasons(("unexpected layout", F.size(F.array_except("kinds", F.array(*map(F.lit, LAYOUT)))) > 0), ("symbolic links", F.col("links")), ("missing or empty text", F.coalesce("text", F.lit(0)) == 0), ("missing drawio", F.col("drawio_files") == 0), ("missing images", F.col("png_images") == 0)).alias("layout"),
     )
     found = of_images.unionByName(of_drawn).groupBy("arxiv_id").agg(F.sort_array(F.collect_set("error")).alias("errors"), F.sort_array(F.collect_set("warning")).alias("warnings"))
     empty = F.array().cast("array<string>")

@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+import base64
+import json
 import time
+import uuid
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.functions.latex import LEAST_BYTES
+from loomwright.operators.relational import latest
+from loomwright.session import exists, file_at, settled
+from loomwright.sources.archives import located
+from loomwright.streaming.runs import Runs
 
 #: Seconds to wait for a busy service that does not say, the longest wait, and papers in one question.
 BUSY_WAIT, LONGEST_WAIT, CATEGORY_BATCH = 5.0, 60.0, 50
 ATOM = "{http://www.w3.org/2005/Atom}"
+ANSWERS = "arxiv_id string, content binary, attempts int, error string"
 
 #: What a service answers: status, headers and body.
 Answer = tuple[int, dict[str, str], bytes]
@@ -46,7 +55,7 @@ def asked(name: str, fetch: Callable[[str], Answer], retries: int, delay: float,
             error = f"status {status}" if status != 200 else refuse(body) if refuse else None
             if error is None:
                 return body, k, None
-        except OSError as e:
+        except Exception as e:  # whatever a service does is an answer about one paper, never the end of the job
             error = f"{type(e).__name__}: {e}"[:300]
         if k == retries or only_busy and status != 429:
             break
@@ -54,17 +63,85 @@ def asked(name: str, fetch: Callable[[str], Answer], retries: int, delay: float,
     return None, k, error
 
 
-def fetched(pending: DataFrame, fetch: Callable[[str], Answer], retries: int = 3, delay: float = 2.0, refuse: Callable[[bytes], str | None] | None = refusal, only_busy: bool = False, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """(arxiv_id, content, attempts, error) for ids: one row each, whether it came or not."""
+def fetched(pending: DataFrame, fetch: Callable[[str], Answer], retries: int = 3, delay: float = 2.0, refuse: Callable[[bytes], str | None] | None = refusal, only_busy: bool = False, sleep: Callable[[float], None] = time.sleep, rate: float | None = None, slots: int = 4, journal: str | None = None) -> DataFrame:
+    """(arxiv_id, content, attempts, error) for ids: one row each, whether it came or not.
+
+    With a ``rate``, all tasks together ask so many times a second at most: ids are dealt to
+    ``slots`` tasks, and each waits its share before every question, repeated ones included.
+    With a ``journal``, each answer is saved there before the next question.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = batch.column(0).to_pylist()
-            rows = [asked(n, fetch, retries, delay, refuse, only_busy, sleep) for n in names]
-            columns = list(zip(*rows)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.string())], ["arxiv_id", "content", "attempts", "error"])
+        due = [time.monotonic()]
 
-    return pending.select("arxiv_id").mapInArrow(run, "arxiv_id string, content binary, attempts int, error string")
+        def paced(name: str) -> Answer:
+            if rate:
+                wait = due[0] - time.monotonic()
+                if wait > 0:
+                    time.sleep(wait)
+                due[0] = max(due[0], time.monotonic()) + slots / rate
+            return fetch(name)
+
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                content, attempts, error = asked(name, paced, retries, delay, refuse, only_busy, sleep)
+                if journal:
+                    _save(journal, name, content, attempts, error)
+                yield pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([content], pa.binary()), pa.array([attempts], pa.int32()), pa.array([error], pa.string())], ["arxiv_id", "content", "attempts", "error"])
+
+    ids = pending.select("arxiv_id")
+    return (ids.repartition(slots, "arxiv_id") if rate else ids).mapInArrow(run, ANSWERS)
+
+
+def _save(journal: str, name: str, content: bytes | None, attempts: int, error: str | None) -> None:
+    """One answer as a file that is there whole or not at all."""
+    store, folder = located(journal)
+    store.create_dir(folder)
+    path = f"{folder}/{quote(name, safe='')}.json"
+    row = {"arxiv_id": name, "content": None if content is None else base64.b64encode(content).decode(), "attempts": attempts, "error": error}
+    part = f"{folder}/_{uuid.uuid4().hex}"  # names that begin so are not read
+    with store.open_output_stream(part) as out:
+        out.write(json.dumps(row).encode())
+    store.move(part, path)
+
+
+class Fetched:
+    """Answers of a service that outlast the job: saved one by one, then kept in runs.
+
+    A job that is killed leaves all answers that came; the next one asks only for what is
+    not there.  ``again`` asks once more for papers whose last answer was an error.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.journal = spark, f"{folder.rstrip('/')}/journal"
+        self.runs = Runs(spark, f"{folder.rstrip('/')}/answers", ANSWERS + ", batch int", lambda df: latest(df, "arxiv_id", ["batch"]))
+
+    def answers(self) -> DataFrame:
+        return self.runs.table().drop("batch")
+
+    def _keep(self) -> None:
+        """Move what is in the journal to a run."""
+        if not exists(self.spark, self.journal):
+            return
+        number = self.runs.newest() + 1
+        rows = self.spark.read.schema("arxiv_id string, content string, attempts int, error string").json(self.journal)
+        self.runs.add(rows.withColumn("content", F.unbase64("content")).withColumn("batch", F.lit(number)), number)
+        where, files = file_at(self.spark, self.journal)
+        files.delete(where, True)
+
+    def fetch(self, pending: DataFrame, fetch: Callable[[str], Answer], batch: int = 10_000, again: bool = False, **how) -> DataFrame:
+        """Answers for the ids, asked for in batches of so many papers."""
+        self._keep()  # of a job that ended before it could
+        done = self.runs.table().filter("error is null") if again else self.runs.table()
+        todo = pending.select("arxiv_id").distinct().join(done.select("arxiv_id"), "arxiv_id", "left_anti")
+        todo = settled(todo, "todo")
+        n = todo.count()
+        parts = -(-n // batch)
+        for b in range(parts):
+            some = todo.filter(F.pmod(F.xxhash64("arxiv_id"), F.lit(parts)) == b)
+            fetched(some, fetch, journal=self.journal, **how).write.format("noop").mode("overwrite").save()
+            self._keep()
+        return self.answers().join(pending.select("arxiv_id").distinct(), "arxiv_id", "left_semi")
 
 
 def packages(pending: DataFrame, fetch: Callable[[str], Answer], sleep: Callable[[float], None] = time.sleep) -> DataFrame:
@@ -107,8 +184,6 @@ def categories(papers: DataFrame, cached: DataFrame, fetch: Callable[[list[str]]
 
 def merged_manifests(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
     """One row for each output_key of many archives' manifests, the last by ``order``."""
-    from loomwright.operators.relational import latest
-
     return latest(rows, "output_key", order)
 
 
