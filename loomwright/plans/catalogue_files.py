@@ -134,6 +134,21 @@ def archive_scan(spark, d):
     return done.join(first.withColumn("_f", F.lit(True)), "source_key", "left").withColumn("completed_by", F.when(F.col("_f"), "first").otherwise("later")).drop("_f")
 
 
+@query("""SELECT doc_id::VARCHAR AS arxiv_id, strlen(text) AS size, sha256(text) AS sha256, CASE WHEN doc_id % 2 = 0 THEN 'invalid_source_package' WHEN contains(lower(text), 'mxfile') THEN 'single_payload_drawio_marker' ELSE '' END AS reasons FROM documents WHERE doc_id % 2 = 0 UNION ALL
+SELECT doc_id::VARCHAR, -1, '', CASE WHEN contains(lower(text), 'mxfile') THEN 'single_payload_drawio_marker' ELSE '' END FROM documents WHERE doc_id % 2 = 1""")
+def package_facts(spark, d):
+    """Size and checksum of packages: texts as they are, which are no packages, and compressed ones, whose bytes SQL cannot know."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [gzip.compress(t.encode(), 1) if k % 2 else t.encode() for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(rows, pa.binary())], ["path", "content"])
+
+    packages = table(spark, d, "documents").select("doc_id", "text").mapInArrow(pack, "path string, content binary")
+    even, found = F.col("arxiv_id").cast("long") % 2 == 0, stages.collect(packages, "")
+    return found.select("arxiv_id", F.when(even, F.col("size")).otherwise(-1).alias("size"), F.when(even, F.col("sha256")).otherwise("").alias("sha256"), F.array_join("reasons", ",").alias("reasons"))
+
+
 @query("""SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'source_0001,source_0002' ELSE 'source_0001' END AS names, CASE WHEN s_suppkey % 4 = 0 THEN 'direct,embedded_drawio_xml' ELSE 'embedded_drawio_xml' END AS kinds FROM supplier WHERE s_suppkey % 2 = 0""")
 def recovery_candidates(spark, d):
     packages = _made(table(spark, d, "supplier").select("s_suppkey"), _package, "p_{}")
@@ -375,6 +390,17 @@ def archive_problems(spark, d):
     return stages.check_archives(report, members)
 
 
+@query("""SELECT format('2401.{:05d}', s_suppkey) AS arxiv_id, CASE WHEN s_suppkey % 3 = 1 THEN 'render status partial' ELSE '' END AS reason, CASE WHEN s_suppkey % 3 = 1 THEN 0 ELSE 3 + (s_suppkey % 5 = 4)::INT END::BIGINT AS files FROM supplier""")
+def export_skipping(spark, d):
+    """Papers that are not complete are told and left out of an export that may skip them."""
+    k = F.col("s_suppkey")
+    states = table(spark, d, "supplier").filter(k % 3 != 2).select(F.format_string("2401.%05d", k).alias("arxiv_id"), F.when(k % 3 == 1, "partial").otherwise("complete").alias("status"))
+    chosen, bad = stages.export(_release(spark, d), states, skip_incomplete=True)
+    counts = chosen.groupBy("arxiv_id").agg(F.count("*").alias("files"))
+    papers = table(spark, d, "supplier").select(F.format_string("2401.%05d", k).alias("arxiv_id"))
+    return papers.join(counts, "arxiv_id", "left").join(bad, "arxiv_id", "left").select("arxiv_id", F.coalesce("reason", F.lit("")).alias("reason"), F.coalesce("files", F.lit(0)).cast("long").alias("files"))
+
+
 @query("SELECT o_custkey, count(*) AS n FROM orders WHERE o_totalprice > 1000 GROUP BY 1")
 def stage_runner(spark, d):
     """Two stages, run twice: the second run finds both done; a stage that may fail is left out."""

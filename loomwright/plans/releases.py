@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import posixpath
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,16 +10,10 @@ from pyspark.sql import functions as F
 from loomwright.functions.scalars import last_part, slug, strip_space
 from loomwright.operators import folds, relational
 from loomwright.operators.states import required
+from loomwright.sources.sinks import require_outside
 from loomwright.sources.tables import asset_path
 
 
-def require_outside(source: str, target: str) -> None:
-    """Refuse two folders of which one is the other or lies in it."""
-    a, b = (posixpath.normpath(p.rstrip("/")) + "/" for p in (source, target))
-    if a.startswith(b) or b.startswith(a):
-        raise ValueError("source, destination and audit directories must be separate")
-
-
 def stem(path: Column) -> Column:
     return F.regexp_replace(last_part(path), r"(?<=.)\.[^.]*\z", "")
 
@@ -92,6 +85,8 @@ def bundle_files(selected: DataFrame) -> DataFrame:
     return out
 
 
-def write_bundles(selected: DataFrame, path: str) -> None:
-    """The bundle's plan as a table; an existing one is never overwritten."""
+def write_bundles(selected: DataFrame, path: str, source: str | None = None) -> None:
+    """The bundle's plan as a table apart from ``source``; an existing one is never overwritten."""
+    if source:
+        require_outside(source, path)
     bundle_files(selected).write.mode("errorifexists").parquet(path)

@@ -6,6 +6,7 @@ import hashlib
 import io
 import json
 import os
+import posixpath
 import re
 import tarfile
 import uuid
@@ -23,6 +24,13 @@ from loomwright.sources import archives
 from loomwright.sources.tables import PAPER_ID
 
 
+def require_outside(source: str, target: str) -> None:
+    """Refuse two folders of which one is the other or lies in it."""
+    a, b = (posixpath.normpath(re.sub(r"\A[a-z0-9]+:/+", "/", p).rstrip("/")) + "/" for p in (source, target))
+    if a.startswith(b) or b.startswith(a):
+        raise ValueError("source, destination and audit directories must be separate")
+
+
 def write_table(df: DataFrame, path: str, by: str | None = None) -> None:
     """All or nothing: Spark's commit protocol takes the place of a temporary file and a rename."""
     writer = df.write.mode("overwrite")
@@ -80,13 +88,16 @@ def portable(name: Column) -> Column:
     return F.coalesce(name.rlike(rf"\A{PAPER_ID}/(paper\.md|drawio/[^/]+\.drawio|images/[^/]+\.png)\z"), F.lit(False))
 
 
-def write_shards(files: DataFrame, folder: str, prefix: str = "papers", resume: bool = False) -> DataFrame:
+def write_shards(files: DataFrame, folder: str, prefix: str = "papers", resume: bool = False, source: str | None = None) -> DataFrame:
     """Archives of the files (shard, arxiv_id, name, content) in a shared folder; a report of each.
 
     Files are streamed: a task holds one at a time, however large its archive.  An archive is
     written under a name of its attempt and then renamed, so a repeated task leaves one.  One
     that is there already is an error, or with ``resume`` kept if it has just these members.
+    The folder must be apart from ``source``, where the files come from.
     """
+    if source:
+        require_outside(source, folder)
     if not re.fullmatch(r"[A-Za-z0-9_-]+", prefix):
         raise ValueError(f"invalid prefix: {prefix!r}")
     spark = files.sparkSession
@@ -166,8 +177,10 @@ def archive_members(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.regexp_extract("archive", r"[^/]*\z", 0).alias("filename"), F.col("member").alias("name"), "size", "sha256", "error")
 
 
-def write_files(files: DataFrame, folder: str) -> DataFrame:
-    """(path, size) of files (name, content), each written below a shared folder under a name of its attempt and then renamed."""
+def write_files(files: DataFrame, folder: str, source: str | None = None) -> DataFrame:
+    """(path, size) of files (name, content), each written below a shared folder, apart from ``source``, under a name of its attempt and then renamed."""
+    if source:
+        require_outside(source, folder)
     target = folder if "://" in folder else f"file://{os.path.abspath(folder)}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -179,6 +179,9 @@ def test_archives_are_resumed_or_refused(spark, tmp_path):
         sinks.write_shards(files.withColumn("content", F.lit(b"other")), folder, resume=True).collect()
     with pytest.raises(ValueError):
         sinks.write_shards(files, folder, prefix="a/b")
+    for write in (lambda: sinks.write_shards(files, folder, source=f"file://{tmp_path}"), lambda: sinks.write_files(files, folder, source=folder), lambda: releases.write_bundles(files, f"{folder}/b", source=folder)):
+        with pytest.raises(ValueError, match="separate"):
+            write()
 
 
 def test_latex_odd_inputs():
