@@ -11,7 +11,11 @@ pass over the pages of their hosts):
 texts that stay the same on most pages are constant and belong to the template, nodes
 whose text varies are slots.  The content is the slot region that holds the bulk of the
 varying text off links; a page's text is what its own nodes carry there, without its
-constants and without elements that are known not to be the article.
+constants and without elements that are known not to be the article.  Where pages mark their
+article themselves, only whole blocks that are the same on ``NOTICE`` of a host's pages are
+left out of it, never cells, headings or parts of a block.  A template keeps at most
+``NODES`` nodes: optional ones that the fewest pages have go first, and what is matched to
+none is a page's own text.
 
 Templates are built where pages are read, one for each host and task, and merged in
 levels of bounded groups, so a host with a third of all pages is never gathered.
@@ -47,6 +51,9 @@ TEXTS, NODES = 48, 1500
 LOST = 0.25
 #: A text is constant on more than this share of at least so many pages.
 SHARE, PAGES = 0.5, 4
+#: Inside of an article, a notice is a whole block that is the same on this share of pages; a cell or a heading is none.
+NOTICE = 0.9
+CELLS = frozenset("td th caption h1 h2 h3 h4 h5 h6 dt".split())
 GROUP, SENT_BYTES = 128, 16 << 20
 
 BLOCKS = frozenset(
@@ -54,7 +61,9 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that never hold article text.
-NEVER = frozenset("script style noscript template iframe object svg math canvas audio video head title nav footer aside form button select textarea input datalist dialog menu search map".split())
+NEVER = frozenset("script style noscript template iframe object svg canvas audio video head title nav footer aside form button select textarea input datalist dialog menu search map annotation annotation-xml".split())
+#: Of these, what stands in a line of text, which goes on behind it.
+INLINE = frozenset("svg canvas audio video object map button select annotation annotation-xml".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Words of class, id and role that mark what is not the article.
 OUTSIDE = frozenset(
@@ -64,6 +73,12 @@ OUTSIDE = frozenset(
 INSIDE = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup nav navbar breadcrumb breadcrumbs comment comments disqus respond replies share sharing social pagination pager toolbar".split())
 #: What may stand beside such a word in a compound one without changing what it says.
 BESIDE = frozenset("site page main left right top bottom inner outer box block bar area section wrap wrapper container list item items link links slot unit group panel module content primary secondary global local fixed sticky mobile desktop".split())
+#: Words that mark readers' comments in whatever compound, but for those that only tell whether there can be any, on these elements.
+COMMENTS = frozenset("comment comments commentlist commenters disqus".split())
+ABOUT_COMMENTS = frozenset("no has open opened closed enabled disabled with without off on allow allowed status".split())
+BOXES = frozenset("div section ol ul li dl table aside form footer details".split())
+#: Words that mark what is not the article only where the element's text is mostly links.
+SOFT = frozenset("menu side rail".split())
 HEADER = frozenset(("header", "topbar", "banner"))
 CLOSES_P = BLOCKS - {"html", "body", "li", "dt", "dd", "tr", "td", "th", "thead", "tbody", "tfoot", "caption", "figcaption", "summary"} | {"li", "dt", "dd"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -74,16 +89,24 @@ NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 WORD = re.compile(r"[a-z]+")
 
 
-def says_outside(names: list[str], inside: bool) -> bool:
-    """Whether class, id or role names mark what is not the article: such a word alone, or in a compound with neutral ones."""
+def says_outside(names: list[str], inside: bool, tag: str = "div") -> bool:
+    """Whether class, id or role names mark what is not the article: such a word alone, or in a compound with neutral ones; of comments, in any compound."""
     marks = INSIDE if inside else OUTSIDE
     for name in names:
         words = WORD.findall(name)
         if words and any(w in marks for w in words) and all(w in OUTSIDE or w in BESIDE for w in words):
             return True
+        if tag in BOXES and not COMMENTS.isdisjoint(words) and ABOUT_COMMENTS.isdisjoint(words):
+            return True
     return False
 
 
+def only_soft(names: list[str]) -> bool:
+    """Whether nothing but soft words says that an element is not the article."""
+    hard = [n for n in names if SOFT.isdisjoint(WORD.findall(n))]
+    return not says_outside(hard, False) and all(w in SOFT or w in BESIDE for n in names if n not in hard for w in WORD.findall(n))
+
+
 class Node:
     """An element that makes a block, or (tag ``#``) a run of text inside one."""
 
@@ -101,6 +124,7 @@ def parse(page: str) -> Node:
     stack: list[tuple[str, Node]] = [("html", root)]  # open elements, inline ones too
     text: list[str] = []
     opened: Counter[str] = Counter()  # how many of each are in the stack
+    softened: list[Node] = []
     linked, in_link, hidden, at = 0, 0, 0, 0
 
     def flush() -> None:
@@ -117,7 +141,7 @@ def parse(page: str) -> Node:
     def pop() -> None:
         nonlocal in_link, hidden
         tag, node = stack[-1]
-        if tag in BLOCKS:
+        if tag in BLOCKS and not hidden:
             flush()
         stack.pop()
         opened[tag.lstrip("!")] -= 1
@@ -156,7 +180,8 @@ def parse(page: str) -> Node:
             if tag == "br":
                 text.append(" ")
             elif tag == "p" and not opened["p"]:
-                flush()
+                if not hidden:
+                    flush()
             elif tag not in ("html", "body"):
                 close({tag}, set())
             continue
@@ -170,7 +195,7 @@ def parse(page: str) -> Node:
         if tag in VOID:
             if tag in ("br", "wbr") and not hidden:
                 text.append(" " if tag == "br" else "")
-            elif tag == "hr":
+            elif tag == "hr" and not hidden:
                 flush()
             continue
         if tag in ("html", "body"):
@@ -179,7 +204,7 @@ def parse(page: str) -> Node:
             close({"p"}, {"table", "td", "th", "button"})
         if tag in SIBLINGS:
             close(SIBLINGS[tag], STOPS[tag])
-        if attributes.rstrip().endswith("/") and tag in NEVER:
+        if attributes.rstrip().endswith("/") and (tag in NEVER or tag == "math"):
             continue
         names: list[str] = []
         if attributes:
@@ -187,12 +212,17 @@ def parse(page: str) -> Node:
                 names += (a.group(2) or a.group(3) or a.group(4) or "").lower().split()
         words = [w for n in names for w in WORD.findall(n)]
         inside = bool(opened["article"] or opened["main"])
-        outside = tag in NEVER or says_outside(names, inside or tag in ("main", "article"))
+        outside = tag in NEVER or says_outside(names, inside or tag in ("main", "article"), tag)
+        soft = outside and tag in BLOCKS and tag not in NEVER and only_soft(names)
+        outside = outside and not soft
         if not outside and not inside and (tag == "header" or HEADER & set(words)):
             outside = True
-        if tag in BLOCKS or outside and tag in NEVER:
-            flush()
+        if tag in BLOCKS or outside and tag in NEVER and tag not in INLINE:
+            if not hidden:
+                flush()
             node = Node(tag + ("." + ".".join(sorted(set(words))) if words else ""), tag, outside)
+            if soft:
+                softened.append(node)
             if not hidden and len(stack) < DEPTH:
                 stack[-1][1].items.append(node)
             elif not hidden:
@@ -210,9 +240,22 @@ def parse(page: str) -> Node:
     while len(stack) > 1:
         pop()
     flush()
+    for node in softened:
+        own, links = measured(node)
+        node.outside = 2 * links >= own
     return root
 
 
+def measured(node: Node) -> tuple[int, int]:
+    """(characters, characters in links) of all text below a node."""
+    own, links, left = 0, 0, [node]
+    while left:
+        n = left.pop()
+        own, links = own + len(n.text), links + n.links
+        left += n.items
+    return own, links
+
+
 class Slot:
     """A node of a template."""
 
@@ -351,8 +394,8 @@ class Template:
             self.slots = prune(self.slots, self.pages)
         return self
 
-    def constant(self, slot: Slot | None, text: str) -> bool:
-        return slot is not None and self.pages >= PAGES and slot.texts.get(_key(text), 0) > SHARE * self.pages
+    def constant(self, slot: Slot | None, text: str, share: float = SHARE) -> bool:
+        return slot is not None and self.pages >= PAGES and slot.texts.get(_key(text), 0) > share * self.pages
 
     def numbered(self) -> list[Slot]:
         """All slots, in an order that stays."""
@@ -366,8 +409,8 @@ class Template:
         """By slot number, the texts whose counts do not tell whether they are constant."""
         if self.pages < PAGES:
             return {}
-        least = SHARE * self.pages
-        found = {k: {t for t, n in s.texts.items() if n <= least < n + s.lost} for k, s in enumerate(self.numbered()) if s.lost}
+        least = (SHARE * self.pages, NOTICE * self.pages)
+        found = {k: {t for t, n in s.texts.items() if any(n <= x < n + s.lost for x in least)} for k, s in enumerate(self.numbered()) if s.lost}
         return {k: texts for k, texts in found.items() if texts}
 
     def content(self) -> Slot | None:
@@ -431,7 +474,7 @@ def extract(page: str, template: Template | None) -> str:
     region = template.content() if template else None
     blocks: list[tuple[str, bool, bool]] = []  # text, in the region, constant
 
-    def walk(nodes: list[Node], slots: list[Slot], inside: bool) -> None:
+    def walk(nodes: list[Node], slots: list[Slot], inside: bool, block: Node, article: bool) -> None:
         runs = groups(nodes)
         of = align(runs, slots)
         for k, (first, run) in enumerate(runs):
@@ -441,11 +484,13 @@ def extract(page: str, template: Template | None) -> str:
                 if n.outside:
                     continue
                 if n.tag == "#":
-                    blocks.append((n.text, here, bool(template) and template.constant(slot, n.text)))
+                    # Inside an article only whole blocks can be notices.
+                    can = not article or len(nodes) == 1 and block.tag not in CELLS
+                    blocks.append((n.text, here, bool(template) and can and template.constant(slot, n.text, NOTICE if article else SHARE)))
                 else:
-                    walk(n.items, slot.items if slot else [], here)
+                    walk(n.items, slot.items if slot else [], here, n, article or n.tag in ("article", "main"))
 
-    walk(root.items, template.slots if template else [], False)
+    walk(root.items, template.slots if template else [], False, root, False)
     chosen = [(t, c) for t, here, c in blocks if here] or [(t, c) for t, _, c in blocks]
     varying = [t for t, c in chosen if not c]
     # Where nearly all of an article is constant, the host holds copies of it, not a template.
