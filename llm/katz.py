@@ -319,9 +319,19 @@ def answer_words(asked: DataFrame, buckets: int) -> DataFrame:
 
 
 def _stats(answers: DataFrame, width: int) -> np.ndarray:
-    """Sum of the statistics of all buckets: one row of a few numbers for each."""
-    rows = answers.filter("kind = 1").select("answer").toArrow()["answer"]
-    return sum((np.frombuffer(x.as_buffer(), np.int64) for x in rows), np.zeros(width, np.int64))
+    """Sum of the statistics of all buckets, position by position, so that only ``width`` rows come to the driver."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                total += np.frombuffer(x.as_buffer(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(total)], ["at", "n"])
+
+    rows = answers.filter("kind = 1").select("answer").mapInArrow(tidied(add), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(width, np.int64)
+    out[rows["at"].to_numpy()] = rows["n"].to_numpy()
+    return out
 
 
 def ordered(answers: DataFrame, name: str) -> DataFrame:
