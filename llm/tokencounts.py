@@ -110,8 +110,17 @@ def vocabulary_counts(docs: DataFrame, version: str, tokenizer_path: str) -> Dat
 
 
 def inserts(counts: DataFrame, version: str, sign: int = 1) -> DataFrame:
-    """Changes from a table with a count column for each version."""
-    return counts.select("source", "lang", F.lit(version).alias("tokenizer"), F.lit(sign).alias("sign"), F.col(version).alias("n_tokens"))
+    """Changes from a table with a count column for each version; ``n``, if there is one, is how many documents a row stands for."""
+    times = F.col("n") * sign if "n" in counts.columns else F.lit(sign)
+    return counts.select("source", "lang", F.lit(version).alias("tokenizer"), times.alias("sign"), F.col(version).alias("n_tokens"))
+
+
+def firsts(counts: DataFrame) -> DataFrame:
+    """(source, lang, counts, n) of the rows with the least id of each text, as aggregates that combine before their shuffles: no join meets a frequent text."""
+    same = counts.groupBy("digest", "doc_id", "source", "lang", *VERSIONS).agg(F.count("*").alias("n"))
+    # Rows of one text and id differ in source and language only.
+    of_id = same.groupBy("digest", "doc_id").agg(F.collect_list(F.struct("source", "lang", *VERSIONS, "n")).alias("rows"))
+    return of_id.groupBy("digest").agg(F.min_by("rows", "doc_id").alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -124,13 +133,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch 1 inserts all documents, 2 deletes later copies of a text, 3 revises what is left to the next version; 2 comes twice."""
     scratch = Scratch(spark, "tokencounts")
     counts = scratch.put(counted(table(spark, sf_dir, "documents")), "counts")
-    first = counts.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1")
-    marked = scratch.put(counts.join(first.drop("n"), "digest", "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))), "marked")
+    named = F.col("digest").isNotNull() & F.col("doc_id").isNotNull()
+    first = scratch.put(firsts(counts.filter(named)), "firsts")
     rollup = Rollup(spark, f"{scratch.root}/deltas")
     rollup.commit(1, inserts(counts, "words-1"))
-    for _ in range(2):
-        rollup.commit(2, inserts(marked.filter("copy"), "words-1", -1))
-    kept = marked.filter("not copy")
+    for _ in range(2):  # all, but for the first ones
+        rollup.commit(2, inserts(counts.filter(named), "words-1", -1).unionByName(inserts(first, "words-1")))
+    kept = counts.filter(~named).select("source", "lang", *VERSIONS).withColumn("n", F.lit(1).cast("long")).unionByName(first)
     rollup.commit(3, inserts(kept, "words-1", -1).unionByName(inserts(kept, "words-2")))
     return rollup.totals()
 
