@@ -35,7 +35,8 @@ from llm.common import Scratch, table
 SAMPLE = 4000
 RADIUS = 30
 SUBSTRINGS = 8
-BLOCK, QUERY_BLOCK = 16_384, 2_048
+#: Entries of an index block and queries that visit it at once: a block of the index travels once for each block of queries.
+BLOCK, QUERY_BLOCK = 16_384, 16_384
 RESULT = "query_id long, vec_id long, score double"
 
 

@@ -5,13 +5,15 @@ class, and only one of a class goes on.  Each element of a set draws correlated
 permutation ranks: in round j it offers its j-th random number plus j to the j-th place
 of its own random permutation of the signature, and a document stops as soon as no later
 round can lower any place.  Classes that share a band of the signature are candidates;
-whole sets decide.
+whole sets decide.  Bands are chosen so that a link at the threshold shares none with a
+chance of ``MISS``; links above it are rarer still to be missed.  There is no second way
+to such a link.
 
 Candidate clusters (connected by shared bands) are compared exactly: small ones in one
 task with others, large ones in chunks of bounded size, whose linked parts then meet
 through one member each, until nothing joins any more; what is still apart is then
 compared in blocks, each document of all but the largest part with every document of the
-cluster, so no link between different parts is lost and no pair inside a part is made.
+cluster, so no link between candidates of different parts is lost and no pair inside a part is made.
 
 Null text and text without words give the empty set, linked with nothing.  Rows with a
 null id are left out.  A repeated id is one document that has the links of all its rows;

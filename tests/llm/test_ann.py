@@ -41,3 +41,33 @@ def test_pigeonhole():
         block = ann.Block(codes, radius)
         far = np.bitwise_count(codes ^ codes[5]).sum(axis=1)
         assert set(block.within(codes[5])) == set(np.flatnonzero(far <= radius))
+
+
+def test_recall_over_several_blocks(spark):
+    """20,000 nearly uniform vectors in several blocks of index and queries."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(20_000, 64)).astype(np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    old, ann.QUERY_BLOCK = ann.QUERY_BLOCK, 300
+    try:
+        found = {}
+        for r in ann.nearest(df, df.filter("vec_id % 50 = 0"), block=6_000).orderBy("query_id", "rank").collect():
+            found.setdefault(r.query_id, []).append(r.vec_id)
+    finally:
+        ann.QUERY_BLOCK = old
+    truth = exact(rows, [r for r in rows if r[0] % 50 == 0], 20)
+    assert set(found) == set(truth) and all(len(v) == 20 for v in found.values())
+    assert np.mean([len(set(truth[q]) & set(found[q])) / 20 for q in truth]) >= 0.9
+
+
+def test_repeated_ids_with_other_vectors(spark):
+    rows = [(i % 10, [float(i), float(i * i % 7), 1.0]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, df.filter("vec_id = 3"), k=40, radius=64).collect():
+        got.setdefault(r.query_id, []).append((round(r.score, 6), r.vec_id))
+    assert set(got) == {3} and all(v != 3 for _, v in got[3])
+    best = max(float(np.dot(v, w)) for i, v in rows for j, w in rows if i == 3 and j != 3)
+    assert max(got[3])[0] == round(best, 6)
