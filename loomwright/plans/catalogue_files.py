@@ -283,6 +283,43 @@ def image_moments(spark, d):
     return f.select("s_suppkey", F.col("png_w").cast("long").alias("png_w"), (F.col("image_error") != "").alias("failed"), "ink_ratio", "gray_mean", "gray_std")
 
 
+def _pattern(k: int) -> bytes:
+    """A picture of 64 x 64 grey values that look like noise."""
+    y, x = np.arange(64)[:, None], np.arange(64)[None, :]
+    pixels = ((k * 7919 + y * y * 31 + x * x * 17 + x * y * 13) % 251).astype(np.uint8)
+    chunk = lambda n, b: struct.pack(">I", len(b)) + n + b + struct.pack(">I", zlib.crc32(n + b))
+    raw = b"".join(b"\0" + r.tobytes() for r in pixels)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 64, 64, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+
+
+#: The hashes by sums over pixels: Lanczos weights for 32, 9 and 8 places, the cosine transform, its median, and neighbours' order.
+_HASHES_SQL = """
+WITH n64 AS (SELECT unnest(range(64)) AS i), px AS (SELECT s_suppkey AS k, a.i AS y, b.i AS x, (s_suppkey * 7919 + a.i * a.i * 31 + b.i * b.i * 17 + a.i * b.i * 13) % 251 AS v FROM supplier, n64 a, n64 b),
+t AS (SELECT n, a.i AS i, b.i AS j, (b.i + 0.5 - (a.i + 0.5) * 64 / n) * n / 64 AS t FROM (SELECT unnest([32, 9, 8])::DOUBLE AS n) s, n64 a, n64 b WHERE a.i < n),
+raw AS (SELECT n, i, j, CASE WHEN abs(t) >= 3 THEN 0 WHEN t = 0 THEN 1 ELSE sin(pi() * t) / (pi() * t) * sin(pi() * t / 3) / (pi() * t / 3) END AS r FROM t),
+w AS (SELECT n, i, j, r / sum(r) OVER (PARTITION BY n, i) AS w FROM raw),
+down AS (SELECT k, n, i AS y, x, sum(w * v) AS v FROM px JOIN w ON j = y WHERE n <> 9 GROUP BY ALL),
+small AS (SELECT k, d.n, y, i AS x, least(255, greatest(0, round_even(sum(w * v), 0))) AS v FROM down d JOIN w ON j = x AND w.n = CASE WHEN d.n = 32 THEN 32 ELSE 9 END GROUP BY ALL),
+c AS (SELECT a.i AS u, b.i AS j, cos(pi() * (2 * b.i + 1) * a.i / 64) * sqrt(CASE WHEN a.i = 0 THEN 1 ELSE 2 END / 32.0) AS c FROM n64 a, n64 b WHERE a.i < 8 AND b.i < 32),
+rows_ AS (SELECT k, u, x, sum(c * v) AS v FROM small JOIN c ON j = y WHERE n = 32 GROUP BY ALL),
+low AS (SELECT k, rows_.u, c.u AS v, sum(c * rows_.v) AS s FROM rows_ JOIN c ON j = x GROUP BY ALL),
+high AS (SELECT k, u, v, u + v > 0 AND s > median(s) FILTER (u + v > 0) OVER (PARTITION BY k) AS bit FROM low),
+bits AS (SELECT k, 'p' AS kind, u AS y, v AS x, bit FROM high UNION ALL
+  SELECT k, 'd', y, x - 1, v > lag(v) OVER (PARTITION BY k, y ORDER BY x) FROM small WHERE n = 8 QUALIFY x > 0),
+digits AS (SELECT k, kind, y, x // 4 AS half, sum(CASE WHEN bit THEN 8 >> (x % 4)::INT ELSE 0 END)::INT AS d FROM bits GROUP BY ALL),
+hex_ AS (SELECT k, kind, string_agg(substr('0123456789abcdef', d + 1, 1), '' ORDER BY y, half) AS h FROM digits GROUP BY ALL),
+thumbs AS (SELECT k, sha256(from_hex(string_agg(format('{:02x}', v), '' ORDER BY y, x))) AS thumbnail FROM px GROUP BY k)
+SELECT p.k AS s_suppkey, p.h AS phash, d.h AS dhash, thumbnail FROM hex_ p JOIN hex_ d ON d.k = p.k AND d.kind = 'd' JOIN thumbs ON thumbs.k = p.k WHERE p.kind = 'p'"""
+
+
+@query(_HASHES_SQL)
+def picture_hashes(spark, d):
+    """Both hashes of pictures, and their thumbnails, which for these are the pictures themselves."""
+    pictures = _made(table(spark, d, "supplier").select("s_suppkey"), _pattern, "{}")
+    f = pictures.select(F.col("path").cast("long").alias("s_suppkey"), images.image_features("content").alias("f"))
+    return f.select("s_suppkey", "f.phash", "f.dhash", F.sha2("f.thumbnail", 256).alias("thumbnail"))
+
+
 @query("""SELECT s_suppkey, CASE WHEN s_suppkey % 6 = 5 THEN '' ELSE size || ',' || (size // 2 + greatest(4, round_even(0.02 * (size // 2), 0)::INT)) END AS sides FROM (SELECT s_suppkey, 64 * (s_suppkey % 3 + 1) AS size FROM supplier)""")
 def model_views(spark, d):
     pictures = _made(table(spark, d, "supplier").select("s_suppkey"), _grey, "{}")

@@ -8,7 +8,9 @@ the worker adopts orphans, so descendants can be told by their parents.
 
 from __future__ import annotations
 
+import base64
 import ctypes
+import json
 import os
 import signal
 import subprocess
@@ -147,3 +149,26 @@ def converter(command: list[str], seconds: float) -> Callable[[str], tuple[int,
         return (127, "", e.error) if e.error else (e.returncode, e.output.decode("utf-8", "replace"), e.messages)
 
     return convert
+
+
+def renderer(command: list[str]) -> Callable[[list[tuple[str, str, float]], float], dict[str, bytes]]:
+    """A renderer of pages that is a program: it reads lines of JSON (key, body, scale) and writes lines (key, image in base64).
+
+    Whatever it has written when its time is over counts; lines that are not whole do not.
+    """
+
+    def render(items: list[tuple[str, str, float]], seconds: float) -> dict[str, bytes]:
+        lines = "".join(json.dumps({"key": k, "body": b, "scale": s}) + "\n" for k, b, s in items)
+        e = supervised(command, lines.encode(), seconds)
+        if e.error:
+            raise OSError(e.error)
+        out = {}
+        for line in e.output.splitlines():
+            try:
+                row = json.loads(line)
+                out[row["key"]] = base64.b64decode(row["image"], validate=True)
+            except (ValueError, KeyError, TypeError):
+                pass
+        return out
+
+    return render

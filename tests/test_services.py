@@ -66,6 +66,28 @@ def _short(code):
         processes.GRACE = before
 
 
+RENDERS = """
+import base64, json, sys, time
+for line in sys.stdin:
+    r = json.loads(line)
+    if r["body"] == "hang": time.sleep(600)
+    if r["body"] == "crash": sys.exit(3)
+    print(json.dumps({"key": r["key"], "image": base64.b64encode(r["body"].encode() * 300).decode()}), flush=True)
+print('{"key": "x", "ima')
+"""
+
+
+def test_pages_are_rendered_by_a_program(monkeypatch):
+    monkeypatch.setattr(processes, "GRACE", 0.3)
+    monkeypatch.setattr(stages, "CALL_SECONDS", 1.0)
+    monkeypatch.setattr(stages, "FILE_SECONDS", 0.2)
+    items = [(f"k{i}", b, 2.0) for i, b in enumerate(["one", "two", "crash", "three", "hang", "four"])]
+    got = stages.render_all(items, processes.renderer(python(RENDERS)))
+    assert {k: bool(image) for k, (image, _) in got.items()} == {f"k{i}": i not in (2, 4) for i in range(6)}
+    assert got["k2"][1] and got["k4"][1] and not sleepers()
+    assert all(e and "FileNotFoundError" in e for _, e in stages.render_all(items[:2], processes.renderer(["/no/such/program"])).values())
+
+
 def noted(folder, kill=None):
     """A service that notes each question; at one name the first worker dies."""
 
