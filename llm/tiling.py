@@ -7,9 +7,12 @@ longest matches of words not marked yet, these are marked in both texts, and aga
 shorter ones down to ``least`` words.  Tiles need not be in order, so a reordered passage
 counts in full.  An item whose share of marked words reaches ``coverage`` is contained.
 
-Items are read in blocks of bounded size, each sent whole to all tasks; the documents
-pass once for each block, so the benchmark may be of any size and is never cut.  Where
-there is more than one block, each is written before the next one is read.
+Items of up to ``BLOCK_WORDS`` words are sent whole to all tasks, which join documents with
+them as they are read.  A larger benchmark is joined by shuffles: a map of fixed size says
+which seeds any item has; documents without such a seed are let go where they are read, the
+seeds of the others meet the items' seeds, pairs that share enough of an item's words come
+together with both texts, and are tiled.  The documents are read once either way, and the
+benchmark is never cut.
 
 An item of fewer than ``least`` words is found where all of it occurs, word after word;
 one without words never is.  Null texts are empty.  Rows with a
@@ -19,9 +22,7 @@ can give a row each.  Empty tables give no rows.  Other columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from llm.textcodes import BASE, byte_chunks, lower, mix, prefix, spans_code
 
 LEAST = 5
 COVERAGE = 0.5
-#: Words of items that are sent to the tasks at once.
+#: Words of items that are sent to the tasks.
 BLOCK_WORDS = 2_000_000
 
 _SOLID = np.zeros(256, bool)
@@ -130,14 +131,107 @@ def contained(docs: DataFrame, items: DataFrame, least: int = LEAST, coverage: f
     docs = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     items = items.filter("item_id is not null and text is not null").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     words = items.agg(F.sum(F.size(F.split("text", r"[^\p{L}\p{N}]+")))).first()[0] or 0
-    blocks = max(1, math.ceil(words / block_words))
     if not words:
         return spark.createDataFrame([], RESULT)
-    scratch, parts = Scratch(spark, "tiling"), []
-    for b in range(blocks):
-        part = _contained(docs, items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id").toArrow(), least, coverage)
-        parts.append(scratch.put(part, f"block-{b}") if blocks > 1 else part)
-    return reduce(DataFrame.unionAll, parts)
+    if words <= block_words:
+        return _contained(docs, items.orderBy("item_id").toArrow(), least, coverage)
+    return _joined(docs, items, least, coverage)
+
+
+def held(item: np.ndarray, text: np.ndarray, places: np.ndarray, start: np.ndarray, size: int, least: int, coverage: float) -> tuple | None:
+    """(n_matched, n_words, coverage, n_tiles, starts, ends) if a text of ``size`` bytes, whose words begin at ``start``, holds an item; ``places`` are those of shared seeds in it."""
+    shortest = min(least, len(item))
+    reach = np.zeros(len(item), bool)
+    for p in places:
+        reach[p : p + shortest] = True
+    if reach.sum() < coverage * len(item):
+        return None  # tiles lie within the shared seeds
+    tiles = sorted(tile(item, text, shortest), key=lambda x: x[1])
+    n = sum(x[2] for x in tiles)
+    if n < coverage * len(item):
+        return None
+    ends = [int(start[q + m] if q + m < len(start) else size) for _, q, m in tiles]
+    return n, len(item), n / len(item), len(tiles), [int(start[q]) for _, q, _ in tiles], ends
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * 8
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "item_id", "n_matched", "n_words", "coverage", "n_tiles", "starts", "ends"])
+
+
+def seeds_of(codes: np.ndarray, at: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(seed, row, place in its row) of all runs of so many words that lie in one row."""
+    seed, row, place = [], [], []
+    for k in lengths:
+        gram = grams(codes, k)
+        where = np.arange(len(gram))
+        mine = np.searchsorted(at, where, "right") - 1
+        whole = where + k <= at[mine + 1] if len(gram) else where.astype(bool)
+        seed.append(gram[whole])
+        row.append(mine[whole])
+        place.append((where - at[mine])[whole] if len(gram) else where)
+    return tuple(np.concatenate([*x, np.zeros(0, t)]).astype(t) for x, t in ((seed, np.uint64), (row, np.int64), (place, np.int64)))
+
+
+def _joined(docs: DataFrame, items: DataFrame, least: int, coverage: float) -> DataFrame:
+    """The same by a join on seeds, for benchmarks that no task can hold."""
+    from llm.collocations import _full, _place, bit_map
+
+    scratch = Scratch(docs.sparkSession, "tiling")
+    items = scratch.put(items.withColumn("i", F.monotonically_increasing_id()), "items")
+
+    def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, data, offsets in byte_chunks(batch.column(1)):
+                codes, _, at = tokens(data, offsets)
+                n = np.diff(at)
+                # An item of a few words has one seed, itself.
+                seed, row, place = seeds_of(codes, at, list(range(1, least + 1)))
+                size = np.concatenate([np.full(len(grams_), k) for k, grams_ in _lengths(codes, at, least)]) if len(seed) else seed.astype(np.int64)
+                mine = size == np.minimum(n[row], least)
+                number = batch.column(0).to_numpy()[low : low + len(n)]
+                yield pa.RecordBatch.from_arrays([pa.array(seed[mine].view(np.int64)), pa.array(number[row[mine]]), pa.array(place[mine]), pa.array(n[row[mine]])], ["code", "i", "place", "words"])
+
+    seeds = scratch.put(items.select("i", "text").mapInArrow(tidied(item_seeds), "code long, i long, place long, words long"), "seeds")
+    lengths = sorted(r[0] for r in seeds.select(F.least("words", F.lit(least))).distinct().collect())  # ``least`` at most
+    known = bit_map(seeds)
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, data, offsets in byte_chunks(batch.column(1)):
+                codes, _, at = tokens(data, offsets)
+                seed, row, _ = seeds_of(codes, at, lengths)
+                some = _full(known.value, _place(seed))
+                pairs = np.unique(np.stack([row[some].astype(np.uint64), seed[some]]), axis=1)
+                rows, first = np.unique(pairs[0].astype(np.int64), return_index=True)
+                parts = pa.ListArray.from_arrays(pa.array(np.append(first, pairs.shape[1]), pa.int32()), pa.array(pairs[1].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([c.take(pa.array(low + rows)) for c in batch.columns] + [parts], ["doc_id", "text", "codes"])
+
+    left = docs.mapInArrow(tidied(passing), "doc_id long, text string, codes array<long>").withColumn("r", F.monotonically_increasing_id())
+    left = scratch.put(left, "documents")
+    shared = left.select("r", F.explode("codes").alias("code")).join(seeds, "code").groupBy("r", "i", "words").agg(F.collect_list("place").alias("places"))
+    enough = F.size("places") * F.least("words", F.lit(least)) >= coverage * F.col("words")
+    both = shared.filter(enough).join(items.withColumnRenamed("text", "item"), "i").join(left.select("r", "doc_id", "text"), "r")
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc, number, places, item, text in zip(*batch.columns):
+                words = [tokens(np.frombuffer(x.as_py().encode(), np.uint8), np.array([0, len(x.as_py().encode())])) for x in (item, text)]
+                size = len(text.as_py().encode())
+                found = held(words[0][0], words[1][0], np.asarray(places.as_py()), words[1][1], size, least, coverage)
+                if found:
+                    rows.append((doc.as_py(), number.as_py(), *found))
+            yield _batch(rows)
+
+    return both.select("doc_id", "item_id", "places", "item", "text").mapInArrow(tidied(test), RESULT)
+
+
+def _lengths(codes: np.ndarray, at: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(k, seeds of k words), in the order of ``seeds_of``."""
+    for k in range(1, least + 1):
+        yield k, seeds_of(codes, at, [k])[0]
 
 
 def _contained(docs: DataFrame, block: pa.Table, least: int, coverage: float) -> DataFrame:
@@ -177,22 +271,10 @@ def _contained(docs: DataFrame, block: pa.Table, least: int, coverage: float) ->
                     a, b = np.searchsorted(seed, mine, "left"), np.searchsorted(seed, mine, "right")
                     at_seed = np.concatenate([np.arange(x, y) for x, y in zip(a, b)])
                     for k in np.unique(owner[at_seed]):
-                        item = sequences[k]
-                        shortest = min(least, len(item))
-                        reach = np.zeros(len(item), bool)
-                        for p in place[at_seed[owner[at_seed] == k]]:
-                            reach[p : p + shortest] = True
-                        if reach.sum() < coverage * len(item):
-                            continue  # tiles lie within the shared seeds
-                        tiles = sorted(tile(item, text, shortest), key=lambda x: x[1])
-                        n = sum(x[2] for x in tiles)
-                        if n >= coverage * len(item):
-                            byte = start[at[r] : at[r + 1]] - offsets[r]
-                            ends = [int(byte[q + m] if q + m < len(byte) else offsets[r + 1] - offsets[r]) for _, q, m in tiles]
-                            rows.append((doc_ids[low + int(r)].as_py(), ids[k], n, len(item), n / len(item), len(tiles), [int(byte[q]) for _, q, _ in tiles], ends))
-            columns = list(zip(*rows)) or [()] * 8
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "item_id", "n_matched", "n_words", "coverage", "n_tiles", "starts", "ends"])
+                        got = held(sequences[k], text, place[at_seed[owner[at_seed] == k]], start[at[r] : at[r + 1]] - offsets[r], int(offsets[r + 1] - offsets[r]), least, coverage)
+                        if got:
+                            rows.append((doc_ids[low + int(r)].as_py(), ids[k], *got))
+            yield _batch(rows)
 
     return docs.mapInArrow(tidied(find), RESULT)
 
