@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import os
+import re
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.functions.scalars import last_part, slug, strip_space
 from loomwright.operators import folds, relational
 from loomwright.operators.states import required
-from loomwright.sources.sinks import require_outside
-from loomwright.sources.tables import asset_path
+from loomwright.plans import stages
+from loomwright.session import file_at, settled
+from loomwright.sources.sinks import archive_members, require_outside, write_shards
+from loomwright.sources.tables import asset_path, read_blobs
 
 
 def stem(path: Column) -> Column:
@@ -90,3 +96,26 @@ def write_bundles(selected: DataFrame, path: str, source: str | None = None) ->
     if source:
         require_outside(source, path)
     bundle_files(selected).write.mode("errorifexists").parquet(path)
+
+
+def dataset_files(spark: SparkSession, root: str) -> DataFrame:
+    """(arxiv_id, path, content, link) of the files of a dataset's papers; links can be told where the folder is a local or mounted one."""
+    files = read_blobs(spark, root).select("path", "content")
+    where, store = file_at(spark, root)
+    base = store.getFileStatus(where).getPath().toUri().getPath().rstrip("/") + "/"
+
+    def linked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            yield s.map(lambda p: p.startswith("file:") and os.path.islink(re.sub(r"\Afile:/*", "/", p)))
+
+    inside = F.expr("substring(path, position('" + base.replace("'", "\\'") + f"' IN path) + {len(base)})")
+    rows = files.select(inside.alias("inside"), "content", F.pandas_udf(linked, "boolean")("path").alias("link"))
+    return rows.select(F.split_part("inside", F.lit("/"), F.lit(1)).alias("arxiv_id"), F.substr("inside", F.locate("/", F.col("inside")) + 1).alias("path"), "content", "link")
+
+
+def packed(files: DataFrame, folder: str, prefix: str = "papers", shard_bytes: int = 2 << 30, resume: bool = False, source: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(report, problems) of archives made of papers' files (arxiv_id, path, content) and read again."""
+    named = files.withColumn("name", F.concat_ws("/", "arxiv_id", "path"))
+    report = write_shards(stages.shards(named, shard_bytes), folder, prefix, resume, source)
+    members = settled(archive_members(files.sparkSession, folder), "members")
+    return report, stages.check_archives(report, members)

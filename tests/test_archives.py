@@ -139,3 +139,15 @@ def test_a_paused_owner_cannot_complete(spark, folder, tmp_path):
     assert len(done) == 1 and owners == {"b"}
     assert jobs.selected_sources(spark, state).count() == 1
     assert Leases(spark, f"{state}/leases").acquire("a_2401_0.tar") is None
+
+
+def test_a_scan_ends_with_its_budget(spark, folder, tmp_path):
+    state, objects, left = f"file://{tmp_path}/state", listing(spark, folder, ["good", "packed"]), [True, False]
+    jobs.ROUND, old = 1, jobs.ROUND
+    try:
+        with pytest.raises(jobs.BudgetUsed):
+            jobs.scan(spark, objects, state, "2401", "2401", go_on=lambda: left.pop(0))
+    finally:
+        jobs.ROUND = old
+    assert jobs.completions(spark, state).count() == 1  # what was done stays done
+    assert jobs.scan(spark, objects, state, "2401", "2401")["completed_seen"] == 2

@@ -192,6 +192,35 @@ def test_validation_of_papers(spark):
     }
 
 
+def test_command_line_validates_and_packs(spark, tmp_path, capsys):
+    import json
+
+    from loomwright import cli
+    from loomwright.plans import jobs
+
+    for k in range(5):
+        paper = tmp_path / "set" / f"2401.{k:05d}"
+        for kind, name, data in (("drawio", "d.drawio", b"<mxfile><diagram/></mxfile>"), ("images", "d_p001.png", png())):
+            (paper / kind).mkdir(parents=True)
+            (paper / kind / name).write_bytes(data)
+        (paper / "paper.md").write_text("text")
+    said = lambda: json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert cli.main(["pack", str(tmp_path / "set"), str(tmp_path / "set" / "out")]) == jobs.EXIT_FAILED  # inside of the dataset
+    assert cli.main(["pack", str(tmp_path / "set"), str(tmp_path / "out"), "--shard-bytes", "7000"]) == jobs.EXIT_DONE
+    first = said()
+    assert first["archives"] == 3 and first["papers"] == 5 and first["problems"] == []
+    assert cli.main(["pack", str(tmp_path / "set"), str(tmp_path / "out"), "--shard-bytes", "7000"]) == jobs.EXIT_FAILED  # not empty
+    assert cli.main(["pack", str(tmp_path / "set"), str(tmp_path / "out"), "--shard-bytes", "7000", "--resume"]) == jobs.EXIT_DONE
+    os.symlink(tmp_path / "set" / "2401.00000" / "paper.md", tmp_path / "linked.md")
+    (tmp_path / "set" / "2401.00001" / "paper.md").unlink()
+    os.symlink(tmp_path / "linked.md", tmp_path / "set" / "2401.00001" / "paper.md")
+    (tmp_path / "set" / "2401.00002" / "images" / "d_p001.png").write_bytes(png(crc=7))
+    capsys.readouterr()
+    assert cli.main(["validate", str(tmp_path / "set")]) == jobs.EXIT_FAILED
+    assert said()["problems"] == {"2401.00001": ["symbolic links"], "2401.00002": ["broken PNG: images/d_p001.png: wrong checksum: IDAT"]}
+    assert cli.main(["validate", str(tmp_path / "set"), "--allow-links"]) == jobs.EXIT_FAILED and set(said()["problems"]) == {"2401.00002"}
+
+
 def test_late_events_are_left_out_and_counted(spark, tmp_path):
     files = [[(1, "a", "2024-01-01 10:05:00", 1.0), (2, "a", "2024-01-02 12:00:00", 2.0)], [(4, None, "2024-01-02 11:59:00", 8.0)], [(3, "a", "2024-01-01 10:30:00", 4.0), (5, "a", "2024-01-02 12:30:00", 16.0), (6, "b", None, 1.0)]]
     for i, rows in enumerate(files):
