@@ -42,7 +42,8 @@ def hamming_pairs(df: DataFrame, key: str, code: str, radius: int, carry: Sequen
     Rows meet on shared bands; of several shared bands only the first reports a pair, so no
     distinct is needed.  A band's value with more than ``hot`` rows is split: its pairs agree
     to within the radius outside of the band too, so they share a second band, and meet on
-    both.  Rows of one code should be made one row first.
+    both.  Rows of one code should be made one row first.  With ``new``, a column of booleans,
+    one row of a pair at least is new.
     """
     n = radius + 1
     kept = list(dict.fromkeys([*carry, *([new] if new else [])]))
@@ -73,7 +74,8 @@ def hamming_pairs(df: DataFrame, key: str, code: str, radius: int, carry: Sequen
     if "_second" in place:
         others = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: code_and(differ, _masks(radius), F.col("_band") * n + i))
         first &= (F.col("_second") < 0) | (F.col("_second") == F.array_position(others, F.lit(0).cast("long")) - 1)
-    return pairs.filter(first).select(*[c for c in pairs.columns if c not in place and c not in (f"left_{new}", f"right_{new}")] if new and new not in carry else [c for c in pairs.columns if c not in place])
+    gone = {*place, *(() if new is None or new in carry else (f"left_{new}", f"right_{new}"))}
+    return pairs.filter(first).drop(*gone)
 
 
 def code_and(code: Column, masks: list[int], which: Column) -> Column:

@@ -48,11 +48,17 @@ def _parents() -> dict[int, int]:
     return out
 
 
-def descendants(pid: int) -> set[int]:
-    parents, found, more = _parents(), set(), {pid}
+def children(pid: int) -> set[int]:
+    return {p for p, of in _parents().items() if of == pid}
+
+
+def started(before: set[int]) -> set[int]:
+    """Children of this process that were not there before, and all that descend from them."""
+    parents, me = _parents(), os.getpid()
+    found = more = {p for p, of in parents.items() if of == me and p not in before}
     while more:
         more = {p for p, of in parents.items() if of in more} - found
-        found |= more
+        found = found | more
     return found
 
 
@@ -88,7 +94,7 @@ def _end(program: subprocess.Popen, mine: Callable[[], set[int]], grace: float)
 def supervised(command: list[str], data: bytes = b"", seconds: float = 60.0, grace: float = GRACE) -> Ended:
     """Run a program on some bytes; whatever happens is told by what is returned."""
     ctypes.CDLL(None).prctl(_ADOPT, 1, 0, 0, 0)
-    before = descendants(os.getpid())
+    before = children(os.getpid())
     files = [os.memfd_create(n) for n in ("input", "output", "messages")]
     try:
         with os.fdopen(os.dup(files[0]), "wb") as f:
@@ -104,7 +110,7 @@ def supervised(command: list[str], data: bytes = b"", seconds: float = 60.0, gra
         except subprocess.TimeoutExpired:
             timed_out = True
         # What this worker had not started before is the program's.
-        _end(program, lambda: descendants(os.getpid()) - before - ({program.pid} if program.poll() is not None else set()), grace)
+        _end(program, lambda: started(before) - ({program.pid} if program.poll() is not None else set()), grace)
         code = program.wait()
         output, messages = (os.pread(f, os.fstat(f).st_size, 0) for f in files[1:])
         return Ended(code, timed_out, output, messages.decode("utf-8", "replace")[-KEPT:])
