@@ -21,7 +21,7 @@ from loomwright.plans import jobs, releases, stages
 from loomwright.plans.registry import query
 from loomwright.plans.runner import Pipeline
 from loomwright.session import settled, shared_folder, table
-from loomwright.sources import archives, sinks, tables
+from loomwright.sources import archives, processes, services, sinks, tables
 
 
 def _made(rows: DataFrame, make: Callable[[int], bytes], path: str) -> DataFrame:
@@ -401,6 +401,45 @@ def packed_archives(spark, d):
     return rows.join(problems, "filename", "left").withColumn("problems", F.coalesce("problems", F.lit("")))
 
 
+@query("""SELECT s_suppkey, i::INT AS i, 512 + 1024 * i AS "offset", 10 + i + length(s_suppkey::VARCHAR) AS size, sha256(s_suppkey || ':' || repeat('x', (9 + i)::INT)) AS sha256 FROM supplier, (SELECT unnest(range(5)) AS i) WHERE s_suppkey % 4 <> 3""")
+def member_index(spark, d):
+    """Members of archives by the index of their places, read by range; every fourth archive is empty."""
+    folder = _folder(spark)
+    make = lambda k: _tar([(f"{k}/{i}.txt", f"{k}:{'x' * (9 + i)}".encode()) for i in range(5 * (k % 4 != 3))])
+    put = sinks.write_files(_made(table(spark, d, "supplier").select("s_suppkey"), make, "m_{}.tar").withColumnRenamed("path", "name"), folder)
+    found = archives.member_digests(archives.spread(archives.index(put), 2048))
+    name = F.split("member", "[/.]")
+    return found.select(name[0].cast("long").alias("s_suppkey"), name[1].cast("int").alias("i"), "offset", "size", "sha256")
+
+
+@query("SELECT s_suppkey, CASE s_suppkey % 5 WHEN 3 THEN 3 WHEN 4 THEN -6 ELSE 0 END AS code, CASE WHEN s_suppkey % 5 = 4 THEN '' ELSE upper(s_name) END AS output FROM supplier")
+def supervised_programs(spark, d):
+    """A program for each supplier, which may fail or crash, and leaves a helper behind."""
+    import sys
+
+    code = "import os, sys, time\nk, name = sys.stdin.read().split('|')\nif os.fork() == 0:\n    time.sleep(60)\nif int(k) % 5 == 4:\n    os.abort()\nsys.stdout.write(name.upper())\nsys.stdout.flush()\nos._exit(3 if int(k) % 5 == 3 else 0)"
+    rows = table(spark, d, "supplier").select("s_suppkey", F.concat_ws("|", F.col("s_suppkey").cast("string"), "s_name").cast("binary").alias("content"))
+    ended = processes.run_programs(rows, "s_suppkey", "content", [sys.executable, "-S", "-c", code], seconds=60)
+    return ended.select("s_suppkey", F.col("returncode").alias("code"), F.col("output").cast("string").alias("output"))
+
+
+@query("SELECT c_custkey::VARCHAR AS arxiv_id, CASE WHEN c_custkey % 7 = 3 THEN 2 ELSE 1 END AS attempts, CASE WHEN c_custkey % 7 = 3 THEN 'KeyError' ELSE '' END AS error, CASE WHEN c_custkey % 7 = 3 THEN 0 ELSE 1000 + c_custkey % 9 END AS size FROM customer WHERE c_custkey % 2 = 0")
+def lasting_fetches(spark, d):
+    """Answers for a part of the papers, then for all of them: the second run asks only for what is not there."""
+
+    def fetch(name: str) -> services.Answer:
+        if int(name) % 7 == 3:
+            raise KeyError(name)
+        return 200, {}, b"x" * (1000 + int(name) % 9)
+
+    papers = table(spark, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("arxiv_id"))
+    store = services.Fetched(spark, _folder(spark))
+    for some in (papers.filter("cast(arxiv_id as long) % 6 = 0"), papers):
+        answers = store.fetch(some, fetch, retries=2, delay=0.0)
+    error = F.coalesce(F.split_part("error", F.lit(":"), F.lit(1)), F.lit(""))
+    return answers.select("arxiv_id", "attempts", error.alias("error"), F.coalesce(F.length("content"), F.lit(0)).cast("long").alias("size"))
+
+
 @query("""WITH p AS (SELECT s_suppkey AS k, (s_suppkey % 8) AS kind, format('set-{:05d}.tar', s_suppkey) AS filename, format('2401.{:05d}', s_suppkey) AS paper FROM supplier)
 SELECT filename, CASE kind WHEN 1 THEN 'checksum' WHEN 2 THEN 'missing 2402.00001' WHEN 3 THEN 'repeated ' || paper || '/paper.md' WHEN 4 THEN 'unexpected ' || paper || 'x' WHEN 5 THEN 'missing ' || paper END AS problem FROM p WHERE kind BETWEEN 1 AND 5
 UNION ALL SELECT filename, unnest(['checksum', 'unreadable ReadError', 'missing ' || paper]) FROM p WHERE kind = 6
