@@ -72,14 +72,10 @@ def fetched(pending: DataFrame, fetch: Callable[[str], Answer], retries: int = 3
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        due = [time.monotonic()]
+        pace = _Pace(rate, slots)
 
         def paced(name: str) -> Answer:
-            if rate:
-                wait = due[0] - time.monotonic()
-                if wait > 0:
-                    time.sleep(wait)
-                due[0] = max(due[0], time.monotonic()) + slots / rate
+            pace.wait()
             return fetch(name)
 
         for batch in batches:
@@ -159,15 +155,30 @@ def read_feed(feed: bytes, ids: list[str]) -> list[tuple[str, list[str], str]]:
     return out
 
 
-def categories(papers: DataFrame, cached: DataFrame, fetch: Callable[[list[str]], bytes], batch: int = CATEGORY_BATCH) -> DataFrame:
-    """The cache (arxiv_id, categories, title) with what it lacked of ``papers``, asked for many at a time; new answers win."""
+def categories(papers: DataFrame, cached: DataFrame, fetch: Callable[[list[str]], bytes], batch: int = CATEGORY_BATCH, retries: int = 3, delay: float = 2.0, sleep: Callable[[float], None] = time.sleep, rate: float | None = None, slots: int = 4) -> DataFrame:
+    """The cache (arxiv_id, categories, title) with what it lacked of ``papers``, asked for many at a time; new answers win.
+
+    A question that fails is put again after a wait; if it fails to the end, its papers are
+    left out, so the next run asks for them.  With a ``rate``, all tasks together ask so many
+    questions a second at most.
+    """
     todo = papers.select("arxiv_id").distinct().join(cached.select("arxiv_id"), "arxiv_id", "left_anti")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[str] = []
+        pace = _Pace(rate, slots)
 
         def answer(ids: list[str]) -> pa.RecordBatch:
-            columns = list(zip(*read_feed(fetch(ids), ids))) or [()] * 3
+            rows = []
+            for k in range(1, retries + 1):
+                try:
+                    pace.wait()
+                    rows = read_feed(fetch(ids), ids)
+                    break
+                except Exception:  # a service's fault costs its papers, not the job
+                    if k < retries:
+                        sleep(wait_before(k, None, {}, delay))
+            columns = list(zip(*rows)) or [()] * 3
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.list_(pa.string())), pa.array(columns[2], pa.string())], ["arxiv_id", "categories", "title"])
 
         for some in batches:
@@ -178,10 +189,25 @@ def categories(papers: DataFrame, cached: DataFrame, fetch: Callable[[list[str]]
         if waiting:
             yield answer(waiting)
 
-    new = todo.mapInArrow(ask, "arxiv_id string, categories array<string>, title string")
+    dealt = todo.repartition(slots, "arxiv_id") if rate else todo
+    new = dealt.mapInArrow(ask, "arxiv_id string, categories array<string>, title string")
     return cached.select("arxiv_id", "categories", "title").unionByName(new)
 
 
+class _Pace:
+    """A task's share of a rate that all ``slots`` tasks keep together."""
+
+    def __init__(self, rate: float | None, slots: int):
+        self.step, self.due = slots / rate if rate else 0.0, time.monotonic()
+
+    def wait(self) -> None:
+        if self.step:
+            left = self.due - time.monotonic()
+            if left > 0:
+                time.sleep(left)
+            self.due = max(self.due, time.monotonic()) + self.step
+
+
 def merged_manifests(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
     """One row for each output_key of many archives' manifests, the last by ``order``."""
     return latest(rows, "output_key", order)

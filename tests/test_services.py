@@ -140,6 +140,27 @@ def test_the_rate_holds_over_all_tasks(spark, tmp_path):
     assert time.time() - began > 60 / 20 - 1
 
 
+def test_feeds_that_fail_cost_only_their_papers(spark, tmp_path):
+    def feed(ids):
+        with open(f"{tmp_path}/asked", "a") as f:
+            f.write(",".join(ids) + "\n")
+        n = len(open(f"{tmp_path}/asked").readlines())
+        if n == 1:
+            raise http.client.IncompleteRead(b"")
+        if "p05" in ids:
+            return b"<feed"  # broken to the end
+        return ("<feed xmlns='http://www.w3.org/2005/Atom'>" + "".join(f"<entry><id>http://x/abs/{i}v1</id><title>T</title><category term='cs.AI'/></entry>" for i in ids) + "</feed>").encode()
+
+    papers = spark.createDataFrame([(f"p{i:02d}",) for i in range(9)], "arxiv_id string").coalesce(1)
+    none = spark.createDataFrame([], "arxiv_id string, categories array<string>, title string")
+    waits = str(tmp_path / "waits")
+    got = services.categories(papers, none, feed, batch=1, retries=2, sleep=lambda s: open(waits, "a").write(f"{s}\n")).collect()
+    assert {r.arxiv_id for r in got} == {f"p{i:02d}" for i in range(9)} - {"p05"}
+    assert len(open(f"{tmp_path}/asked").readlines()) == 9 + 2 and len(open(waits).readlines()) == 2
+    again = services.categories(papers, spark.createDataFrame(got), lambda ids: feed(["fine", *ids]) if ids != ["p05"] else b"<feed/>", batch=5, rate=50.0)
+    assert again.count() == 8
+
+
 def chunk(name, body, crc=None):
     return struct.pack(">I", len(body)) + name + body + struct.pack(">I", zlib.crc32(name + body) if crc is None else crc)
 
