@@ -20,7 +20,7 @@ from loomwright.operators import relational
 from loomwright.plans import jobs, releases, stages
 from loomwright.plans.registry import query
 from loomwright.plans.runner import Pipeline
-from loomwright.session import settled, shared_folder, table
+from loomwright.session import dealt, settled, shared_folder, table
 from loomwright.sources import archives, processes, services, sinks, tables
 
 
@@ -32,7 +32,7 @@ def _made(rows: DataFrame, make: Callable[[int], bytes], path: str) -> DataFrame
             keys = batch.column(0).to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array([path.format(k) for k in keys]), pa.array([make(k) for k in keys], pa.binary())], ["path", "content"])
 
-    return rows.mapInArrow(run, "path string, content binary")
+    return dealt(rows, rows.columns[0]).mapInArrow(run, "path string, content binary")
 
 
 def _folder(spark: SparkSession) -> str:

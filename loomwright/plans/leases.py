@@ -1,6 +1,6 @@
 """Leases with fencing, by nothing but the making of files that must not be there yet.
 
-Each key has a folder of numbered records.  Whoever makes the next number holds what it
+Each key has numbered records, in one of ``BUCKETS`` folders.  Whoever makes the next number holds what it
 says: a lease, its renewal, its release, or the completion that ends the key's story.  A
 lease's number is its token.  Completing with a token means to make the number after it,
 so a worker whose lease was taken over, which made that number, can no longer complete:
@@ -15,6 +15,7 @@ import os
 import time
 import urllib.parse
 import uuid
+import zlib
 from collections.abc import Callable
 from typing import Any
 
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from loomwright.session import exists, file_at
 from loomwright.sources.sinks import read_json_document
 
-#: Fixed value: seconds after which a lease may be taken over.
-CLAIM_SECONDS = 1800
+#: Seconds after which a lease may be taken over, and folders that records are dealt to.
+CLAIM_SECONDS, BUCKETS = 1800, 64
 RECORD = "kind string, key string, token long, owner string, at double, value string"
 
 
@@ -65,25 +66,23 @@ class Leases:
         self.spark, self.folder, self.ttl, self.now = spark, folder.rstrip("/"), ttl, now
         self.owner = owner or uuid.uuid4().hex
 
-    def _of(self, key: str) -> str:
-        return f"{self.folder}/{urllib.parse.quote(key, safe='')}"
+    def _of(self, key: str, number: int) -> str:
+        return f"{self.folder}/{zlib.crc32(key.encode()) % BUCKETS:02d}/{urllib.parse.quote(key, safe='')}.{number:08d}.json"
 
     def _last(self, key: str) -> tuple[int, dict[str, Any] | None]:
-        where, files = file_at(self.spark, self._of(key))
-        if not files.exists(where):
-            return 0, None
-        names = [s.getPath().getName() for s in files.listStatus(where)]
-        number = max((int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()), default=0)
+        number = 0
+        while exists(self.spark, self._of(key, number + 1)):  # numbers are made one after the other
+            number += 1
         if not number:
             return 0, None
         try:
-            return number, read_json_document(self.spark, f"{self._of(key)}/{number:08d}.json")
+            return number, read_json_document(self.spark, self._of(key, number))
         except ValueError:  # being written just now
             return number, {"kind": "lease", "at": self.now(), "owner": ""}
 
     def _make(self, kind: str, key: str, number: int, value: Any = None) -> bool:
         row = {"kind": kind, "key": key, "token": number, "owner": self.owner, "at": self.now(), "value": None if value is None else json.dumps(value, sort_keys=True)}
-        return create_once(self.spark, f"{self._of(key)}/{number:08d}.json", json.dumps(row))
+        return create_once(self.spark, self._of(key, number), json.dumps(row))
 
     def acquire(self, key: str) -> int | None:
         """A token, or none while another one holds the key or the key is completed."""

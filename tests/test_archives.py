@@ -151,3 +151,11 @@ def test_a_scan_ends_with_its_budget(spark, folder, tmp_path):
         jobs.ROUND = old
     assert jobs.completions(spark, state).count() == 1  # what was done stays done
     assert jobs.scan(spark, objects, state, "2401", "2401")["completed_seen"] == 2
+
+
+def test_many_small_archives_are_few_rounds(spark, folder, tmp_path):
+    """Rounds, tasks and folders of leases do not grow with the number of archives, only with their bytes."""
+    state, objects = f"file://{tmp_path}/state", listing(spark, folder, ["good"] * 150)
+    assert jobs.scan(spark, objects, state, "2401", "2401")["completed_seen"] == 150
+    assert len(list((tmp_path / "state" / "manifests").glob("run=*"))) == 1
+    assert len(list((tmp_path / "state" / "leases").iterdir())) <= 64
