@@ -75,12 +75,12 @@ def asset_path(path: Column, prefix: str, parts: int | None = 2) -> Column:
     return F.coalesce(inside & (F.size(pieces) == parts) if parts else inside, F.lit(False))
 
 
-def paper_folders(paths: DataFrame) -> DataFrame:
-    """(arxiv_id) of the folders of papers among relative paths: below ``papers`` if there is such a folder, else at the top; none is an error."""
+def paper_folders(paths: DataFrame, pattern: str = PAPER_ID) -> DataFrame:
+    """(arxiv_id) of the folders of papers, which are named by a pattern, among relative paths: below ``papers`` if there is such a folder, else at the top; none is an error."""
     first, second = F.split_part("path", F.lit("/"), F.lit(1)), F.split_part("path", F.lit("/"), F.lit(2))
     below = paths.filter(first == "papers")
     name = first if below.isEmpty() else F.when(first == "papers", second)
-    found = paths.select(name.alias("arxiv_id")).filter(F.col("arxiv_id").rlike(rf"\A{PAPER_ID}\z")).distinct().orderBy("arxiv_id")
+    found = paths.select(name.alias("arxiv_id")).filter(F.col("arxiv_id").rlike(rf"\A(?:{pattern})\z")).distinct().orderBy("arxiv_id")
     if found.isEmpty():
         raise ValueError("no paper folders")
     return found
