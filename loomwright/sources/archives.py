@@ -16,7 +16,7 @@ import lzma
 import re
 import tarfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -31,6 +31,8 @@ PACKAGES = "package string, member string, content binary, error string"
 INDEX = "archive string, member string, offset long, size long, regular boolean, error string"
 #: Bytes that are read at once, and of the largest member that a row holds.
 BLOCK, MOST_BYTES = 8 << 20, 1 << 30
+#: Packages, and bytes of them, in one batch; bytes of archives in one task, and what opening one counts for.
+ROWS, ROWS_BYTES, TASK_BYTES, OPENING = 1000, 4 << 20, 128 << 20, 64 << 10
 #: Fixed value: names of packages that come from the days of digits.
 DIGITS = r"(?:\A|/)\.*[0-9][0-9.]*\.gz\Z"
 BROKEN = (tarfile.TarError, OSError, EOFError, zlib.error, lzma.LZMAError)
@@ -65,8 +67,25 @@ def walk(path: str, most: int = MOST_BYTES) -> Iterator[tuple[str | None, bytes
         yield None, None, said(e)
 
 
-def _row(path: str, name: str | None, content: bytes | None, error: str | None) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([name], pa.string()), pa.array([content], pa.binary()), pa.array([error], pa.string())], ["package", "member", "content", "error"])
+def _read(paths: Iterable[str], wanted: Callable[[str], bool] = lambda name: True, most: int = MOST_BYTES) -> Iterator[pa.RecordBatch]:
+    """PACKAGES of archives, one after the other; a batch is a large package or some small ones."""
+    rows: list[tuple] = []
+    size = 0
+    for path in paths:
+        for name, content, error in walk(path, most):
+            if error or wanted(name):
+                if rows and (len(rows) == ROWS or size + len(content or b"") > ROWS_BYTES):
+                    yield _batch(rows)
+                    rows, size = [], 0
+                rows.append((path, name, content, error))
+                size += len(content or b"")
+    if rows:
+        yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.string(), pa.string(), pa.binary(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["package", "member", "content", "error"])
 
 
 def packages(archives: DataFrame) -> DataFrame:
@@ -74,42 +93,48 @@ def packages(archives: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                for name, content, error in walk(path):
-                    yield _row(path, name, content, error)
+            yield from _read(batch.column(0).to_pylist())
 
     return archives.select("path").mapInArrow(read, PACKAGES)
 
 
-class _One(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+class _Some(InputPartition):
+    def __init__(self, paths: list[str]):
+        self.paths = paths
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path, self.pattern = options["path"], options.get("pattern", "*.tar")
         self.digits, self.most = options.get("onlydigits", "false").lower() == "true", int(options.get("mostbytes", MOST_BYTES))
+        self.tasks = int(options.get("tasks", 64))
 
-    def partitions(self) -> list[_One]:
+    def partitions(self) -> list[_Some]:
         store, inside = located(self.path)
         info = store.get_file_info(inside)
         prefix = self.path[: len(self.path) - len(inside)] if self.path.endswith(inside) else ""
         if info.type == fs.FileType.File:
-            return [_One(self.path)]
+            return [_Some([self.path])]
         found = store.get_file_info(fs.FileSelector(inside, recursive=True))
-        return [_One(prefix + f.path) for f in sorted(found, key=lambda f: f.path) if f.type == fs.FileType.File and fnmatch.fnmatch(f.base_name, self.pattern)]
+        files = [f for f in sorted(found, key=lambda f: f.path) if f.type == fs.FileType.File and fnmatch.fnmatch(f.base_name, self.pattern)]
+        most = min(TASK_BYTES, sum(f.size + OPENING for f in files) // self.tasks)
+        out, size = [], 0
+        for f in files:
+            if not out or size + f.size + OPENING > most:
+                out.append(_Some([]))
+                size = 0
+            out[-1].paths.append(prefix + f.path)
+            size += f.size + OPENING
+        return out
 
-    def read(self, partition: _One) -> Iterator[pa.RecordBatch]:
-        for name, content, error in walk(partition.path, self.most):
-            if error or not self.digits or re.search(DIGITS, name):
-                yield _row(partition.path, name, content, error)
+    def read(self, partition: _Some) -> Iterator[pa.RecordBatch]:
+        return _read(partition.paths, lambda name: not self.digits or bool(re.search(DIGITS, name)), self.most)
 
 
 class PaperArchives(DataSource):
-    """Packages of papers in the archives of a folder, one partition for each archive.
+    """Packages of papers in the archives of a folder; small archives share a partition.
 
-    Options: path (a folder or one archive), pattern of names, onlyDigits, mostBytes of a member.
+    Options: path (a folder or one archive), pattern of names, onlyDigits, mostBytes of a member, tasks that share the archives if they are small.
     """
 
     @classmethod
@@ -126,7 +151,7 @@ class PaperArchives(DataSource):
 def read_packages(spark: SparkSession, path: str, **options: Any) -> DataFrame:
     """PACKAGES of the archives below a path."""
     spark.dataSource.register(PaperArchives)
-    return spark.read.format("paper_archives").options(**options).load(path)
+    return spark.read.format("paper_archives").options(**{"tasks": 4 * spark.sparkContext.defaultParallelism} | options).load(path)
 
 
 def index(archives: DataFrame) -> DataFrame:
