@@ -172,7 +172,8 @@ def numbered(groups: DataFrame, least: str, name: str = "cluster_id") -> DataFra
 
 def unique_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(one page of each cluster, clusters of more than one): exact copies, then complete linkage of look-alikes."""
-    usable = pages.filter("is_cs and valid")
+    # Written once: pictures are not looked through again for each use of their features.
+    usable = settled(pages.filter("is_cs and valid"), "pages")
     keep = F.struct(*KEEP_KEY)
     exact = best_of_group(usable, "sha256", KEEP_KEY)
     pairs = near_pages(exact)

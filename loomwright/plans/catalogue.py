@@ -15,7 +15,7 @@ from loomwright.operators.growing import Components, MetricIndex
 from loomwright.plans import stages, standins, texts
 from loomwright.plans.registry import ORACLES, QUERIES, query
 from loomwright.plans.standins import BITS_SQL, CODES_SQL, PAGES_SQL, POLICY_SQL, RANKED_SQL, SCORES_SQL
-from loomwright.session import settled, shared_folder, table
+from loomwright.session import dealt, settled, shared_folder, table
 from loomwright.sources.tables import descending_months
 
 #: How many bits near codes may differ by.
@@ -604,7 +604,7 @@ def _pictures(spark: SparkSession, d: str) -> DataFrame:
             keys = batch.column(0).to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array([f"p{k:06d}" for k in keys]), pa.array([made[k % 7] for k in keys], pa.binary())], ["png", "content"])
 
-    return table(spark, d, "supplier").select("s_suppkey").mapInArrow(draw, "png string, content binary")
+    return dealt(table(spark, d, "supplier").select("s_suppkey"), "s_suppkey").mapInArrow(draw, "png string, content binary")
 
 
 @query("""SELECT format('p{:06d}', max(s_suppkey)) AS png, format('cluster_{:06d}', row_number() OVER (ORDER BY min(s_suppkey))) AS dedup_cluster, count(*) AS dedup_cluster_size, 1::BIGINT AS dedup_exact_variants FROM supplier GROUP BY s_suppkey % 7""")
