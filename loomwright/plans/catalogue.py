@@ -505,7 +505,7 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     cells = F.concat(F.repeat(F.lit('<mxCell vertex="1" value="x"><mxGeometry x="5" y="7" width="30" height="20"/></mxCell>'), (k % 5).cast("int")), F.repeat(F.lit('<mxCell edge="1"/>'), (k % 3).cast("int")))
     page = F.concat(F.lit('<diagram name="P"><mxGraphModel pageWidth="850" pageHeight="1100"><root>'), cells, F.lit("</root></mxGraphModel></diagram>"))
     whole = F.concat(F.lit("<mxfile>"), F.repeat(page, (k % 4).cast("int")), F.lit("</mxfile>"))
-    return table(spark, d, "customer").select("c_custkey", F.when(k % 11 == 0, "<mxfile").otherwise(whole).cast("binary").alias("content"))
+    return dealt(table(spark, d, "customer").select("c_custkey"), "c_custkey").select("c_custkey", F.when(k % 11 == 0, "<mxfile").otherwise(whole).cast("binary").alias("content"))
 
 
 @query("""SELECT c_custkey, CAST(i AS INT) AS page_number, CASE WHEN bad OR c_custkey % 4 = 0 THEN 'Page-1' ELSE 'P' END AS page_name, CAST(CASE WHEN bad OR c_custkey % 4 = 0 THEN 0 ELSE c_custkey % 5 END AS INT) AS verts,
