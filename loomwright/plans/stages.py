@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loomwright.functions import images, markers, png_stream, scalars, xml_pages
 from loomwright.operators import folds, quality, relational, states
-from loomwright.session import exists
+from loomwright.session import dealt, exists
 from loomwright.sources import tables
 
 # Collect
@@ -106,7 +106,7 @@ def rows_to_consolidate(spark: SparkSession, canonical: str, subset: DataFrame)
 
 def render_tasks(documents: DataFrame, previous: DataFrame | None = None, force: float | None = None) -> DataFrame:
     """One task for each page (document: arxiv_id, drawio_path, content) with its scale; earlier outputs that are large enough are reused."""
-    parsed = documents.withColumn("parsed", xml_pages.strict_pages(F.col("content")))
+    parsed = dealt(documents, "arxiv_id").withColumn("parsed", xml_pages.strict_pages(F.col("content")))
     pages = parsed.select("arxiv_id", "drawio_path", F.col("parsed.error").alias("error"), F.explode_outer("parsed.pages").alias("p"))
     pages = pages.select("arxiv_id", "drawio_path", "error", "p.page_number", "p.page_name", "p.body").withColumn("box", xml_pages.page_size(F.col("body")))
     scale = F.lit(force) if force else scalars.adaptive_scale(F.col("box.width"), F.col("box.height"))
