@@ -7,7 +7,6 @@ import json
 import time
 import uuid
 from collections.abc import Callable, Iterator
-from urllib.parse import quote
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loomwright.functions.latex import LEAST_BYTES
 from loomwright.operators.relational import latest
-from loomwright.session import exists, file_at, settled
+from loomwright.session import dealt, exists, file_at, settled
 from loomwright.sources.archives import located
 from loomwright.streaming.runs import Runs
 
@@ -68,7 +67,8 @@ def fetched(pending: DataFrame, fetch: Callable[[str], Answer], retries: int = 3
 
     With a ``rate``, all tasks together ask so many times a second at most: ids are dealt to
     ``slots`` tasks, and each waits its share before every question, repeated ones included.
-    With a ``journal``, each answer is saved there before the next question.
+    With a ``journal``, each answer is saved there before the next question.  Without a rate,
+    ids are dealt to all cores.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,31 +78,43 @@ def fetched(pending: DataFrame, fetch: Callable[[str], Answer], retries: int = 3
             pace.wait()
             return fetch(name)
 
+        saved = _Journal(journal) if journal else None
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 content, attempts, error = asked(name, paced, retries, delay, refuse, only_busy, sleep)
-                if journal:
-                    _save(journal, name, content, attempts, error)
+                if saved:
+                    saved.save(name, content, attempts, error)
                 yield pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([content], pa.binary()), pa.array([attempts], pa.int32()), pa.array([error], pa.string())], ["arxiv_id", "content", "attempts", "error"])
 
     ids = pending.select("arxiv_id")
-    return (ids.repartition(slots, "arxiv_id") if rate else ids).mapInArrow(run, ANSWERS)
+    return (ids.repartition(slots, "arxiv_id") if rate else dealt(ids, "arxiv_id")).mapInArrow(run, ANSWERS)
 
 
-def _save(journal: str, name: str, content: bytes | None, attempts: int, error: str | None) -> None:
-    """One answer as a file that is there whole or not at all."""
-    store, folder = located(journal)
-    store.create_dir(folder)
-    path = f"{folder}/{quote(name, safe='')}.json"
-    row = {"arxiv_id": name, "content": None if content is None else base64.b64encode(content).decode(), "attempts": attempts, "error": error}
-    part = f"{folder}/_{uuid.uuid4().hex}"  # names that begin so are not read
-    with store.open_output_stream(part) as out:
-        out.write(json.dumps(row).encode())
-    store.move(part, path)
+class _Journal:
+    """Answers of one task, each of which is there once it is saved.
+
+    File systems show what is written at once, so there a task's answers are lines of one file.
+    Elsewhere a file is seen when it is closed, so each answer is a file.  A line that was cut
+    lacks its last value, ``whole``.
+    """
+
+    def __init__(self, journal: str):
+        self.store, self.folder = located(journal)
+        self.store.create_dir(self.folder)
+        self.lines = self._open() if self.store.type_name in ("local", "hdfs") else None
+
+    def _open(self):
+        return self.store.open_output_stream(f"{self.folder}/{uuid.uuid4().hex}.json")
+
+    def save(self, name: str, content: bytes | None, attempts: int, error: str | None) -> None:
+        row = {"arxiv_id": name, "content": None if content is None else base64.b64encode(content).decode(), "attempts": attempts, "error": error, "whole": True}
+        out = self.lines or self._open()
+        out.write(json.dumps(row).encode() + b"\n")
+        out.flush() if self.lines else out.close()
 
 
 class Fetched:
-    """Answers of a service that outlast the job: saved one by one, then kept in runs.
+    """Answers of a service that outlast the job: saved one by one in files of tasks, then kept in runs.
 
     A job that is killed leaves all answers that came; the next one asks only for what is
     not there.  ``again`` asks once more for papers whose last answer was an error.
@@ -120,12 +132,12 @@ class Fetched:
         if not exists(self.spark, self.journal):
             return
         number = self.runs.newest() + 1
-        rows = self.spark.read.schema("arxiv_id string, content string, attempts int, error string").json(self.journal)
+        rows = self.spark.read.schema("arxiv_id string, content string, attempts int, error string, whole boolean").json(self.journal).filter("whole").drop("whole")
         self.runs.add(rows.withColumn("content", F.unbase64("content")).withColumn("batch", F.lit(number)), number)
         where, files = file_at(self.spark, self.journal)
         files.delete(where, True)
 
-    def fetch(self, pending: DataFrame, fetch: Callable[[str], Answer], batch: int = 10_000, again: bool = False, **how) -> DataFrame:
+    def fetch(self, pending: DataFrame, fetch: Callable[[str], Answer], batch: int = 200_000, again: bool = False, **how) -> DataFrame:
         """Answers for the ids, asked for in batches of so many papers."""
         self._keep()  # of a job that ended before it could
         done = self.runs.table().filter("error is null") if again else self.runs.table()
