@@ -6,7 +6,7 @@ import tarfile
 from pyspark.sql import functions as F
 
 from loomwright.plans import catalogue
-from loomwright.sources import archives, processes
+from loomwright.sources import archives, processes, services
 
 
 def test_papers_of_large_keys_are_folders(spark, tmp_path):
@@ -29,3 +29,28 @@ def test_small_archives_share_partitions(spark, tmp_path):
             t.addfile(info, io.BytesIO(b"x"))
     found = archives.read_packages(spark, str(tmp_path))
     assert found.rdd.getNumPartitions() <= 40 and found.select("package", "member").distinct().count() == 300
+
+
+def test_answers_of_a_task_are_one_file(spark, tmp_path):
+    """The journal has a file for a task, not for an answer; a line that was cut is asked for again."""
+    ids = spark.range(3000).select(F.col("id").cast("string").alias("arxiv_id"))
+    services.fetched(ids, lambda name: (200, {}, b"x"), refuse=None, journal=f"file://{tmp_path}/store/journal").count()
+    files = [f for f in (tmp_path / "store" / "journal").iterdir() if f.suffix == ".json"]
+    assert len(files) <= 40
+    (tmp_path / "store" / "journal" / "cut.json").write_text('{"arxiv_id": "3000", "content": "eA==", "attempts": 1, "error": nu')
+    store = services.Fetched(spark, f"file://{tmp_path}/store")
+    asked = spark.sparkContext.accumulator(0)
+
+    def fetch(name):
+        asked.add(1)
+        return 200, {}, b"y"
+
+    more = spark.range(3002).select(F.col("id").cast("string").alias("arxiv_id"))
+    got = {r.arxiv_id: bytes(r.content) for r in store.fetch(more, fetch, refuse=None).collect()}
+    assert asked.value == 2 and len(got) == 3002 and got["3000"] == got["3001"] == b"y" and got["7"] == b"x"
+
+
+def test_small_tables_are_dealt_to_all_cores(spark, sf):
+    for name in ("render_run", "xml_pages_strict", "model_views"):
+        rows = catalogue.QUERIES[name](spark, sf)
+        assert "REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString(), name
