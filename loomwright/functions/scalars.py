@@ -75,7 +75,9 @@ def bits_above_median(values: Column) -> Column:
 
 def slug(text: Column, most: int = 100, empty: str = "diagram") -> Column:
     """A name that is safe for files."""
-    clean = F.regexp_replace(F.regexp_replace(text, r"[^A-Za-z0-9._-]+", "_"), r"^[._]+|[._]+$", "")
+    # Only what a name can hold is read: from the first letter, digit or hyphen to as many of them as it is long.
+    head = F.regexp_extract(text, rf"\A[^A-Za-z0-9-]*+((?:[^A-Za-z0-9-]*+[A-Za-z0-9-]){{1,{most}}})", 1)
+    clean = F.regexp_replace(head, r"[^A-Za-z0-9._-]+", "_")
     return F.substring(F.when(clean == "", empty).otherwise(clean), 1, most)
 
 

@@ -1,11 +1,13 @@
 """Queries on tables with larger keys, and work that is dealt to all cores."""
 
 import io
+import re
 import tarfile
 
 from pyspark.sql import functions as F
 
-from loomwright.plans import catalogue
+from loomwright.functions import scalars
+from loomwright.plans import catalogue, releases
 from loomwright.sources import archives, processes, services
 
 
@@ -54,3 +56,22 @@ def test_small_tables_are_dealt_to_all_cores(spark, sf):
     for name in ("render_run", "xml_pages_strict", "model_views"):
         rows = catalogue.QUERIES[name](spark, sf)
         assert "REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString(), name
+
+
+def test_names_are_made_of_what_they_hold(spark):
+    texts = ["", "__..", "a", "..a..", "a b__", "é a.b_-é", "x" * 200, "-._-", "a" + "." * 50 + "b", "a" + "._ " * 50, "\n a\n\nb\n", "a😀b", "_" * 5000 + "q", None]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", scalars.slug(F.col("t"), 24).alias("s")).collect()
+
+    def plain(t):
+        c = re.sub(r"^[._]+|[._]+$", "", re.sub(r"[^A-Za-z0-9._-]+", "_", t))
+        return (c or "diagram")[:24]
+
+    assert {r.i: r.s for r in got} == {i: None if t is None else plain(t) for i, t in enumerate(texts)}
+
+
+def test_a_bundle_is_worked_out_once(spark):
+    """The check for conflicts and the result read one table, which is grouped once."""
+    rows = [(f"p{i}", f"a/{i}.drawio", f"{i}.png", 1) for i in range(9)] * 2
+    out = releases.bundle_files(spark.createDataFrame(rows, "arxiv_id string, source_drawio string, png string, page_number int"))
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == sorted([(f"p{i}", f"drawio/{i}.drawio", f"a/{i}.drawio") for i in range(9)] + [(f"p{i}", f"images/{i}_p001.png", f"{i}.png") for i in range(9)])
