@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.functions.scalars import last_part, slug, strip_space
-from loomwright.operators import folds, relational
+from loomwright.operators import folds
 from loomwright.operators.states import required
 from loomwright.plans import stages
 from loomwright.session import file_at, settled
@@ -85,10 +85,12 @@ def bundle_files(selected: DataFrame) -> DataFrame:
     draw = F.concat(F.lit("drawio/"), last_part(F.col("source_drawio")))
     image = F.concat(F.lit("images/"), stem(F.col("source_drawio")), F.format_string("_p%03d.png", F.col("page_number").cast("int")))
     pair = lambda name, source: F.struct(name.alias("name"), F.col(source).alias("source"))
-    out = selected.select("arxiv_id", F.explode(F.array(pair(draw, "source_drawio"), pair(image, "png"))).alias("f")).select("arxiv_id", "f.*").distinct()
-    keyed = out.withColumn("_key", F.concat_ws("/", "arxiv_id", "name"))
-    required(relational.conflicts(keyed, "_key", "source"), "conflicting asset", "_key")
-    return out
+    every = selected.select("arxiv_id", F.explode(F.array(pair(draw, "source_drawio"), pair(image, "png"))).alias("f")).select("arxiv_id", "f.*")
+    # One shuffle; written once, for the check and the result.
+    seen = every.groupBy("arxiv_id", "name", F.col("source").isNull().alias("_none")).agg(F.min("source").alias("source"), F.max("source").alias("_other"))
+    seen = settled(seen, "bundles")
+    required(seen.filter(F.col("source") != F.col("_other")).select(F.concat_ws("/", "arxiv_id", "name").alias("_key")), "conflicting asset", "_key")
+    return seen.drop("_none", "_other")
 
 
 def write_bundles(selected: DataFrame, path: str, source: str | None = None) -> None:
