@@ -21,9 +21,17 @@ def _figures(statuses: DataFrame) -> DataFrame:
     return statuses.select("arxiv_id", F.explode("figures").alias("f")).select("arxiv_id", "f.*")
 
 
-def _all_of(figures: DataFrame, good: Column, name: str) -> DataFrame:
-    """Whether all figures of a paper are good; papers without figures do not occur."""
-    return figures.groupBy("arxiv_id").agg(F.bool_and(good).alias(name))
+def _found(wanted: DataFrame, files: DataFrame) -> DataFrame:
+    """(arxiv_id, _good, _raw): whether all files that a paper's figures want (arxiv_id, path, image) are there, images being good ones, and how many raw diagrams are.
+
+    files: arxiv_id, path, good.  Both meet in one shuffle by paper; ``_good`` is null for papers without figures.
+    """
+    none, raw = F.lit(None).cast("boolean"), F.col("path").rlike(rf"\A{RAW}/[^/]*\.drawio\z")
+    rows = wanted.select("arxiv_id", "path", "image", none.alias("good")).unionByName(files.select("arxiv_id", "path", none.alias("image"), "good"))
+    by = rows.repartition("arxiv_id").groupBy("arxiv_id", "path").agg(F.bool_or("image").alias("image"), F.bool_and("good").alias("good"), F.count("good").alias("n"))
+    there = F.col("good").isNotNull() & F.col("path").isNotNull()
+    fine = F.when(F.col("image").isNotNull(), there & (~F.col("image") | F.col("good")))
+    return by.groupBy("arxiv_id").agg(F.bool_and(fine).alias("_good"), F.sum(F.when(raw, F.col("n"))).alias("_raw"))
 
 
 def valid_complete(rows: DataFrame, statuses: DataFrame, files: DataFrame) -> DataFrame:
@@ -32,8 +40,8 @@ def valid_complete(rows: DataFrame, statuses: DataFrame, files: DataFrame) -> Da
     statuses: arxiv_id, status, drawio_files, png_images, figures; files: arxiv_id, path, size, width, height.
     What is missing or null is not complete.
     """
-    shown = _figures(statuses).select("arxiv_id", F.col("image_path").alias("path")).join(files, ["arxiv_id", "path"], "left")
-    good = _all_of(shown, valid_png(F.col("size"), F.col("width"), F.col("height")), "_good")
+    shown = _figures(statuses).select("arxiv_id", F.col("image_path").alias("path"), F.lit(True).alias("image"))
+    good = _found(shown, files.select("arxiv_id", "path", valid_png(F.col("size"), F.col("width"), F.col("height")).alias("good"))).drop("_raw")
     state = statuses.select("arxiv_id", "status", F.col("drawio_files").alias("_drawio"), "png_images", F.size("figures").alias("_figures"))
     joined = rows.join(state, "arxiv_id", "left").join(good, "arxiv_id", "left")
     whole = (F.col("status") == "complete") & (F.col("_drawio") == F.col("drawio_files")) & (F.col("png_images") == F.col("_figures")) & F.coalesce("_good", F.lit(True))
@@ -42,19 +50,22 @@ def valid_complete(rows: DataFrame, statuses: DataFrame, files: DataFrame) -> Da
 
 def valid_source(rows: DataFrame, statuses: DataFrame, files: DataFrame, include_partial: bool = False) -> DataFrame:
     """rows (arxiv_id, drawio_files) with ``ready``: as complete, but by files alone, with the diagrams counted; a failed state with figures may do."""
-    have = files.select("arxiv_id", "path", "size")
-    figures = _figures(statuses).select("arxiv_id", "drawio_path", "image_path")
-    figures = figures.join(have.select("arxiv_id", F.col("path").alias("drawio_path"), F.lit(True).alias("_drawn")), ["arxiv_id", "drawio_path"], "left")
-    figures = figures.join(have.select("arxiv_id", F.col("path").alias("image_path"), F.col("size").alias("_size")), ["arxiv_id", "image_path"], "left")
-    good = _all_of(figures, F.coalesce(F.col("_drawn") & (F.col("_size") > LEAST_PNG), F.lit(False)), "_good")
-    drawn = have.filter(F.col("path").rlike(rf"\A{RAW}/[^/]*\.drawio\z")).groupBy("arxiv_id").agg(F.count("*").alias("_raw"))
+    ready = F.col("partial_ready" if include_partial else "ready")
+    return valid_sources(rows, statuses, files).select(*rows.columns, ready.alias("ready"))
+
+
+def valid_sources(rows: DataFrame, statuses: DataFrame, files: DataFrame) -> DataFrame:
+    """rows with ``ready`` and ``partial_ready``, both answers of ``valid_source``."""
+    want = lambda c, image: F.struct(F.col(c).alias("path"), F.lit(image).alias("image"))
+    wanted = _figures(statuses).select("arxiv_id", F.explode(F.array(want("drawio_path", False), want("image_path", True))).alias("w")).select("arxiv_id", "w.*")
+    found = _found(wanted, files.select("arxiv_id", "path", F.coalesce(F.col("size") > LEAST_PNG, F.lit(False)).alias("good")))
     state = statuses.select("arxiv_id", "status", F.col("drawio_files").alias("_drawio"), "png_images", F.size("figures").alias("_figures"))
-    joined = rows.join(state, "arxiv_id", "left").join(good, "arxiv_id", "left").join(drawn, "arxiv_id", "left")
-    fit = F.col("status") == "complete"
-    if include_partial:
-        fit = fit | ((F.col("status") == "failed") & (F.col("_figures") > 0))
+    joined = rows.join(state, "arxiv_id", "left").join(found, "arxiv_id", "left")
+    whole = F.col("status") == "complete"
+    partial = whole | ((F.col("status") == "failed") & (F.col("_figures") > 0))
     counts = (F.col("_drawio") == F.col("drawio_files")) & (F.coalesce("_raw", F.lit(0)) == F.col("drawio_files")) & (F.col("png_images") == F.col("_figures"))
-    return joined.select(*rows.columns, F.coalesce(fit & counts & F.coalesce("_good", F.lit(True)), F.lit(False)).alias("ready"))
+    answer = lambda fit: F.coalesce(fit & counts & F.coalesce("_good", F.lit(True)), F.lit(False))
+    return joined.select(*rows.columns, answer(whole).alias("ready"), answer(partial).alias("partial_ready"))
 
 
 def valid_destination(marks: DataFrame, files: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import tarfile
 from pyspark.sql import functions as F
 
 from loomwright.functions import scalars
+from loomwright.operators import states
 from loomwright.plans import catalogue, releases
 from loomwright.sources import archives, processes, services
 
@@ -75,3 +76,12 @@ def test_a_bundle_is_worked_out_once(spark):
     out = releases.bundle_files(spark.createDataFrame(rows, "arxiv_id string, source_drawio string, png string, page_number int"))
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, out.collect())) == sorted([(f"p{i}", f"drawio/{i}.drawio", f"a/{i}.drawio") for i in range(9)] + [(f"p{i}", f"images/{i}_p001.png", f"{i}.png") for i in range(9)])
+
+
+def test_files_meet_their_figures_in_one_shuffle(spark):
+    figures = [("d/1", "i/1", 1), ("d/2", "i/2", 2)]
+    statuses = spark.createDataFrame([(p, s, 2, 2, figures) for p, s in (("a", "complete"), ("b", "failed"), ("c", "complete"))], "arxiv_id string, status string, drawio_files int, png_images int, figures array<struct<drawio_path: string, image_path: string, page_number: int>>")
+    files = spark.createDataFrame([(p, f, 500) for p in "ab" for f in ("d/1", "d/2", "i/1", "i/2", "drawio_raw/1.drawio", "drawio_raw/2.drawio")] + [("c", f, 500 if f != "i/2" else None) for f in ("d/1", "d/2", "i/1", "i/2")], "arxiv_id string, path string, size long")
+    out = states.valid_sources(spark.createDataFrame([("a", 2), ("b", 2), ("c", 2), ("d", 0)], "arxiv_id string, drawio_files int"), statuses, files)
+    assert {r.arxiv_id: (r.ready, r.partial_ready) for r in out.collect()} == {"a": (True, True), "b": (False, True), "c": (False, False), "d": (False, False)}
+    assert "hashpartitioning(arxiv_id#" in (plan := out._jdf.queryExecution().executedPlan().toString()) and ", path#" not in "".join(x for x in plan.splitlines() if "hashpartitioning" in x)
