@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.functions.scalars import last_part
+from loomwright.session import in_tasks
 
 #: The least size of an image file, the name of the one source of imports, and of its folders.
 LEAST_PNG = 100
@@ -21,17 +22,19 @@ def _figures(statuses: DataFrame) -> DataFrame:
     return statuses.select("arxiv_id", F.explode("figures").alias("f")).select("arxiv_id", "f.*")
 
 
-def _found(wanted: DataFrame, files: DataFrame) -> DataFrame:
-    """(arxiv_id, _good, _raw): whether all files that a paper's figures want (arxiv_id, path, image) are there, images being good ones, and how many raw diagrams are.
+def _found(rows: DataFrame, state: DataFrame, wanted: DataFrame, files: DataFrame) -> DataFrame:
+    """rows with state and (_good, _raw): whether all files that a paper's figures want (arxiv_id, path, image) are there, images being good ones, and how many raw diagrams are.
 
-    files: arxiv_id, path, good.  Both meet in one shuffle by paper; ``_good`` is null for papers without figures.
+    files: arxiv_id, path, good.  All are counted and meet by paper, each in one shuffle; ``_good`` is null for papers without figures.
     """
     none, raw = F.lit(None).cast("boolean"), F.col("path").rlike(rf"\A{RAW}/[^/]*\.drawio\z")
-    rows = wanted.select("arxiv_id", "path", "image", none.alias("good")).unionByName(files.select("arxiv_id", "path", none.alias("image"), "good"))
-    by = rows.repartition("arxiv_id").groupBy("arxiv_id", "path").agg(F.bool_or("image").alias("image"), F.bool_and("good").alias("good"), F.count("good").alias("n"))
+    both = wanted.select("arxiv_id", "path", "image", none.alias("good")).unionByName(files.select("arxiv_id", "path", none.alias("image"), "good"))
+    count = sum(t.count() for t in (rows, state, both))
+    by = in_tasks(both, "arxiv_id", count).groupBy("arxiv_id", "path").agg(F.bool_or("image").alias("image"), F.bool_and("good").alias("good"), F.count("good").alias("n"))
     there = F.col("good").isNotNull() & F.col("path").isNotNull()
     fine = F.when(F.col("image").isNotNull(), there & (~F.col("image") | F.col("good")))
-    return by.groupBy("arxiv_id").agg(F.bool_and(fine).alias("_good"), F.sum(F.when(raw, F.col("n"))).alias("_raw"))
+    found = by.groupBy("arxiv_id").agg(F.bool_and(fine).alias("_good"), F.sum(F.when(raw, F.col("n"))).alias("_raw"))
+    return in_tasks(rows, "arxiv_id", count).join(in_tasks(state, "arxiv_id", count), "arxiv_id", "left").join(found, "arxiv_id", "left")
 
 
 def valid_complete(rows: DataFrame, statuses: DataFrame, files: DataFrame) -> DataFrame:
@@ -41,9 +44,9 @@ def valid_complete(rows: DataFrame, statuses: DataFrame, files: DataFrame) -> Da
     What is missing or null is not complete.
     """
     shown = _figures(statuses).select("arxiv_id", F.col("image_path").alias("path"), F.lit(True).alias("image"))
-    good = _found(shown, files.select("arxiv_id", "path", valid_png(F.col("size"), F.col("width"), F.col("height")).alias("good"))).drop("_raw")
+    good = files.select("arxiv_id", "path", valid_png(F.col("size"), F.col("width"), F.col("height")).alias("good"))
     state = statuses.select("arxiv_id", "status", F.col("drawio_files").alias("_drawio"), "png_images", F.size("figures").alias("_figures"))
-    joined = rows.join(state, "arxiv_id", "left").join(good, "arxiv_id", "left")
+    joined = _found(rows, state, shown, good).drop("_raw")
     whole = (F.col("status") == "complete") & (F.col("_drawio") == F.col("drawio_files")) & (F.col("png_images") == F.col("_figures")) & F.coalesce("_good", F.lit(True))
     return joined.select(*rows.columns, F.coalesce(whole, F.lit(False)).alias("complete"))
 
@@ -58,9 +61,9 @@ def valid_sources(rows: DataFrame, statuses: DataFrame, files: DataFrame) -> Dat
     """rows with ``ready`` and ``partial_ready``, both answers of ``valid_source``."""
     want = lambda c, image: F.struct(F.col(c).alias("path"), F.lit(image).alias("image"))
     wanted = _figures(statuses).select("arxiv_id", F.explode(F.array(want("drawio_path", False), want("image_path", True))).alias("w")).select("arxiv_id", "w.*")
-    found = _found(wanted, files.select("arxiv_id", "path", F.coalesce(F.col("size") > LEAST_PNG, F.lit(False)).alias("good")))
+    good = files.select("arxiv_id", "path", F.coalesce(F.col("size") > LEAST_PNG, F.lit(False)).alias("good"))
     state = statuses.select("arxiv_id", "status", F.col("drawio_files").alias("_drawio"), "png_images", F.size("figures").alias("_figures"))
-    joined = rows.join(state, "arxiv_id", "left").join(found, "arxiv_id", "left")
+    joined = _found(rows, state, wanted, good)
     whole = F.col("status") == "complete"
     partial = whole | ((F.col("status") == "failed") & (F.col("_figures") > 0))
     counts = (F.col("_drawio") == F.col("drawio_files")) & (F.coalesce("_raw", F.lit(0)) == F.col("drawio_files")) & (F.col("png_images") == F.col("_figures"))
@@ -99,11 +102,13 @@ def imported_figures(statuses: DataFrame) -> DataFrame:
 
 
 def render_summary(rows: DataFrame, statuses: DataFrame) -> DataFrame:
-    """One row of rows (arxiv_id, complete): sums are over complete papers."""
-    joined = rows.filter("complete").select("arxiv_id").join(statuses.select("arxiv_id", "drawio_files", "png_images"), "arxiv_id")
-    sums = joined.agg(F.coalesce(F.sum("drawio_files"), F.lit(0)).alias("drawio_files"), F.coalesce(F.sum("png_images"), F.lit(0)).alias("png_images"))
-    counts = rows.agg(F.count("*").alias("input_accepted_papers"), F.count_if("complete").alias("complete_papers"), F.count_if(~F.col("complete")).alias("failed_papers"))
-    return counts.crossJoin(sums).withColumn("complete", F.col("complete_papers") == F.col("input_accepted_papers"))  # both sides are one row
+    """One row of rows (arxiv_id, complete): sums are over complete papers.  The rows are worked out once."""
+    names = ("drawio_files", "png_images")
+    sums = in_tasks(statuses.select("arxiv_id", *names), "arxiv_id", statuses.count()).groupBy("arxiv_id").agg(*[F.sum(c).alias(c) for c in names])
+    joined = rows.select("arxiv_id", "complete").join(sums, "arxiv_id", "left")
+    counts = [F.count("*").alias("input_accepted_papers"), F.count_if("complete").alias("complete_papers"), F.count_if(~F.col("complete")).alias("failed_papers")]
+    found = joined.agg(*counts, *[F.coalesce(F.sum(F.when(F.col("complete"), F.col(c))), F.lit(0)).alias(c) for c in names])
+    return found.withColumn("complete", F.col("complete_papers") == F.col("input_accepted_papers"))
 
 
 def import_summary(folders: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import tarfile
 
 from pyspark.sql import functions as F
 
+from loomwright import session
 from loomwright.functions import scalars
 from loomwright.operators import states
 from loomwright.plans import catalogue, releases
@@ -85,3 +86,19 @@ def test_files_meet_their_figures_in_one_shuffle(spark):
     out = states.valid_sources(spark.createDataFrame([("a", 2), ("b", 2), ("c", 2), ("d", 0)], "arxiv_id string, drawio_files int"), statuses, files)
     assert {r.arxiv_id: (r.ready, r.partial_ready) for r in out.collect()} == {"a": (True, True), "b": (False, True), "c": (False, False), "d": (False, False)}
     assert "hashpartitioning(arxiv_id#" in (plan := out._jdf.queryExecution().executedPlan().toString()) and ", path#" not in "".join(x for x in plan.splitlines() if "hashpartitioning" in x)
+
+
+def test_tasks_of_a_summary_grow_with_its_tables(spark, sf, monkeypatch):
+    """A task groups a fixed number of rows, not all that fit into the bytes of a stored partition; figures and files are numbered once, before."""
+    monkeypatch.setattr(session, "TASK_ROWS", 1000)
+    plan = catalogue.QUERIES["render_summary"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert max(int(n) for n in re.findall(r"hashpartitioning\(arxiv_id#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan)) > 15
+    assert "Window" not in plan and plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") == 3
+
+
+def test_summaries_count_repeated_rows_and_states(spark):
+    """As a join of complete rows with states has it: every row with every state of its paper."""
+    rows = spark.createDataFrame([("a", True), ("a", True), ("a", False), ("b", True), ("c", False), ("d", None), (None, True)], "arxiv_id string, complete boolean")
+    statuses = spark.createDataFrame([("a", 1, 10), ("a", 2, None), ("b", None, 5), ("c", 100, 100), ("d", 100, 100), (None, 100, 100)], "arxiv_id string, drawio_files long, png_images long")
+    assert states.render_summary(rows, statuses).collect() == [(7, 4, 2, 6, 25, False)]
+    assert states.render_summary(rows.filter("arxiv_id is null"), statuses).collect() == [(1, 1, 0, 0, 0, True)]
