@@ -4,13 +4,16 @@ import io
 import re
 import tarfile
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from loomwright import session
-from loomwright.functions import scalars
+from loomwright.functions import images, scalars
 from loomwright.operators import states
 from loomwright.plans import catalogue, releases
 from loomwright.sources import archives, processes, services
+from tests.test_operators import drawing, png
 
 
 def test_papers_of_large_keys_are_folders(spark, tmp_path):
@@ -102,3 +105,15 @@ def test_summaries_count_repeated_rows_and_states(spark):
     statuses = spark.createDataFrame([("a", 1, 10), ("a", 2, None), ("b", None, 5), ("c", 100, 100), ("d", 100, 100), (None, 100, 100)], "arxiv_id string, drawio_files long, png_images long")
     assert states.render_summary(rows, statuses).collect() == [(7, 4, 2, 6, 25, False)]
     assert states.render_summary(rows.filter("arxiv_id is null"), statuses).collect() == [(1, 1, 0, 0, 0, True)]
+
+
+def test_sizes_of_views_need_no_drawing(monkeypatch):
+    long = np.full((90, 1500), 255)
+    long[20:40, 100:1400] = 7
+    pictures = [png(x) for x in (drawing(1), long, long.T, np.full((30, 50), 255), np.zeros((3, 1)))]
+    drawn = {m: [[list(v.shape[1::-1]) for v in images.views(p, m)] for p in pictures] for m in images.VIEW_MODES}
+    for name in ("letterboxed", "resize"):
+        monkeypatch.setattr(images, name, lambda *a: pytest.fail("drawn"))
+    for m in images.VIEW_MODES:
+        assert [images.view_sizes(p, m) for p in pictures] == [{"sizes": s, "error": ""} for s in drawn[m]]
+    assert images.view_sizes(b"x")["sizes"] == [] and images.view_sizes(b"x")["error"]
