@@ -55,3 +55,17 @@ def test_odd_tables(spark):
     odd = spark.createDataFrame([(None, "a" * 500), (1, "a" * 399)], "doc_id long, text string").selectExpr("*", "1 as t", "2 as runs", "3 as n_bytes")
     assert [(r.doc_id, r.n_removed, bytes(r.kept)) for r in suffixes.removed(odd, with_text=True).collect()] == [(1, 0, b"a" * 399)]
     assert suffixes.removed(odd.limit(0)).count() == 0
+
+
+def test_groups_are_dealt_by_their_number(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    text = max((r.text or "" for r in docs.collect()), key=lambda t: len(t) if len(t) < 4000 else 0)
+    docs = spark.createDataFrame([(i, f"{text[i * 5 :]}{i}") for i in range(60)], "doc_id long, text string")
+    spark.sparkContext.setJobGroup("dealt", "groups of segments")
+    try:
+        assert suffixes.removed(docs, 40, gram=12, task_bytes=20).filter("n_removed > 0").count() == 60
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("dealt") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) >= 30  # the session's shuffles have 4
