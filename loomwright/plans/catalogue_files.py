@@ -415,11 +415,15 @@ def member_index(spark, d):
 @query("SELECT s_suppkey, CASE s_suppkey % 5 WHEN 3 THEN 3 WHEN 4 THEN -6 ELSE 0 END AS code, CASE WHEN s_suppkey % 5 = 4 THEN '' ELSE upper(s_name) END AS output FROM supplier")
 def supervised_programs(spark, d):
     """A program for each supplier, which may fail or crash, and leaves a helper behind."""
-    import sys
-
-    code = "import os, sys, time\nk, name = sys.stdin.read().split('|')\nif os.fork() == 0:\n    time.sleep(60)\nif int(k) % 5 == 4:\n    os.abort()\nsys.stdout.write(name.upper())\nsys.stdout.flush()\nos._exit(3 if int(k) % 5 == 3 else 0)"
+    # A shell starts six times as fast as Python; Spark's own scripts need this one.
+    code = r"""IFS= read -r -d '' row
+k=${row%%|*} name=${row#*|}
+sleep 60 &
+if ((k % 5 == 4)); then kill -ABRT $$; fi
+printf %s "${name^^}"
+exit $((k % 5 == 3 ? 3 : 0))"""
     rows = table(spark, d, "supplier").select("s_suppkey", F.concat_ws("|", F.col("s_suppkey").cast("string"), "s_name").cast("binary").alias("content"))
-    ended = processes.run_programs(rows, "s_suppkey", "content", [sys.executable, "-S", "-c", code], seconds=60)
+    ended = processes.run_programs(rows, "s_suppkey", "content", ["bash", "-c", code], seconds=60)
     return ended.select("s_suppkey", F.col("returncode").alias("code"), F.col("output").cast("string").alias("output"))
 
 

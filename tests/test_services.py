@@ -3,6 +3,7 @@
 import http.client
 import os
 import struct
+import subprocess
 import sys
 import time
 import zlib
@@ -49,6 +50,34 @@ def test_programs_end_as_rows(spark, code, code_is, timed_out, output):
     assert not sleepers()
 
 
+LOOKS = """
+import sys
+from loomwright.sources import processes
+looks, parents = [], processes._parents
+processes._parents = lambda: looks.append(1) or parents()
+ends = [processes.supervised(["bash", "-c", "cat; sleep 602 & exit 3"], b"abc") for _ in range(5)]
+assert {(e.returncode, e.output) for e in ends} == {(3, b"abc")} and not processes._has_children()
+assert len(looks) < 5, looks
+# What has left the group is found all the same.
+e = processes.supervised([sys.executable, "-c", sys.argv[1]], grace=0.5)
+assert (e.returncode, e.output) == (0, b"done\\n") and looks and not processes._has_children()
+"""
+
+
+def test_helpers_in_the_group_need_no_look_at_all_processes():
+    """A look at every process of the machine, three times for each program, cost more than the program; run apart, since this process may have children."""
+    ended = subprocess.run([sys.executable, "-c", LOOKS, FORKS], capture_output=True, text=True, timeout=60)
+    assert ended.returncode == 0, ended.stderr
+    assert not sleepers()
+
+
+def test_outputs_of_programs_travel_together(spark):
+    """One batch for each program; a large output has one of its own."""
+    rows = spark.createDataFrame([(i, b"a" * (5 << 20 if i == 3 else i)) for i in range(8)], "k long, content binary").coalesce(1)
+    got = processes.run_programs(rows, "k", "content", ["cat"]).select("k", F.length("output").alias("n"), "returncode").collect()
+    assert {(r.k, r.n, r.returncode) for r in got} == {(i, 5 << 20 if i == 3 else i, 0) for i in range(8)}
+
+
 def test_programs_that_are_not_there(spark):
     got = processes.run_programs(spark.createDataFrame([(1, None)], "k long, content binary"), "k", "content", ["/no/such/program"]).first()
     assert got.returncode is None and "FileNotFoundError" in got.error
