@@ -176,7 +176,7 @@ def seeds_of(codes: np.ndarray, at: np.ndarray, lengths: list[int]) -> tuple[np.
 
 def _joined(docs: DataFrame, items: DataFrame, least: int, coverage: float) -> DataFrame:
     """The same by a join on seeds, for benchmarks that no task can hold."""
-    from llm.collocations import _full, _place, bit_map
+    from llm.collocations import _full, bit_map
 
     scratch = Scratch(docs.sparkSession, "tiling")
     items = scratch.put(items.withColumn("i", F.monotonically_increasing_id()), "items")
@@ -202,7 +202,7 @@ def _joined(docs: DataFrame, items: DataFrame, least: int, coverage: float) -> D
             for low, data, offsets in byte_chunks(batch.column(1)):
                 codes, _, at = tokens(data, offsets)
                 seed, row, _ = seeds_of(codes, at, lengths)
-                some = _full(known.value, _place(seed))
+                some = _full(known.value, seed)
                 pairs = np.unique(np.stack([row[some].astype(np.uint64), seed[some]]), axis=1)
                 rows, first = np.unique(pairs[0].astype(np.int64), return_index=True)
                 parts = pa.ListArray.from_arrays(pa.array(np.append(first, pairs.shape[1]), pa.int32()), pa.array(pairs[1].view(np.int64)))
