@@ -100,6 +100,25 @@ def test_hot_bands_lose_no_pair(spark):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_many_leases_are_made_in_tasks(spark, tmp_path):
+    """The driver asked Spark's file system some times for each key, and all records of all keys were read to tell what is completed."""
+    now, keys = [1000.0], [f"a/{i}.tar" for i in range(150)]
+    a, b = (Leases(spark, f"file://{tmp_path}/leases", n, now=lambda: now[0]) for n in "ab")
+    assert a.acquire_all(keys) == [1] * 150 and b.acquire_all(keys) == [None] * 150
+    a.release_all([(keys[0], 1)])
+    now[0] += CLAIM_SECONDS + 1
+    assert b.acquire_all(keys[:100]) == [3] + [2] * 99  # the others ran out
+    assert a.complete_all((k, 1, {"n": 1}) for k in keys) == [False] * 100 + [True] * 50
+    assert b.complete_all((k, 2 + (k == keys[0]), {"n": 2}) for k in keys[:99]) == [True] * 99
+    done = b.completed("n long")
+    assert sorted((r.key, r.n) for r in done.collect()) == sorted([(k, 2) for k in keys[:99]] + [(k, 1) for k in keys[100:]])
+    assert done.rdd.getNumPartitions() == 64 and not done.inputFiles()
+    assert a.acquire_all(keys[:99] + keys[100:]) == [None] * 149
+    # A task that is tried again finds the lease that its first try made.
+    again = [b.records.acquire("new", 1.0, 10.0, "asked") for _ in range(2)]
+    assert again == [1, 1] and b.records.acquire("new", 1.0, 10.0, "other") is None
+
+
 def test_leases_and_budget(spark, tmp_path):
     now = [1000.0]
     a, b = (Leases(spark, f"file://{tmp_path}/leases", n, now=lambda: now[0]) for n in "ab")
